@@ -1,0 +1 @@
+"""Dataset building is one batch pass; there are no streaming operators."""
