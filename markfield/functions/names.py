@@ -83,7 +83,7 @@ def file_stage(relpath: Column) -> Column:
 def area_of(relpath: Column) -> Column:
     """Digits of the first path part that reads ``<n> Area``."""
     rule = r"(?i)^(\d+)\s*Area$"
-    parts = F.filter(F.transform(F.split(relpath, "/"), F.trim), lambda part: part.rlike(rule))
+    parts = F.filter(F.transform(F.split(relpath, "/"), lambda part: F.trim(part)), lambda part: part.rlike(rule))
     return F.regexp_extract(F.get(parts, F.lit(0)), rule, 1)
 
 

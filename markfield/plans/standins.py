@@ -30,7 +30,7 @@ ANNOTATION_FILES = {
         " CASE WHEN o_orderkey % 7 = 0 THEN 'RoiSet/' WHEN o_orderkey % 7 = 1 THEN 'roiset/' ELSE '' END,"
         " CASE WHEN o_orderkey % 13 = 0 THEN 'scan' WHEN o_orderkey % 2 = 0 THEN 'Before' ELSE 'After' END,"
         " ' an_', CASE WHEN o_orderkey % 5 = 0 THEN 'area ' ELSE '' END, CAST(o_custkey % 10 AS STRING), '_',"
-        " CAST(o_custkey % 5 AS STRING), '-1_',"
+        " CAST(o_custkey % 5 AS STRING), CASE WHEN o_orderkey % 3 = 0 THEN '-1_' ELSE '_' END,"
         " CASE o_orderkey % 13 WHEN 0 THEN 'BPD' WHEN 1 THEN 'TED(a)' WHEN 2 THEN 'TED (F)' WHEN 3 THEN 'ted(c)'"
         " WHEN 4 THEN 'TSD(b)' WHEN 5 THEN 'TSD( C )' WHEN 6 THEN 'TED' WHEN 7 THEN 'TSD(e)' WHEN 8 THEN 'BPD(a)'"
         " WHEN 9 THEN 'unknown' WHEN 10 THEN 'BPD_TED(a)' WHEN 11 THEN 'TEDx(a)' ELSE 'TED(a) TED' END,"
@@ -143,12 +143,12 @@ def coarse_refs(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as a raster: 32 RGB pixels per row, the last row padded with zeros."""
-    text = table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("data"))
+    text = table(spark, sf, "documents").select("doc_id", "source", F.encode("text", "UTF-8").alias("data"))
     height = F.ceil(F.octet_length("data") / LINE).cast("int")
-    rows = text.select("doc_id", "data", height.alias("height"),
+    rows = text.select("doc_id", "source", "data", height.alias("height"),
                        F.explode(F.sequence(F.lit(0), height - 1)).alias("row_no"))
     part = F.substring("data", F.col("row_no") * LINE + 1, F.lit(LINE))
-    return rows.select("doc_id", F.col("doc_id").cast("string").alias("image"), "height", "row_no",
+    return rows.select("doc_id", "source", F.col("doc_id").cast("string").alias("image"), "height", "row_no",
                        F.rpad(part, F.lit(LINE), F.lit(b"\x00")).alias("px"))
 
 
@@ -165,7 +165,7 @@ def tiff_rows(rows: DataFrame) -> DataFrame:
 
 def twin_rows(rows: DataFrame) -> DataFrame:
     """The other copy: transformed by document, sometimes absent or one row short."""
-    present = (F.col("doc_id") % 11 != 0) & ~((F.col("doc_id") % 13 == 0) & (F.col("height") > 1)
+    present = (F.col("source") != "src3") & ~((F.col("doc_id") % 13 == 0) & (F.col("height") > 1)
                                               & (F.col("row_no") == F.col("height") - 1))
     kept = rows.filter(present).withColumn("t", F.element_at(
         F.array(*map(F.lit, ("identity", "hflip", "vflip", "rot180"))), (F.col("doc_id") % 4 + 1).cast("int")))
