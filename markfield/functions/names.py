@@ -38,29 +38,44 @@ def in_set_folder(path: Column) -> Column:
     return F.lower(file_name(parent_path(path))) == "roiset"
 
 
-def parse_label(text: Column, taxonomy: Taxonomy | None = None) -> Column:
-    """``struct(label, subtype, problem)``; ``problem`` is null for a usable label."""
-    taxonomy = taxonomy or Taxonomy()
+def label_tokens(text: Column, taxonomy: Taxonomy) -> tuple[Column, Column]:
+    """Every class token (upper case) and the letter in parentheses after it, blank if none."""
     pattern = F.lit(label_pattern(taxonomy))
-    found = F.transform(F.regexp_extract_all(text, pattern, F.lit(1)), F.upper)
-    letters = F.regexp_extract_all(text, pattern, F.lit(2))
-    one_class = F.size(F.array_distinct(found)) == 1
-    label = F.when(one_class, F.try_element_at(found, F.lit(-1)))
-    letter = F.when(one_class, F.nullif(F.lower(F.try_element_at(letters, F.lit(-1))), F.lit("")))
-    allowed = F.create_map(
-        *[part for name, subs in taxonomy.subtypes.items()
-          for part in (F.lit(name), F.array(*map(F.lit, subs)).cast("array<string>"))]
+    tokens = F.split(F.upper(F.array_join(F.regexp_extract_all(text, pattern, F.lit(1)), "|")), r"\|")
+    return tokens, F.regexp_extract_all(text, pattern, F.lit(2))
+
+
+def label_and_subtype(tokens: Column, letters: Column) -> tuple[Column, Column]:
+    """The last token and its letter when all tokens name one class."""
+    one_class = (F.size(letters) > 0) & (F.size(F.array_distinct(tokens)) == 1)
+    letter = F.nullif(F.lower(F.try_element_at(letters, F.lit(-1))), F.lit(""))
+    return F.when(one_class, F.try_element_at(tokens, F.lit(-1))), F.when(one_class, letter)
+
+
+def label_problem(letters: Column, label: Column, subtype: Column, taxonomy: Taxonomy) -> Column:
+    """Why a name gives no usable label, null when it does."""
+    without = [name for name, subs in taxonomy.subtypes.items() if not subs]
+    usable = F.concat_ws("_", label, subtype).isin(*taxonomy.fine_labels)
+    return (
+        F.when(F.size(letters) == 0, "unknown_label")
+        .when(label.isNull(), "multiple_class_names")
+        .when(label.isin(*without) & subtype.isNotNull(), "unexpected_subtype")
+        .when(~label.isin(*without) & subtype.isNull(), "missing_subtype")
+        .when(~usable, "invalid_subtype")
     )
-    choices = allowed[label]
-    problem = (
-        F.when(F.size(found) == 0, "unknown_label")
-        .when(~one_class, "multiple_class_names")
-        .when((F.size(choices) == 0) & letter.isNotNull(), "unexpected_subtype")
-        .when(F.size(choices) == 0, F.lit(None).cast("string"))
-        .when(letter.isNull(), "missing_subtype")
-        .when(~F.array_contains(choices, letter), "invalid_subtype")
-    )
-    return F.struct(label.alias("label"), letter.alias("subtype"), problem.alias("problem"))
+
+
+def parse_label(text: Column, taxonomy: Taxonomy | None = None) -> Column:
+    """``struct(label, subtype, problem)``; ``problem`` is null for a usable label.
+
+    On wide tables prefer the three steps above as separate columns, as ``name_facts``
+    does, so that the name is matched once per row.
+    """
+    taxonomy = taxonomy or Taxonomy()
+    tokens, letters = label_tokens(text, taxonomy)
+    label, subtype = label_and_subtype(tokens, letters)
+    problem = label_problem(letters, label, subtype, taxonomy)
+    return F.struct(label.alias("label"), subtype.alias("subtype"), problem.alias("problem"))
 
 
 def fine_label(label: Column, subtype: Column) -> Column:

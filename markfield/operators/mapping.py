@@ -33,11 +33,14 @@ def directory_summary(listing: DataFrame) -> DataFrame:
         *only(tiff & (F.col("stage") == "after"), "after"), F.bool_or("jpeg").alias("has_jpeg"))
 
 
-def map_to_raster(files: DataFrame, listing: DataFrame) -> DataFrame:
-    """Add ``image, mapping_basis, mapping_problem`` to files with ``relpath, stage``."""
+def map_to_raster(files: DataFrame, listing: DataFrame, crowded: DataFrame | None = None) -> DataFrame:
+    """Add ``image, mapping_basis, mapping_problem`` to files with ``relpath, stage``.
+
+    ``crowded`` may name the folders with very many files when the caller knows them.
+    """
     directory = N.image_directory(F.col("relpath"))
     located = files.withColumn("directory", directory)
-    joined = lookup_join(located, directory_summary(listing), ["directory"], ["relpath"])
+    joined = lookup_join(located, directory_summary(listing), ["directory"], ["relpath"], hot=crowded)
     total = F.coalesce("all_tiffs", F.lit(0))
     same_stage = F.when(F.col("stage") == "before", F.col("before_tiffs")).otherwise(F.col("after_tiffs"))
     stage_tiff = F.when(F.col("stage") == "before", F.col("before_tiff")).otherwise(F.col("after_tiff"))

@@ -125,7 +125,7 @@ def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFr
     """Partial counts ``image, point_id, ...`` of the zone's points for one box size."""
     tiles = tiled.groupBy(*CELL, "tile").agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-        F.max("zone").alias("zone"))
+        F.max("zone").alias("zone"), F.count(F.lit(1)).alias("n"))
     left = tiles.filter("zone").select(*CELL, *[F.col(c).alias(f"p_{c}") for c in ("tile", "x0", "x1", "y0", "y1")])
     left = _spread_cells(left).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TILE_SALTS - 1))))
     right = tiles.drop("zone").withColumn("_salt", F.pmod(F.xxhash64("tile"), F.lit(TILE_SALTS)).cast("int"))
@@ -135,10 +135,10 @@ def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFr
     gap = F.greatest(F.col("x0") - F.col("p_x1"), F.col("p_x0") - F.col("x1"),
                      F.col("y0") - F.col("p_y1"), F.col("p_y0") - F.col("y1"))
     pairs = left.join(right, [*CELL, "_salt"]).filter(gap < half).select(
-        "image", "p_tile", "tile", (far < half).alias("inside"))
+        "image", "p_tile", "tile", "n", (far < half).alias("inside"))
 
     labels = tiled.groupBy("image", "tile", "fine_label").agg(F.count(F.lit(1)).alias("n"))
-    whole = lookup_join(pairs.filter("inside"), labels.groupBy("image", "tile").agg(
+    whole = lookup_join(pairs.filter("inside").drop("n"), labels.groupBy("image", "tile").agg(
         F.map_from_entries(F.collect_list(F.struct("fine_label", "n"))).alias("by_label")),
         ["image", "tile"], ["p_tile"])
     whole = whole.select("image", "p_tile", F.explode("by_label").alias("fine_label", "n"))
@@ -152,11 +152,17 @@ def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFr
         F.coalesce(F.try_element_at("inside", F.col("fine_label")), F.lit(0)).alias("same"),
         F.coalesce("all_inside", F.lit(0)).alias("all"))
 
-    cut = pairs.filter(~F.col("inside")).select("image", "p_tile", F.col("tile").alias("q_tile"))
-    ask = cut.join(asked.withColumnRenamed("tile", "p_tile"), ["image", "p_tile"]).withColumn("asks", F.lit(True))
+    # The tiles cut by a tile's boxes are dealt into chunks of a few tiles' rows; each
+    # chunk is counted in one group together with the asking tile.
+    cut = pairs.filter(~F.col("inside")).withColumnRenamed("tile", "q_tile")
+    chunks = cut.groupBy("image", "p_tile").agg(F.ceil(F.sum("n") / (4 * TILE_ROWS)).alias("chunks"))
+    cut = cut.join(chunks, ["image", "p_tile"]).select(
+        "image", "p_tile", "q_tile", F.pmod(F.xxhash64("q_tile"), F.col("chunks")).alias("chunk"))
+    ask = cut.select("image", "p_tile", "chunk").distinct().join(
+        asked.withColumnRenamed("tile", "p_tile"), ["image", "p_tile"]).withColumn("asks", F.lit(True))
     give = cut.join(tiled.select("image", F.col("tile").alias("q_tile"), "point_id", "fine_label", "x", "y"),
-                    ["image", "q_tile"]).withColumn("asks", F.lit(False))
-    edge = ask.unionByName(give).groupBy("image", "p_tile", "q_tile").applyInPandas(
+                    ["image", "q_tile"]).drop("q_tile").withColumn("asks", F.lit(False))
+    edge = ask.unionByName(give).groupBy("image", "p_tile", "chunk").applyInPandas(
         _edge_counter(half), "image string, point_id string, same bigint, `all` bigint")
     # A point is inside its own box, either as part of its tile's totals or of an edge pair.
     counts = inside.unionByName(edge).groupBy("image", "point_id").agg(

@@ -63,13 +63,12 @@ def stage_and_area(spark, sf):
 
 @query
 def image_hint(spark, sf):
-    hint = N.image_hint(F.col("stem"), F.col("area"))
+    named = _named(spark, sf).withColumn("hint", N.image_hint(F.col("stem"), F.col("area")))
     other = F.concat(F.lit("before annealing_"), (F.col("file_id") % 4).cast("string"), F.lit("_7"))
     bare = F.when(F.col("file_id") % 9 == 0, "overview").otherwise(other)
-    matches = N.hint_matches(hint, bare)
-    return _named(spark, sf).select("relpath", hint.alias("hint"), N.image_digits(bare).alias("digits"),
-                                    matches.alias("matches"),
-                                    F.array_join(N.hint_warnings(matches), ";").alias("warnings"))
+    matched = named.withColumn("name", bare).withColumn("matches", N.hint_matches(F.col("hint"), F.col("name")))
+    return matched.select("relpath", "hint", N.image_digits(F.col("name")).alias("digits"), "matches",
+                          F.array_join(N.hint_warnings(F.col("matches")), ";").alias("warnings"))
 
 
 @query

@@ -14,6 +14,7 @@ from markfield.functions import geometry as G
 from markfield.functions import names as N
 from markfield.operators.dedup import content_duplicates, coordinate_duplicates, coordinate_set_key
 from markfield.operators.mapping import file_reason, map_to_raster
+from markfield.operators.skew import hot_keys, settle
 from markfield.sources.files import RASTER_GLOB, listing, qualified, relative_to
 
 # Fixed values of the public ImageJ ROI format (big endian).
@@ -97,19 +98,20 @@ def decode_annotations(files: DataFrame) -> DataFrame:
 
 def name_facts(files: DataFrame, taxonomy: Taxonomy | None = None, legacy_double_stem: bool = False) -> DataFrame:
     """Add ``area, stage, label, subtype, fine_label, label_problem, stem`` from ``relpath``."""
-    path = F.col("relpath")
-    own_stem = F.trim(N.stem(N.file_name(path)))
+    taxonomy = taxonomy or Taxonomy()
+    path, own_stem = F.col("relpath"), F.col("stem")
     text = N.stem(own_stem) if legacy_double_stem else own_stem
-    return (
-        files.withColumn("stem", own_stem)
-        .withColumn("area", N.area_of(path))
-        .withColumn("stage", N.file_stage(path))
-        .withColumn("_l", N.parse_label(text, taxonomy))
-        .withColumns({"label": F.col("_l.label"), "subtype": F.col("_l.subtype"),
-                      "fine_label": N.fine_label(F.col("_l.label"), F.col("_l.subtype")),
-                      "label_problem": F.col("_l.problem")})
-        .drop("_l")
-    )
+    staged = files.withColumn("stem", F.trim(N.stem(N.file_name(path))))
+    tokens, letters = N.label_tokens(text, taxonomy)
+    staged = staged.withColumns({
+        "area": N.area_of(path), "stage": F.coalesce(N.stage_of(own_stem), N.stage_of(N.parent_path(path))),
+        "_tokens": tokens, "_letters": letters})
+    label, subtype = N.label_and_subtype(F.col("_tokens"), F.col("_letters"))
+    staged = staged.withColumns({"label": label, "subtype": subtype})
+    problem = N.label_problem(F.col("_letters"), F.col("label"), F.col("subtype"), taxonomy)
+    return staged.withColumns({
+        "fine_label": N.fine_label(F.col("label"), F.col("subtype")), "label_problem": problem,
+    }).drop("_tokens", "_letters")
 
 
 def resolve_files(decoded: DataFrame, rasters: DataFrame, taxonomy: Taxonomy | None = None,
@@ -122,11 +124,13 @@ def resolve_files(decoded: DataFrame, rasters: DataFrame, taxonomy: Taxonomy | N
     facts = name_facts(decoded, taxonomy, legacy_double_stem)
     area_problem = F.when(F.col("area").isNull(), "no_area_folder")
     own = facts.withColumn("_own", file_reason(area_problem, F.col("label_problem"), F.col("decode_problem")))
+    # Read by every step below; written once so files are decoded once.
+    own = settle(own, "annotation_facts")
     unique = content_duplicates(own, F.col("_own").isNull())
     same_bytes = F.when(F.col("duplicate_of").isNotNull(), "duplicate_bytes")
-    mapped = map_to_raster(unique, rasters)
-    reason = file_reason(F.col("_own"), same_bytes, F.col("mapping_problem"))
-    linked = mapped.withColumn("reason", reason)
+    crowded = hot_keys(own.select(N.image_directory(F.col("relpath")).alias("directory")), ["directory"])
+    mapped = map_to_raster(unique, rasters, crowded)
+    linked = mapped.withColumn("reason", file_reason(F.col("_own"), same_bytes, F.col("mapping_problem")))
     ok = F.col("reason").isNull()
     hint = N.image_hint(F.col("stem"), F.col("area"), taxonomy)
     linked = linked.withColumns({
@@ -136,7 +140,7 @@ def resolve_files(decoded: DataFrame, rasters: DataFrame, taxonomy: Taxonomy | N
     linked = linked.withColumn("hint_matches_image", matches).withColumn(
         "warnings", N.hint_warnings(F.col("hint_matches_image"))).withColumn(
         "coordinate_key", F.when(ok, coordinate_set_key(F.col("points"))))
-    renamed = linked.withColumnRenamed("duplicate_of", "_bytes_of")
+    renamed = settle(linked.withColumnRenamed("duplicate_of", "_bytes_of"), "linked_annotations")
     final = coordinate_duplicates(renamed, F.col("reason").isNull())
     again = F.when(F.col("duplicate_of").isNotNull(), "duplicate_coordinates")
     decoded_only = F.coalesce(area_problem, F.col("label_problem")).isNull()
