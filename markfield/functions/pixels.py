@@ -6,6 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _longs(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.LongType()) for name in names])
 
 
 def _pixels(row: bytes) -> np.ndarray:
@@ -22,19 +27,19 @@ def _uniform(rows: pd.Series) -> np.ndarray | None:
     return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1, 3)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def mirror_row(rows: pd.Series) -> pd.Series:
     """Reverse the pixels of a scan line."""
     return rows.map(lambda row: None if row is None else _pixels(row)[::-1].tobytes())
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def swap_red_blue(rows: pd.Series) -> pd.Series:
     """BGR bytes to RGB bytes (and back)."""
     return rows.map(lambda row: None if row is None else _pixels(row)[:, ::-1].tobytes())
 
 
-@F.pandas_udf("struct<total:bigint,squares:bigint>")
+@F.pandas_udf(_longs("total", "squares"))
 def slice_moments(rows: pd.Series) -> pd.DataFrame:
     """Sum and sum of squares of the channel sums of a slice, exact integers."""
     block = _uniform(rows)
@@ -50,13 +55,13 @@ def slice_moments(rows: pd.Series) -> pd.DataFrame:
 
 def strided_grey(px: Column, stride: int) -> Column:
     """Channel sums of every ``stride``-th pixel of a row."""
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def take(rows: pd.Series) -> pd.Series:
         return rows.map(lambda row: _pixels(row)[::stride].sum(axis=1, dtype=np.int32))
     return take(px)
 
 
-@F.pandas_udf("struct<n:bigint,a:bigint,b:bigint,aa:bigint,bb:bigint,ab:bigint,ab_mirrored:bigint>")
+@F.pandas_udf(_longs("n", "a", "b", "aa", "bb", "ab", "ab_mirrored"))
 def row_products(first: pd.Series, second: pd.Series) -> pd.DataFrame:
     """Sums needed for the correlation of two grey rows, plain and with the second mirrored."""
     out = []
@@ -67,7 +72,7 @@ def row_products(first: pd.Series, second: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(np.array(out, np.int64).reshape(-1, 7), columns=names)
 
 
-@F.pandas_udf("struct<differing:bigint,white:bigint>")
+@F.pandas_udf(_longs("differing", "white"))
 def count_differences(first: pd.Series, second: pd.Series) -> pd.DataFrame:
     """Differing pixels of two rows and how many of them are pure white in the first."""
     out = []
@@ -78,7 +83,7 @@ def count_differences(first: pd.Series, second: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["differing", "white"], dtype="int64")
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def differing_columns(first: pd.Series, second: pd.Series) -> pd.Series:
     return pd.Series([np.flatnonzero((_pixels(a) != _pixels(b)).any(axis=1)).astype(np.int32)
                       for a, b in zip(first, second)], dtype=object)

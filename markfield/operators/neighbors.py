@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from markfield.operators.skew import lookup_join
+from markfield.operators.skew import lookup_join, settle
 
 CELL_LIMIT = 1_500
 TILE_ROWS = 4_096
@@ -66,7 +66,7 @@ def box_neighbors(points: DataFrame, patch: int = 128, center: int = 32, *, cell
     zone = _spread_cells(crowded).distinct().withColumn("zone", F.lit(True))
     reach = _spread_cells(zone.select(*CELL)).distinct().withColumn("near", F.lit(True))
     marks = reach.join(zone, CELL, "left").join(own, CELL, "left")
-    tagged = tag(cells, marks)
+    tagged = settle(tag(cells, marks), "tagged_points")
     calm = tagged.filter(F.col("crowded").isNull()).drop("crowded", "near")
     sparse = _pair_counts(calm.filter(F.col("zone").isNull()).drop("zone"), calm.drop("zone"), patch, center)
     tiled = _tile(tagged.filter("near").drop("crowded", "near").fillna(False, ["zone"]), half, tile_rows)
@@ -107,6 +107,8 @@ def _tile(points: DataFrame, half: float, tile_rows: int) -> DataFrame:
     rows = points.withColumn("tile", F.concat_ws("_", F.col("cx"), F.col("cy"))).withColumn(
         "_fx", F.col("x") / half - F.col("cx")).withColumn("_fy", F.col("y") / half - F.col("cy"))
     for _ in range(2):
+        # Each round reads its input for the counts and for the points.
+        rows = settle(rows, "tile_round")
         counts = rows.groupBy("image", "tile").agg(F.count(F.lit(1)).alias("_n"))
         cuts = counts.filter(F.col("_n") > tile_rows).select(
             "image", "tile",
@@ -118,7 +120,7 @@ def _tile(points: DataFrame, half: float, tile_rows: int) -> DataFrame:
                 axis, F.col(axis) * side - F.col(f"{axis}i"))
         rows = rows.withColumn("tile", F.when(F.col("_k").isNull(), F.col("tile")).otherwise(
             F.concat_ws("_", "tile", "_k", "_fxi", "_fyi"))).drop("_k", "_fxi", "_fyi")
-    return rows.drop("_fx", "_fy")
+    return settle(rows.drop("_fx", "_fy"), "tiled_points")
 
 
 def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFrame:
@@ -136,6 +138,7 @@ def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFr
                      F.col("y0") - F.col("p_y1"), F.col("p_y0") - F.col("y1"))
     pairs = left.join(right, [*CELL, "_salt"]).filter(gap < half).select(
         "image", "p_tile", "tile", "n", (far < half).alias("inside"))
+    pairs = settle(pairs, "tile_pairs")
 
     labels = tiled.groupBy("image", "tile", "fine_label").agg(F.count(F.lit(1)).alias("n"))
     whole = lookup_join(pairs.filter("inside").drop("n"), labels.groupBy("image", "tile").agg(

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from markfield.config import Taxonomy
 from markfield.functions import geometry as G
@@ -15,7 +16,7 @@ from markfield.functions import names as N
 from markfield.operators.dedup import content_duplicates, coordinate_duplicates, coordinate_set_key
 from markfield.operators.mapping import file_reason, map_to_raster
 from markfield.operators.skew import hot_keys, settle
-from markfield.sources.files import RASTER_GLOB, listing, qualified, relative_to
+from markfield.sources.files import RASTER_SUFFIXES, listing, read_contents
 
 # Fixed values of the public ImageJ ROI format (big endian).
 ROI_MAGIC = b"Iout"
@@ -24,7 +25,9 @@ ROI_POINT = 10
 ROI_SUBPIXEL_OPTION = 128
 ROI_SUBPIXEL_VERSION = 222
 
-DECODED = "struct<xs:array<double>,ys:array<double>,subpixel:boolean,problem:string>"
+DECODED = T.StructType([
+    T.StructField("xs", T.ArrayType(T.DoubleType())), T.StructField("ys", T.ArrayType(T.DoubleType())),
+    T.StructField("subpixel", T.BooleanType()), T.StructField("problem", T.StringType())])
 
 
 def _points(data: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -74,10 +77,7 @@ def _decode(contents: pd.Series) -> pd.DataFrame:
 
 def scan_annotations(spark: SparkSession, root: str) -> DataFrame:
     """``relpath, bytes, content`` of every ``.roi`` below ``root`` (archives are not read)."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.roi").load(root)
-    return found.select(relative_to(F.col("path"), qualified(spark, root)).alias("relpath"),
-                        F.col("length").alias("bytes"), "content")
+    return read_contents(listing(spark, root, (".roi",)).filter(F.col("relpath").endswith(".roi")))
 
 
 def decode_annotations(files: DataFrame) -> DataFrame:
@@ -158,4 +158,4 @@ def discover(spark: SparkSession, root: str, taxonomy: Taxonomy | None = None,
              legacy_double_stem: bool = False) -> DataFrame:
     """Every annotation file below ``root`` with label, image, status, reason and points."""
     decoded = decode_annotations(scan_annotations(spark, root))
-    return resolve_files(decoded, listing(spark, root, RASTER_GLOB), taxonomy, legacy_double_stem)
+    return resolve_files(decoded, listing(spark, root, RASTER_SUFFIXES), taxonomy, legacy_double_stem)

@@ -11,7 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RASTER_GLOB = "*.{[tT][iI][fF],[tT][iI][fF][fF],[jJ][pP][gG],[jJ][pP][eE][gG]}"
+from markfield.operators.skew import settle
+
+RASTER_SUFFIXES = (".tif", ".tiff", ".jpg", ".jpeg")
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -31,26 +33,80 @@ def relative_to(path: Column, root: str) -> Column:
     return F.substring(path, len(root) + 2, 1 << 30)
 
 
-def listing(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """``relpath, path, bytes, modified`` of the files below ``root``; no content is read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+def listing(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (), hidden: bool = True) -> DataFrame:
+    """``relpath, path, bytes, modified`` of the files below ``root``; no content is read.
+
+    Folders are listed by tasks, one level of the tree per round. Spark's own file
+    sources leave out empty files and names starting with ``_`` or ``.``, which are part
+    of the input here. ``suffixes`` are compared without regard to case.
+    """
     base = qualified(spark, root)
-    return reader.load(root).select(relative_to(F.col("path"), base).alias("relpath"), "path",
-                                    F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    schema = "path string, folder boolean, bytes bigint, modified bigint"
 
+    def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder in batch["path"]:
+                yield pd.DataFrame(_children(folder), columns=["path", "folder", "bytes", "modified"])
+
+    found, frontier = None, spark.createDataFrame([(base,)], "path string")
+    while True:
+        level = settle(frontier.mapInPandas(children, schema), "listing")
+        files = level.filter("NOT folder")
+        found = files if found is None else found.unionByName(files)
+        frontier = level.filter("folder").select("path")
+        if not frontier.head(1):
+            break
+        frontier = frontier.repartition("path")
+    name = F.element_at(F.split("path", "/"), -1)
+    if suffixes:
+        found = found.filter(F.lower(name).rlike("(" + "|".join(re.escape(s) for s in suffixes) + ")$"))
+    if not hidden:
+        found = found.filter(~name.rlike("^[_.]"))
+    return found.select(relative_to(F.col("path"), base).alias("relpath"), "path", "bytes", "modified")
+
+
+def _filesystem(path: str):
+    """Filesystem object and the path inside it."""
+    from pyarrow import fs
 
-def open_file(path: str):
-    """Seekable stream of a file on any filesystem the executors can reach."""
     if path.startswith("file:") or path.startswith("/"):
-        return open(re.sub(r"^file:/*", "/", path), "rb")
+        return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
+    return fs.FileSystem.from_uri(quote(path, safe=":/@"))
+
+
+def _children(folder: str) -> list[tuple]:
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    system, inner = _filesystem(folder)
+    rows = []
+    for info in system.get_file_info(fs.FileSelector(inner)):
+        rows.append((f"{folder}/{info.base_name}", info.type == fs.FileType.Directory, int(info.size or 0),
+                     int(info.mtime_ns or 0)))
+    return rows
+
+
+def open_file(path: str):
+    """Seekable stream of a file on any filesystem the executors can reach."""
+    system, inner = _filesystem(path)
     return system.open_input_file(inner)
 
 
+def read_contents(files: DataFrame) -> DataFrame:
+    """``relpath, bytes, content`` of small files of a listing."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 64):
+                part = batch.iloc[start:start + 64]
+                data = []
+                for path in part["path"]:
+                    with open_file(path) as stream:
+                        data.append(stream.read())
+                yield pd.DataFrame({"relpath": part["relpath"], "bytes": part["bytes"], "content": data})
+
+    spread = files.select("relpath", "path", "bytes").repartition("relpath")
+    return spread.mapInPandas(read, "relpath string, bytes bigint, content binary")
+
+
 def stream_sha256(path: str, chunk: int = 8 << 20) -> str:
     digest = hashlib.sha256()
     with open_file(path) as stream:

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from markfield.functions.pixels import swap_red_blue
 from markfield.sources.files import open_file, relative_to, qualified, stream_sha256
@@ -161,7 +162,7 @@ def image_rows(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
     return raw.select("image", "row_no", swap_red_blue(three_channels("raw", "channels")).alias("px"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def three_channels(rows: pd.Series, channels: pd.Series) -> pd.Series:
     """Grey rows repeated to three channels, a fourth channel dropped."""
     def fit(row: bytes, count: int) -> bytes:
