@@ -27,15 +27,27 @@ def _uniform(rows: pd.Series) -> np.ndarray | None:
     return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1, 3)
 
 
+def _cut(block: np.ndarray) -> pd.Series:
+    """Rows of a block as bytes."""
+    data, size = np.ascontiguousarray(block).tobytes(), block[0].nbytes
+    return pd.Series([data[i:i + size] for i in range(0, len(data), size)], dtype=object)
+
+
 @F.pandas_udf(T.BinaryType())
 def mirror_row(rows: pd.Series) -> pd.Series:
     """Reverse the pixels of a scan line."""
+    block = _uniform(rows)
+    if block is not None:
+        return _cut(block[:, ::-1])
     return rows.map(lambda row: None if row is None else _pixels(row)[::-1].tobytes())
 
 
 @F.pandas_udf(T.BinaryType())
 def swap_red_blue(rows: pd.Series) -> pd.Series:
     """BGR bytes to RGB bytes (and back)."""
+    block = _uniform(rows)
+    if block is not None:
+        return _cut(block[:, :, ::-1])
     return rows.map(lambda row: None if row is None else _pixels(row)[:, ::-1].tobytes())
 
 
@@ -54,39 +66,57 @@ def slice_moments(rows: pd.Series) -> pd.DataFrame:
 
 
 def strided_grey(px: Column, stride: int) -> Column:
-    """Channel sums of every ``stride``-th pixel of a row."""
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    """Channel sums of every ``stride``-th pixel of a row, as packed 16-bit numbers."""
+    @F.pandas_udf(T.BinaryType())
     def take(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda row: _pixels(row)[::stride].sum(axis=1, dtype=np.int32))
+        block = _uniform(rows)
+        if block is not None:
+            return _cut(block[:, ::stride].sum(axis=2, dtype=np.uint16))
+        return rows.map(lambda row: _pixels(row)[::stride].sum(axis=1, dtype=np.uint16).tobytes())
     return take(px)
 
 
 @F.pandas_udf(_longs("n", "a", "b", "aa", "bb", "ab", "ab_mirrored"))
 def row_products(first: pd.Series, second: pd.Series) -> pd.DataFrame:
     """Sums needed for the correlation of two grey rows, plain and with the second mirrored."""
-    out = []
-    for left, right in zip(first, second):
-        a, b = np.asarray(left, np.int64), np.asarray(right, np.int64)
-        out.append((len(a), a.sum(), b.sum(), (a * a).sum(), (b * b).sum(), (a * b).sum(), (a * b[::-1]).sum()))
     names = ["n", "a", "b", "aa", "bb", "ab", "ab_mirrored"]
-    return pd.DataFrame(np.array(out, np.int64).reshape(-1, 7), columns=names)
+    out = np.zeros((len(first), 7), np.int64)
+    lengths = first.map(len).to_numpy()
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        a, b = (np.frombuffer(b"".join(side.iloc[at]), np.uint16).reshape(len(at), -1).astype(np.int64)
+                for side in (first, second))
+        sums = [a.sum(1), b.sum(1), (a * a).sum(1), (b * b).sum(1), (a * b).sum(1), (a * b[:, ::-1]).sum(1)]
+        out[at] = np.stack([np.full(len(at), length // 2), *sums], axis=1)
+    return pd.DataFrame(out, columns=names)
+
+
+def _mismatch(first: pd.Series, second: pd.Series):
+    """Pairs of rows grouped by length: row numbers, first pixels, mask of differing pixels."""
+    lengths = first.map(len).to_numpy()
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        a, b = (np.frombuffer(b"".join(side.iloc[at]), np.uint8).reshape(len(at), -1, 3) for side in (first, second))
+        yield at, a, (a != b).any(axis=2)
 
 
 @F.pandas_udf(_longs("differing", "white"))
 def count_differences(first: pd.Series, second: pd.Series) -> pd.DataFrame:
     """Differing pixels of two rows and how many of them are pure white in the first."""
-    out = []
-    for left, right in zip(first, second):
-        a = _pixels(left)
-        differs = (a != _pixels(right)).any(axis=1)
-        out.append((int(differs.sum()), int((a[differs] == 255).all(axis=1).sum())))
-    return pd.DataFrame(out, columns=["differing", "white"], dtype="int64")
+    out = np.zeros((len(first), 2), np.int64)
+    for at, a, differs in _mismatch(first, second):
+        out[at, 0] = differs.sum(axis=1)
+        out[at, 1] = (differs & (a == 255).all(axis=2)).sum(axis=1)
+    return pd.DataFrame(out, columns=["differing", "white"])
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def differing_columns(first: pd.Series, second: pd.Series) -> pd.Series:
-    return pd.Series([np.flatnonzero((_pixels(a) != _pixels(b)).any(axis=1)).astype(np.int32)
-                      for a, b in zip(first, second)], dtype=object)
+    out: list = [None] * len(first)
+    for at, _, differs in _mismatch(first, second):
+        for row, mask in zip(at, differs):
+            out[row] = np.flatnonzero(mask).astype(np.int32)
+    return pd.Series(out, dtype=object)
 
 
 def row_slice(px: Column, left: Column, width: Column) -> Column:

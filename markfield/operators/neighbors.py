@@ -206,31 +206,25 @@ def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0) -> Da
     point meets at most the few pixels of nine small cells. Images without points give
     a null fraction.
     """
-    cell_x, cell_y = (F.floor(F.col(c) / radius).cast("bigint") for c in ("x", "y"))
-    tested = pixels.select("image", "x", "y", cell_x.alias("cx"), cell_y.alias("cy"))
-    marks = points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy"),
-                          cell_x.alias("cx"), cell_y.alias("cy"))
-    dx, dy = F.col("x") - F.col("qx"), F.col("y") - F.col("qy")
-    hits = (_spread_cells(tested).join(marks, CELL)
-            .filter(F.sqrt(dx * dx + dy * dy) <= radius)
-            .select("image", "x", "y").distinct()
-            .groupBy("image").agg(F.count(F.lit(1)).alias("near")))
-    totals = tested.groupBy("image").agg(F.count(F.lit(1)).alias("tested"))
+    found = nearest_distance(pixels, points, radius)
     with_points = points.select("image").distinct().withColumn("_has", F.lit(True))
-    return (totals.join(hits, "image", "left").join(with_points, "image", "left")
-            .select("image", "tested", F.coalesce("near", F.lit(0)).alias("near"),
-                    F.when(F.col("_has"), F.bround(F.coalesce("near", F.lit(0)) / F.col("tested"), 4))
-                    .alias("near_fraction")))
+    counted = found.groupBy("image").agg(F.count(F.lit(1)).alias("tested"), F.count("distance").alias("near"))
+    return counted.join(with_points, "image", "left").select(
+        "image", "tested", "near", F.when(F.col("_has"), F.bround(F.col("near") / F.col("tested"), 4)).alias("near_fraction"))
 
 
 def nearest_distance(pixels: DataFrame, points: DataFrame, radius: float) -> DataFrame:
-    """Distance to the nearest point within ``radius`` per pixel, null beyond it."""
+    """Distance to the nearest point within ``radius`` per pixel, null beyond it.
+
+    Points, the smaller side, are repeated to nine cells of the radius; pixels stay in
+    their own, so joining and taking the minimum share one shuffle.
+    """
     cell_x, cell_y = (F.floor(F.col(c) / radius).cast("bigint") for c in ("x", "y"))
     tested = pixels.select("image", "x", "y", cell_x.alias("cx"), cell_y.alias("cy"))
-    marks = points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy"),
-                          cell_x.alias("cx"), cell_y.alias("cy"))
+    marks = _spread_cells(points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy"),
+                                        cell_x.alias("cx"), cell_y.alias("cy")))
     dx, dy = F.col("x") - F.col("qx"), F.col("y") - F.col("qy")
     distance = F.sqrt(dx * dx + dy * dy)
-    found = (_spread_cells(tested).join(marks, CELL).withColumn("distance", distance)
-             .filter(F.col("distance") <= radius).groupBy("image", "x", "y").agg(F.min("distance").alias("distance")))
-    return tested.select("image", "x", "y").join(found, ["image", "x", "y"], "left")
+    near = tested.join(marks, CELL, "left").groupBy(*CELL, "x", "y").agg(
+        F.min(F.when(distance <= radius, distance)).alias("distance"))
+    return near.drop("cx", "cy")

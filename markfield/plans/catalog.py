@@ -16,7 +16,7 @@ from markfield.operators import grids as C
 from markfield.operators import mapping as M
 from markfield.operators import report as R
 from markfield.operators.neighbors import COUNTS, box_neighbors, near_points, nearest_distance
-from markfield.operators.skew import exact_median, inline_list
+from markfield.operators.skew import exact_median, inline_list, settle
 from markfield.operators.windows import crop
 from markfield.plans import standins as S
 from markfield.sources.annotations import decode_annotations, name_facts, resolve_files
@@ -38,7 +38,7 @@ def query(function: Query) -> Query:
 # ------------------------------------------------------------------ names and files
 
 def _named(spark: SparkSession, sf: str) -> DataFrame:
-    return name_facts(S.shared(S.table(spark, sf, "orders"), S.ANNOTATION_FILES))
+    return name_facts(S.shared(S.spread(S.table(spark, sf, "orders")), S.ANNOTATION_FILES))
 
 
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,9 +333,11 @@ def _rasters(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFr
 def _evidence(spark: SparkSession, sf: str) -> DataFrame:
     """Comparison evidence and the chosen pixel source of every raster."""
     tiff, twin, sizes, twin_sizes = _rasters(spark, sf)
-    best = A.best_transform(A.row_agreement(tiff, twin, sizes, twin_sizes))
+    best = settle(A.best_transform(A.row_agreement(tiff, twin, sizes, twin_sizes)), "row_agreement")
+    unlike = best.filter(F.col("best_score") < SMALL.min_exact_rows).select("image")
     same = sizes.join(twin_sizes.select("image", "width", F.col("height").alias("h2")), ["image", "width"]).filter("height = h2")
-    relation = A.confident_relation(A.correlations(tiff, twin, same, SMALL.relation_stride), SMALL)
+    relation = A.confident_relation(A.correlations(
+        tiff.join(unlike, "image", "left_semi"), twin.join(unlike, "image", "left_semi"), same, SMALL.relation_stride), SMALL)
     joined = (sizes.join(twin_sizes.select("image", F.lit(True).alias("has_twin")), "image", "left")
               .join(best, "image", "left").join(relation.select("image", "relation"), "image", "left"))
     chosen = A.choose_source(F.coalesce("has_twin", F.lit(False)), F.col("best"), F.col("best_score"), F.col("relation"), SMALL)

@@ -91,6 +91,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a table stored in fewer splits than there are cores to all cores; larger ones stay as read."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def shared(rows: DataFrame, expressions: dict[str, str]) -> DataFrame:
     return rows.selectExpr(*[f"{text} AS {name}" for name, text in expressions.items()])
 
@@ -109,7 +115,7 @@ def _float_hex(value: Column) -> Column:
 
 def annotation_bytes(spark: SparkSession, sf: str) -> DataFrame:
     """``relpath, bytes, content`` plus the shared columns; content is a real point file."""
-    files = shared(table(spark, sf, "orders"), ANNOTATION_FILES)
+    files = shared(spread(table(spark, sf, "orders")), ANNOTATION_FILES)
     key, steps = F.col("custkey"), F.sequence(F.lit(0).cast("bigint"), F.col("points_wanted") - 1)
     xs = F.transform(steps, lambda i: (key * 7 + i * 13) % 400 + 10)
     ys = F.transform(steps, lambda i: (key * 11 + i * 29) % 180 + 10)
@@ -143,7 +149,7 @@ def coarse_refs(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as a raster: 32 RGB pixels per row, the last row padded with zeros."""
-    text = table(spark, sf, "documents").select("doc_id", "source", F.encode("text", "UTF-8").alias("data"))
+    text = spread(table(spark, sf, "documents").select("doc_id", "source", "text")).select("doc_id", "source", F.encode("text", "UTF-8").alias("data"))
     height = F.ceil(F.octet_length("data") / LINE).cast("int")
     rows = text.select("doc_id", "source", "data", height.alias("height"),
                        F.explode(F.sequence(F.lit(0), height - 1)).alias("row_no"))
