@@ -1,6 +1,7 @@
 """Row-wise comparison of a raster with its twin and the resulting pixel source.
 
-A raster is a set of rows ``image, row_no, px``. Rows are compared by digest, so the
+A raster is a set of rows ``image, row_no, px``; candidate rows also carry ``height``, so
+that flipping a row number needs no join. Rows are compared by digest, so the
 comparison shuffles 32 bytes per scan line and each raster is read once for all four
 transforms; pixels themselves only travel for rows that are known to differ.
 """
@@ -32,13 +33,6 @@ def flip_rows(rows: DataFrame, name: Column, height: Column) -> DataFrame:
         F.when(mirrored, mirror_row("px")).otherwise(F.col("px")).alias("px"))
 
 
-def raster_sizes(rows: DataFrame) -> DataFrame:
-    """``image, width, height`` of each raster present."""
-    return rows.groupBy("image").agg(
-        F.max(F.octet_length("px") / 3).cast("int").alias("width"),
-        (F.max("row_no") + 1).cast("int").alias("height"))
-
-
 def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
                   candidate_sizes: DataFrame) -> DataFrame:
     """Share of bit-identical rows per image and transform, 6 decimals.
@@ -50,9 +44,8 @@ def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
         "image", F.col("width").alias("c_width"), F.col("height").alias("c_height")), "image")
     same_size = (F.col("width") == F.col("c_width")) & (F.col("height") == F.col("c_height"))
     own = reference.select("image", "row_no", F.sha2("px", 256).alias("digest"))
-    other = candidate.select("image", "row_no", F.sha2("px", 256).alias("plain"),
+    other = candidate.select("image", "row_no", F.col("height").alias("_h"), F.sha2("px", 256).alias("plain"),
                              F.sha2(mirror_row("px"), 256).alias("mirrored"))
-    other = other.join(candidate_sizes.select("image", F.col("height").alias("_h")), "image")
     # Each candidate row is met twice: at its own row number and at the flipped one.
     at = F.explode(F.array(
         F.struct(F.col("row_no").alias("row_no"), F.lit(False).alias("upside")),
@@ -86,19 +79,19 @@ def best_transform(scores: DataFrame, score: str = "agreement") -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("transform", score))).alias("scores"))
 
 
-def correlations(reference: DataFrame, candidate: DataFrame, heights: DataFrame, stride: int = 8) -> DataFrame:
+def correlations(reference: DataFrame, candidate: DataFrame, stride: int = 8) -> DataFrame:
     """Pearson correlation of the strided grey rasters under each transform, 4 decimals.
 
     Only for rasters of equal size. Channel sums are integers, so the moments are exact
     and a constant raster gives exactly 0.0.
     """
-    def small(rows: DataFrame, name: str) -> DataFrame:
+    def small(rows: DataFrame, name: str, *more) -> DataFrame:
         return rows.filter(F.col("row_no") % stride == 0).select(
-            "image", F.floor(F.col("row_no") / stride).cast("int").alias("row"),
+            "image", *more, F.floor(F.col("row_no") / stride).cast("int").alias("row"),
             strided_grey(F.col("px"), stride).alias(name))
 
     last = F.floor((F.col("height") - 1) / stride).cast("int")
-    other = small(candidate, "b").join(heights.select("image", last.alias("_last")), "image")
+    other = small(candidate, "b", last.alias("_last"))
     at = F.explode(F.array(F.struct(F.col("row").alias("row"), F.lit(False).alias("upside")),
                            F.struct((F.col("_last") - F.col("row")).alias("row"), F.lit(True).alias("upside"))))
     other = other.select("image", "b", at.alias("_at")).select("image", "b", "_at.row", "_at.upside")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from markfield.config import CONTROL_SHIFTS, Settings
 from markfield.functions.pixels import slice_moments
-from markfield.operators.skew import exact_median, lookup_join
+from markfield.operators.skew import exact_median, lookup_join, settle
 from markfield.operators.windows import window_slices
 
 
@@ -69,8 +69,13 @@ def contrast_ratio(points: DataFrame, rows: DataFrame, sizes: DataFrame, group:
     sized = lookup_join(points, sizes.select("image", "width", "height"), ["image"], [*group, "point_no"], how="inner")
     usable = sized.filter(inside_margin(F.col("x"), F.col("y"), F.col("width"), F.col("height"), margin)).select(
         *group, "point_no", "image", "x", "y")
-    windows = window_spread(usable, rows, [*group, "point_no"], radius, shifts).withColumn(
-        "control", F.col("shift") > 0)
+    return ratio_of_spreads(window_spread(usable, rows, [*group, "point_no"], radius, shifts), group, radius)
+
+
+def ratio_of_spreads(spreads: DataFrame, group: Sequence[str], radius: int) -> DataFrame:
+    """Contrast per group from ``group, shift, spread`` (shift 0 is the point itself)."""
+    # Fetching windows is the costly part and the median reads them twice.
+    windows = settle(spreads.select(*group, (F.col("shift") > 0).alias("control"), "spread"), "window_spreads")
     medians = exact_median(windows, [*group, "control"], "spread").withColumn(
         "median", (spread_to_std(F.col("lower"), radius) + spread_to_std(F.col("upper"), radius)) / 2)
     control = F.col("control")

@@ -327,7 +327,7 @@ def hash_mismatches(spark, sf):
 def _rasters(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     rows = S.document_rows(spark, sf)
     tiff, twin = S.tiff_rows(rows).select("image", "row_no", "px"), S.twin_rows(rows)
-    return tiff, twin, A.raster_sizes(tiff), A.raster_sizes(twin)
+    return tiff, twin, *S.document_sizes(spark, sf)
 
 
 def _evidence(spark: SparkSession, sf: str) -> DataFrame:
@@ -335,19 +335,25 @@ def _evidence(spark: SparkSession, sf: str) -> DataFrame:
     tiff, twin, sizes, twin_sizes = _rasters(spark, sf)
     best = settle(A.best_transform(A.row_agreement(tiff, twin, sizes, twin_sizes)), "row_agreement")
     unlike = best.filter(F.col("best_score") < SMALL.min_exact_rows).select("image")
-    same = sizes.join(twin_sizes.select("image", "width", F.col("height").alias("h2")), ["image", "width"]).filter("height = h2")
+    unlike = unlike.join(sizes.join(twin_sizes, ["image", "width", "height"]), "image", "left_semi")
     relation = A.confident_relation(A.correlations(
-        tiff.join(unlike, "image", "left_semi"), twin.join(unlike, "image", "left_semi"), same, SMALL.relation_stride), SMALL)
+        tiff.join(unlike, "image", "left_semi"), twin.join(unlike, "image", "left_semi"), SMALL.relation_stride), SMALL)
     joined = (sizes.join(twin_sizes.select("image", F.lit(True).alias("has_twin")), "image", "left")
               .join(best, "image", "left").join(relation.select("image", "relation"), "image", "left"))
     chosen = A.choose_source(F.coalesce("has_twin", F.lit(False)), F.col("best"), F.col("best_score"), F.col("relation"), SMALL)
     return joined.withColumn("_c", chosen).select("image", "width", "height", "best", "best_score", "relation", "_c.*")
 
 
+def _correlations(spark: SparkSession, sf: str) -> DataFrame:
+    tiff, twin, sizes, twin_sizes = _rasters(spark, sf)
+    same = sizes.join(twin_sizes, ["image", "width", "height"]).select("image")
+    return A.correlations(tiff, twin.join(same, "image", "left_semi"), SMALL.relation_stride)
+
+
 def _differing(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Rows of the checked rasters that differ from the original documents."""
     rows = S.document_rows(spark, sf)
-    return A.differing_rows(S.tiff_rows(rows), rows), A.raster_sizes(rows)
+    return A.differing_rows(S.tiff_rows(rows), rows), S.document_sizes(spark, sf)[0]
 
 
 @query
@@ -369,17 +375,12 @@ def flip_rows(spark, sf):
 
 @query
 def correlation(spark, sf):
-    tiff, twin, sizes, twin_sizes = _rasters(spark, sf)
-    same = sizes.join(twin_sizes.select("image", F.col("height").alias("h2")), "image").filter("height = h2")
-    scores = A.correlations(tiff, twin, same, SMALL.relation_stride)
-    return scores.join(same.select("image"), "image", "left_semi")
+    return _correlations(spark, sf)
 
 
 @query
 def low_resolution_relation(spark, sf):
-    tiff, twin, sizes, twin_sizes = _rasters(spark, sf)
-    same = sizes.join(twin_sizes.select("image", F.col("height").alias("h2")), "image").filter("height = h2")
-    return A.confident_relation(A.correlations(tiff, twin, same, SMALL.relation_stride), SMALL).select("image", "relation")
+    return A.confident_relation(_correlations(spark, sf), SMALL).select("image", "relation")
 
 
 @query
@@ -393,7 +394,7 @@ def rebuilt_rows(spark, sf):
     rows = S.document_rows(spark, sf)
     twin = S.twin_rows(rows)
     chosen = _evidence(spark, sf).filter("pixel_check = 'tiff_damaged_rebuilt_from_jpeg'").select(
-        "image", "height", F.col("jpeg_to_tiff").alias("t"))
+        "image", F.col("jpeg_to_tiff").alias("t"))
     joined = twin.join(chosen, "image")
     return A.flip_rows(joined, F.col("t"), F.col("height")).select("image", "row_no", F.hex("px").alias("px"))
 

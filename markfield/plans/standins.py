@@ -177,7 +177,20 @@ def twin_rows(rows: DataFrame) -> DataFrame:
         F.array(*map(F.lit, ("identity", "hflip", "vflip", "rot180"))), (F.col("doc_id") % 4 + 1).cast("int")))
     short = (F.col("doc_id") % 13 == 0) & (F.col("height") > 1)
     kept = kept.withColumn("c_height", F.when(short, F.col("height") - 1).otherwise(F.col("height")))
-    return flip_rows(kept, F.col("t"), F.col("c_height")).select("image", "row_no", "px")
+    return flip_rows(kept.drop("height"), F.col("t"), F.col("c_height")).select(
+        "image", "row_no", F.col("c_height").alias("height"), "px")
+
+
+def document_sizes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """``image, width, height`` of the checked rasters and of their twins."""
+    text = table(spark, sf, "documents").select(
+        "doc_id", "source", F.ceil(F.octet_length(F.encode("text", "UTF-8")) / LINE).cast("int").alias("height"))
+    image, width = F.col("doc_id").cast("string").alias("image"), F.lit(WIDTH).alias("width")
+    short = (F.col("doc_id") % 13 == 0) & (F.col("height") > 1)
+    own = text.select(image, width, "height")
+    twin = text.filter(F.col("source") != "src3").select(
+        image, width, F.when(short, F.col("height") - 1).otherwise(F.col("height")).alias("height"))
+    return own, twin
 
 
 def raster_points(spark: SparkSession, sf: str) -> DataFrame:

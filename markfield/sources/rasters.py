@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,7 @@ from markfield.functions.pixels import swap_red_blue
 from markfield.sources.files import open_file, relative_to, qualified, stream_sha256
 
 CHUNK_BYTES = 16 << 20
+ROWS = "image string, row_no int, height int, px binary"
 
 # Fixed values of the public TIFF 6.0 / BigTIFF format.
 TIFF_TAGS = {256: "width", 257: "height", 258: "bits", 259: "compression", 262: "photometric", 273: "offsets",
@@ -113,7 +114,7 @@ def require_rgb(headers: DataFrame) -> None:
 
 
 def strip_rows(headers: DataFrame) -> DataFrame:
-    """``image, row_no, px`` of uncompressed TIFFs, read in chunks at file offsets."""
+    """``image, row_no, height, px`` of uncompressed TIFFs, read in chunks at file offsets."""
     line = F.col("width").cast("bigint") * 3
     per_chunk = F.greatest(F.lit(1), F.floor(F.lit(CHUNK_BYTES) / line))
     strips = headers.filter("strips").select(
@@ -124,7 +125,7 @@ def strip_rows(headers: DataFrame) -> DataFrame:
     chunks = strips.filter(F.col("rows") > 0).withColumn("skip", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.col("rows") - 1, F.col("per_chunk").cast("bigint"))))
     chunks = chunks.select(
-        "image", "path", "line", (F.col("first") + F.col("skip")).alias("row_no"),
+        "image", "path", "height", "line", (F.col("first") + F.col("skip")).alias("row_no"),
         F.least(F.col("per_chunk"), F.col("rows") - F.col("skip")).cast("bigint").alias("rows"),
         (F.col("offset") + F.col("skip") * F.col("line")).alias("offset"))
 
@@ -138,28 +139,103 @@ def strip_rows(headers: DataFrame) -> DataFrame:
                     raise ValueError(f"truncated TIFF: {chunk.image}")
                 yield pd.DataFrame({
                     "image": chunk.image, "row_no": np.arange(chunk.row_no, chunk.row_no + chunk.rows, dtype=np.int32),
-                    "px": [data[i:i + chunk.line] for i in range(0, len(data), chunk.line)]})
+                    "height": np.int32(chunk.height), "px": [data[i:i + chunk.line] for i in range(0, len(data), chunk.line)]})
+
+    return chunks.repartition("image", "row_no").mapInPandas(read, ROWS)
+
+
+class _RowReader:
+    """Rows of one uncompressed TIFF in ascending order, holding only the part in use."""
+
+    def __init__(self, path: str):
+        self.stream = open_file(path)
+        tags, _ = _tiff_directory(self.stream)
+        self.width, self.height = tags["width"][0], tags["height"][0]
+        self.per_strip = min(tags.get("rows_per_strip", [self.height])[0], self.height)
+        self.offsets, self.line = tags["offsets"], 3 * self.width
+        self.first = self.last = 0
+        self.rows = np.zeros((0, self.line), np.uint8)
+
+    def _load(self, first: int, last: int) -> np.ndarray:
+        parts = []
+        while first < last:
+            strip, inside = divmod(first, self.per_strip)
+            count = min(self.per_strip - inside, last - first)
+            self.stream.seek(self.offsets[strip] + inside * self.line)
+            parts.append(self.stream.read(count * self.line))
+            first += count
+        return np.frombuffer(b"".join(parts), np.uint8).reshape(-1, self.line)
+
+    def window(self, left: int, top: int, width: int, height: int) -> np.ndarray:
+        if not (0 <= left <= self.width - width and 0 <= top <= self.height - height):
+            raise ValueError("window outside the raster")
+        if top < self.first or top + height > self.last:
+            kept = self.rows[max(top - self.first, 0):] if self.first <= top < self.last else self.rows[:0]
+            start = self.last if len(kept) else top
+            end = min(self.height, max(top + height, start + max(1, CHUNK_BYTES // self.line)))
+            self.rows = np.concatenate([kept, self._load(start, end)])
+            self.first, self.last = start - len(kept), end
+        part = self.rows[top - self.first:top - self.first + height, 3 * left:3 * (left + width)]
+        return part.reshape(height, width, 3)
+
+
+def _read_windows(boxes: DataFrame, keys: Sequence[str], width: int, height: int, values: dict, reduce) -> DataFrame:
+    """Apply ``reduce`` to the window of every box, next to the file it comes from.
+
+    Boxes are range-partitioned by file and row, so each task walks down a stretch of one
+    raster and reads its bytes once; a crowded stretch is split over tasks by the key. No
+    pixels are shuffled.
+    """
+    kept = boxes.select(*keys, "path", F.col("left").cast("bigint").alias("left"), F.col("top").cast("bigint").alias("top"))
+    schema = T.StructType([kept.schema[name] for name in keys] + [T.StructField(k, v) for k, v in values.items()])
+    names = list(keys)
 
-    return chunks.repartition("image", "row_no").mapInPandas(read, "image string, row_no int, px binary")
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, current = None, None
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.iloc[at:at + 512]
+                out = []
+                for path, left, top in zip(part["path"], part["left"], part["top"]):
+                    if path != current:
+                        reader, current = _RowReader(path), path
+                    out.append(reduce(reader.window(left, top, width, height)))
+                yield pd.concat([part[names].reset_index(drop=True), pd.DataFrame(out, columns=list(values))], axis=1)
+
+    ordered = kept.repartitionByRange("path", "top", *keys).sortWithinPartitions("path", "top")
+    return ordered.mapInPandas(read, schema)
+
+
+def read_patches(boxes: DataFrame, key: str, size: int) -> DataFrame:
+    """``key, pixels`` of ``size`` x ``size`` boxes ``key, path, left, top`` in uncompressed TIFFs."""
+    return _read_windows(boxes, [key], size, size, {"pixels": T.BinaryType()}, lambda w: (w.tobytes(),))
+
+
+def read_spreads(boxes: DataFrame, keys: Sequence[str], side: int) -> DataFrame:
+    """``keys, spread`` of square windows: n * sum(s^2) - (sum s)^2 of the channel sums."""
+    def spread(window: np.ndarray) -> tuple[int]:
+        grey = window.sum(axis=2, dtype=np.int64)
+        return (int(grey.size * (grey * grey).sum() - grey.sum() ** 2),)
+    return _read_windows(boxes, keys, side, side, {"spread": T.LongType()}, spread)
 
 
 def image_rows(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
-    """``image, row_no, px`` of files Spark's image source can decode, pixels as stored."""
-    schema = "image string, row_no int, px binary"
+    """``image, row_no, height, px`` of files Spark's image source can decode, pixels as stored."""
     if not paths:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], ROWS)
     base = qualified(spark, root)
     picture = spark.read.format("image").load(paths)
     origin = decode_origin(F.col("image.origin"))
     rows = picture.select(
         relative_to(origin, base).alias("image"), F.col("image.width").alias("width"),
-        F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"),
+        F.col("image.height").alias("height"), F.col("image.nChannels").alias("channels"),
+        F.col("image.data").alias("data"),
         F.explode(F.sequence(F.lit(0), F.col("image.height") - 1)).alias("row_no"))
     line = F.col("width") * F.col("channels")
-    raw = rows.select("image", "row_no", "channels",
+    raw = rows.select("image", "row_no", "height", "channels",
                       F.substring("data", F.col("row_no") * line + 1, line).alias("raw"))
     # The source stores BGR.
-    return raw.select("image", "row_no", swap_red_blue(three_channels("raw", "channels")).alias("px"))
+    return raw.select("image", "row_no", "height", swap_red_blue(three_channels("raw", "channels")).alias("px"))
 
 
 @F.pandas_udf(T.BinaryType())
