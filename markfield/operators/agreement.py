@@ -1,7 +1,8 @@
 """Row-wise comparison of a raster with its twin and the resulting pixel source.
 
 A raster is a set of rows ``image, row_no, px``; candidate rows also carry ``height``, so
-that flipping a row number needs no join. Rows are compared by digest, so the
+that flipping a row number needs no join. Joins of rows ask for a merge: rows are read
+from a few file names, so Spark would take them for small and broadcast them. Rows are compared by digest, so the
 comparison shuffles 32 bytes per scan line and each raster is read once for all four
 transforms; pixels themselves only travel for rows that are known to differ.
 """
@@ -53,7 +54,7 @@ def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
     met = other.select("image", "plain", "mirrored", at.alias("_at")).select(
         "image", "_at.row_no", "_at.upside", "plain", "mirrored")
     plain, mirrored = F.col("digest") == F.col("plain"), F.col("digest") == F.col("mirrored")
-    equal = own.join(met, ["image", "row_no"]).groupBy("image").agg(
+    equal = own.join(met.hint("merge"), ["image", "row_no"]).groupBy("image").agg(
         F.count_if(plain & ~F.col("upside")).alias("identity"),
         F.count_if(mirrored & ~F.col("upside")).alias("hflip"),
         F.count_if(plain & F.col("upside")).alias("vflip"),
@@ -95,7 +96,7 @@ def correlations(reference: DataFrame, candidate: DataFrame, stride: int = 8) ->
     at = F.explode(F.array(F.struct(F.col("row").alias("row"), F.lit(False).alias("upside")),
                            F.struct((F.col("_last") - F.col("row")).alias("row"), F.lit(True).alias("upside"))))
     other = other.select("image", "b", at.alias("_at")).select("image", "b", "_at.row", "_at.upside")
-    sums = small(reference, "a").join(other, ["image", "row"]).select(
+    sums = small(reference, "a").join(other.hint("merge"), ["image", "row"]).select(
         "image", "upside", row_products("a", "b").alias("m"))
     moments = ["n", "a", "b", "aa", "bb", "ab", "ab_mirrored"]
     whole = sums.groupBy("image", "upside").agg(
@@ -150,7 +151,7 @@ def differing_rows(reference: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """``image, row_no, differing, white, a, b`` for rows whose bytes differ."""
     a = reference.select("image", "row_no", F.col("px").alias("a"))
     b = rebuilt.select("image", "row_no", F.col("px").alias("b"))
-    rows = a.join(b, ["image", "row_no"]).filter(F.col("a") != F.col("b"))
+    rows = a.join(b.hint("merge"), ["image", "row_no"]).filter(F.col("a") != F.col("b"))
     return rows.withColumn("_d", count_differences("a", "b")).select(
         "image", "row_no", "_d.differing", "_d.white", "a", "b")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from markfield.functions import names as N
 from markfield.operators.skew import lookup_join
 
+LITERAL_LIMIT = 500
 TIFF_SUFFIXES = (".tif", ".tiff")
 JPEG_SUFFIXES = (".jpg", ".jpeg")
 
@@ -92,6 +93,14 @@ def domain_violations(rows: DataFrame, column: str, allowed: tuple[str, ...]) ->
     return rows.filter(~F.col(column).isin(*allowed) | F.col(column).isNull()).select(column).distinct()
 
 
+def attach_value(rows: DataFrame, key: str, values: Mapping[str, str], name: str, spread_by: str) -> DataFrame:
+    """Add the mapped value of ``key``; long mappings become a table instead of a literal."""
+    if len(values) <= LITERAL_LIMIT:
+        return rows.withColumn(name, literal_lookup(F.col(key), values))
+    table = rows.sparkSession.createDataFrame(sorted(values.items()), f"{key} string, {name} string")
+    return lookup_join(rows, table, [key], [spread_by])
+
+
 def file_reason(*reasons: Column) -> Column:
     """First reason that applies, in the given order."""
     return F.coalesce(*reasons)

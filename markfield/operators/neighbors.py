@@ -90,7 +90,8 @@ def _pair_counts(queries: DataFrame, targets: DataFrame, patch: int, center: int
     same = F.col("fine_label") == F.col("q_label")
     not_self = F.col("point_id") != F.col("q_id")
     near = (dx < center / 2) & (dy < center / 2)
-    pairs = queries.join(other_side, CELL).filter((dx < patch / 2) & (dy < patch / 2))
+    # Repeating the targets escapes Spark's size estimates, which would broadcast them.
+    pairs = queries.join(other_side.hint("merge"), CELL).filter((dx < patch / 2) & (dy < patch / 2))
     return pairs.groupBy(*CELL, "point_id").agg(
         F.count_if(same & not_self).alias(COUNTS[0]),
         F.count_if(~same).alias(COUNTS[1]),
@@ -136,7 +137,7 @@ def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFr
                      F.col("y1") - F.col("p_y0"), F.col("p_y1") - F.col("y0"))
     gap = F.greatest(F.col("x0") - F.col("p_x1"), F.col("p_x0") - F.col("x1"),
                      F.col("y0") - F.col("p_y1"), F.col("p_y0") - F.col("y1"))
-    pairs = left.join(right, [*CELL, "_salt"]).filter(gap < half).select(
+    pairs = left.join(right.hint("merge"), [*CELL, "_salt"]).filter(gap < half).select(
         "image", "p_tile", "tile", "n", (far < half).alias("inside"))
     pairs = settle(pairs, "tile_pairs")
 
@@ -159,7 +160,7 @@ def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFr
     # chunk is counted in one group together with the asking tile.
     cut = pairs.filter(~F.col("inside")).withColumnRenamed("tile", "q_tile")
     chunks = cut.groupBy("image", "p_tile").agg(F.ceil(F.sum("n") / (4 * TILE_ROWS)).alias("chunks"))
-    cut = cut.join(chunks, ["image", "p_tile"]).select(
+    cut = cut.join(chunks.hint("merge"), ["image", "p_tile"]).select(
         "image", "p_tile", "q_tile", F.pmod(F.xxhash64("q_tile"), F.col("chunks")).alias("chunk"))
     ask = cut.select("image", "p_tile", "chunk").distinct().join(
         asked.withColumnRenamed("tile", "p_tile"), ["image", "p_tile"]).withColumn("asks", F.lit(True))
@@ -225,6 +226,6 @@ def nearest_distance(pixels: DataFrame, points: DataFrame, radius: float) -> Dat
                                         cell_x.alias("cx"), cell_y.alias("cy")))
     dx, dy = F.col("x") - F.col("qx"), F.col("y") - F.col("qy")
     distance = F.sqrt(dx * dx + dy * dy)
-    near = tested.join(marks, CELL, "left").groupBy(*CELL, "x", "y").agg(
+    near = tested.join(marks.hint("merge"), CELL, "left").groupBy(*CELL, "x", "y").agg(
         F.min(F.when(distance <= radius, distance)).alias("distance"))
     return near.drop("cx", "cy")

@@ -39,13 +39,14 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
 def lookup_join(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], spread_by: Sequence[str | Column], *,
     how: str = "left", hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS, salts: int = SALTS,
-    hot: DataFrame | None = None,
+    hot: DataFrame | None = None, strategy: str | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` (one row per key) with hot keys split over ``salts``.
 
     Rows of a hot key take a salt from a hash of ``spread_by`` (repeatable, so a lost
     task recomputes the same rows) and only the matching table rows are repeated.
-    Rows without a key match nothing and are spread the same way.
+    Rows without a key match nothing and are spread the same way. ``strategy`` is a join
+    hint for inputs whose size Spark cannot know before reading them.
     """
     keys = list(keys)
     if hot is None:
@@ -59,7 +60,7 @@ def lookup_join(
         "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))).drop("_hot")
     spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = table.join(hot, keys, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return left.join(right.hint(strategy) if strategy else right, [*keys, "_salt"], how).drop("_salt")
 
 
 def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -20,7 +20,8 @@ def window_slices(boxes: DataFrame, rows: DataFrame, keys: Sequence[str], height
     """
     wanted = boxes.select(*keys, "image", "left", F.explode(
         F.sequence(F.col("top").cast("int"), (F.col("top") + height - 1).cast("int"))).alias("row_no"))
-    met = lookup_join(wanted, rows.select("image", "row_no", "px"), ["image", "row_no"], keys, how="inner")
+    met = lookup_join(wanted, rows.select("image", "row_no", "px"), ["image", "row_no"], keys, how="inner",
+                      strategy="merge")
     return met.select(*keys, "row_no", row_slice(F.col("px"), F.col("left"), width).alias("part"))
 
 
