@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from markfield.config import Taxonomy
+from markfield.operators.skew import work_partitions
 
 
 def split_counts(samples: DataFrame) -> DataFrame:
@@ -106,7 +107,8 @@ def sample_per_label(samples: DataFrame, key: str, count: int) -> DataFrame:
 def mean_patch(patches: DataFrame, label: str = "fine_label", pixels: str = "pixels") -> DataFrame:
     """``label, pos, mean``: element-wise mean of all patches of a label.
 
-    Each task adds its patches up first and sends one total per label and element.
+    Each task adds its patches up first and sends one total per label and element; the
+    number of tasks is bounded so that these totals stay small next to the patches.
     """
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -121,7 +123,9 @@ def mean_patch(patches: DataFrame, label: str = "fine_label", pixels: str = "pix
             yield pd.DataFrame({label: name, "pos": np.arange(len(total), dtype=np.int32),
                                 "total": total, "n": np.int64(counts[name])})
 
-    parts = patches.select(F.col(label).cast("string").alias(label), pixels).mapInPandas(
+    rows = patches.select(F.col(label).cast("string").alias(label), pixels).coalesce(
+        work_partitions(patches.sparkSession))
+    parts = rows.mapInPandas(
         partial, f"{label} string, pos int, total bigint, n bigint")
     return parts.groupBy(label, "pos").agg((F.sum("total") / F.sum("n")).alias("mean"))
 

@@ -25,6 +25,15 @@ MAX_HOT_KEYS = 2_000
 SALTS = 64
 
 
+def work_partitions(spark: SparkSession) -> int:
+    """Task count for work that is far heavier than the rows describing it (files, row ranges).
+
+    Passed as an explicit number: a partitioning by column alone would be merged into
+    very few tasks at run time, because the rows themselves are small.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
              max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """The heaviest keys above ``hot_rows``; at most ``max_keys`` rows.

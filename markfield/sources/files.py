@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.operators.skew import settle
+from markfield.operators.skew import settle, work_partitions
 
 RASTER_SUFFIXES = (".tif", ".tiff", ".jpg", ".jpeg")
 
@@ -56,7 +56,7 @@ def listing(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (), hidd
         frontier = level.filter("folder").select("path")
         if not frontier.head(1):
             break
-        frontier = frontier.repartition("path")
+        frontier = frontier.repartition(work_partitions(spark), "path")
     name = F.element_at(F.split("path", "/"), -1)
     if suffixes:
         found = found.filter(F.lower(name).rlike("(" + "|".join(re.escape(s) for s in suffixes) + ")$"))
@@ -103,7 +103,7 @@ def read_contents(files: DataFrame) -> DataFrame:
                         data.append(stream.read())
                 yield pd.DataFrame({"relpath": part["relpath"], "bytes": part["bytes"], "content": data})
 
-    spread = files.select("relpath", "path", "bytes").repartition("relpath")
+    spread = files.select("relpath", "path", "bytes").repartition(work_partitions(files.sparkSession), "relpath")
     return spread.mapInPandas(read, "relpath string, bytes bigint, content binary")
 
 
@@ -121,7 +121,7 @@ def file_digests(files: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"relpath": batch["relpath"], "sha256": batch["path"].map(stream_sha256)})
 
-    spread = files.select("relpath", "path").repartition("relpath")
+    spread = files.select("relpath", "path").repartition(work_partitions(files.sparkSession), "relpath")
     return spread.mapInPandas(digest, "relpath string, sha256 string")
 
 

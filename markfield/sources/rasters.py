@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from markfield.functions.pixels import swap_red_blue
+from markfield.operators.skew import work_partitions
 from markfield.sources.files import open_file, relative_to, qualified, stream_sha256
 
 CHUNK_BYTES = 16 << 20
@@ -103,7 +104,8 @@ def tiff_headers(files: DataFrame) -> DataFrame:
             rows = [_header(r.relpath, r.path, r.bytes) for r in batch.itertuples()]
             yield pd.DataFrame(rows, columns=fields).astype(object).where(lambda d: d.notna(), None)
 
-    return files.select("relpath", "path", "bytes").repartition("relpath").mapInPandas(inspect, HEADER)
+    tasks = work_partitions(files.sparkSession)
+    return files.select("relpath", "path", "bytes").repartition(tasks, "relpath").mapInPandas(inspect, HEADER)
 
 
 def require_rgb(headers: DataFrame) -> None:
@@ -141,7 +143,7 @@ def strip_rows(headers: DataFrame) -> DataFrame:
                     "image": chunk.image, "row_no": np.arange(chunk.row_no, chunk.row_no + chunk.rows, dtype=np.int32),
                     "height": np.int32(chunk.height), "px": [data[i:i + chunk.line] for i in range(0, len(data), chunk.line)]})
 
-    return chunks.repartition("image", "row_no").mapInPandas(read, ROWS)
+    return chunks.repartition(work_partitions(headers.sparkSession), "image", "row_no").mapInPandas(read, ROWS)
 
 
 class _RowReader:
@@ -198,11 +200,14 @@ def _read_windows(boxes: DataFrame, keys: Sequence[str], width: int, height: int
                 out = []
                 for path, left, top in zip(part["path"], part["left"], part["top"]):
                     if path != current:
+                        if reader:
+                            reader.stream.close()
                         reader, current = _RowReader(path), path
                     out.append(reduce(reader.window(left, top, width, height)))
                 yield pd.concat([part[names].reset_index(drop=True), pd.DataFrame(out, columns=list(values))], axis=1)
 
-    ordered = kept.repartitionByRange("path", "top", *keys).sortWithinPartitions("path", "top")
+    tasks = work_partitions(boxes.sparkSession)
+    ordered = kept.repartitionByRange(tasks, "path", "top", *keys).sortWithinPartitions("path", "top")
     return ordered.mapInPandas(read, schema)
 
 
@@ -302,4 +307,5 @@ def jpeg_headers(files: DataFrame) -> DataFrame:
                              "decoder": "Spark image source", **facts})
             yield pd.DataFrame(rows, columns=fields).astype(object).where(lambda d: d.notna(), None)
 
-    return files.select("relpath", "path", "bytes").repartition("relpath").mapInPandas(inspect, JPEG_HEADER)
+    tasks = work_partitions(files.sparkSession)
+    return files.select("relpath", "path", "bytes").repartition(tasks, "relpath").mapInPandas(inspect, JPEG_HEADER)
