@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from pyspark.sql import Window as W
 
 HOT_ROWS = 500_000
 MAX_HOT_KEYS = 2_000
+_JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
 SALTS = 64
 
 
@@ -76,8 +79,8 @@ def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Exact middle values of a non-negative BIGINT column, per key.
 
     Returns ``keys, n, lower, upper``; the median is the mean of ``lower`` and
-    ``upper``. Values are counted, then narrowed by their upper bits first, so no
-    task sees more than 65,536 distinct entries of a key at a time.
+    ``upper``. Values are counted, then narrowed by their upper bits and then by the lower
+    16, so a task sees counted ranges of a key and never its rows.
     """
     keys = list(keys)
     counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
@@ -148,7 +151,9 @@ def inline_list(rows: DataFrame, keys: Sequence[str], order: Sequence[str], entr
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+              or context.getCheckpointDir())
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-markfield-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -156,6 +161,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep the intermediate tables of one job together and remove them when it ends."""
+    folder = f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}"
+    token = _JOB_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _JOB_FOLDER.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back.
 
@@ -163,6 +181,7 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
     outlives lost executors and lets each branch read only its columns.
     """
     spark = rows.sparkSession
-    target = f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}/{name}"
+    folder = _JOB_FOLDER.get() or f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}"
+    target = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
     rows.write.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

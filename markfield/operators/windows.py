@@ -25,12 +25,12 @@ def window_slices(boxes: DataFrame, rows: DataFrame, keys: Sequence[str], height
     return met.select(*keys, "row_no", row_slice(F.col("px"), F.col("left"), width).alias("part"))
 
 
-def crop(boxes: DataFrame, rows: DataFrame, key: str, size: int) -> DataFrame:
-    """``key, pixels``: raw RGB bytes of the ``size`` x ``size`` box of each key.
+def crop(boxes: DataFrame, rows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """``keys, pixels``: raw RGB bytes of the ``size`` x ``size`` box of each key.
 
     A box is ``size`` short slices, so the gathered group is bounded by the patch.
     """
-    slices = window_slices(boxes, rows, [key], F.lit(size), F.lit(size))
+    slices = window_slices(boxes, rows, keys, F.lit(size), F.lit(size))
     ordered = F.array_sort(F.collect_list(F.struct("row_no", "part")))
     joined = F.aggregate(F.transform(ordered, lambda s: s["part"]), F.lit(b""), lambda acc, part: F.concat(acc, part))
-    return slices.groupBy(key).agg(joined.alias("pixels"))
+    return slices.groupBy(*keys).agg(joined.alias("pixels"))

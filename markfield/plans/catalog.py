@@ -434,7 +434,7 @@ def _patches(spark: SparkSession, sf: str) -> DataFrame:
         "point_no", "image", "fine_label", *G.patch_box(F.col("x"), F.col("y"), S.PATCH), "width", "height").filter(
         (F.col("left") >= 0) & (F.col("top") >= 0) & (F.col("left") + 2 * half <= F.col("width"))
         & (F.col("top") + 2 * half <= F.col("height")))
-    return boxes.select("point_no", "fine_label").join(crop(boxes, rows, "point_no", S.PATCH), "point_no")
+    return crop(boxes, rows, ["point_no", "fine_label"], S.PATCH)
 
 
 @query

@@ -47,11 +47,17 @@ def write_json(rows: DataFrame, target: str) -> None:
     rows.write.mode("errorifexists").json(target)
 
 
-def write_patches(samples: DataFrame, target: str) -> None:
-    """Patches by split and label; large labels are rebalanced over many files."""
-    parts = samples.select("patch_id", "sha256", "pixels", "split", "fine_label").hint("rebalance", "split", "fine_label")
+def read_patches(spark: SparkSession, output: str, size: int) -> DataFrame:
+    return spark.read.schema("patch_id string, sha256 string, pixels binary, split string, fine_label string").parquet(
+        f"{output}/patches_{size}")
+
+
+def write_patches(patches: DataFrame, output: str, size: int) -> DataFrame:
+    """Write patches by split and label, large labels rebalanced over many files; return them as read back."""
+    parts = patches.select("patch_id", "sha256", "pixels", "split", "fine_label").hint("rebalance", "split", "fine_label")
     parts.write.mode("errorifexists").partitionBy("split", "fine_label").option(
-        "maxRecordsPerFile", ROWS_PER_FILE).parquet(target)
+        "maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{output}/patches_{size}")
+    return read_patches(patches.sparkSession, output, size)
 
 
 def write_document(spark: SparkSession, document: dict, target: str) -> None:
@@ -97,15 +103,15 @@ def _pairs(rows: DataFrame) -> dict:
 
 
 def publish(spark: SparkSession, output: str, *, files: DataFrame, images: DataFrame, points: DataFrame,
-            refs: DataFrame, samples: DataFrame, settings: Settings, taxonomy: Taxonomy, facts: dict) -> dict:
-    """Write everything and return the manifest."""
+            refs: DataFrame, samples: DataFrame, patches: DataFrame, order: list[str], settings: Settings,
+            taxonomy: Taxonomy, facts: dict) -> dict:
+    """Write everything beside the patches and return the manifest."""
     started = datetime.now(timezone.utc).isoformat()
     files = published_files(files)
     write_csv(samples.orderBy("path"), f"{output}/samples.csv", SAMPLE_COLUMNS)
-    write_csv(points.orderBy("image", "point_id"), f"{output}/points.csv", POINT_COLUMNS)
+    write_csv(points.orderBy(*order), f"{output}/points.csv", POINT_COLUMNS)
     flat = files.withColumns({"contrast_probe": F.to_json("contrast_probe"), "warnings": F.array_join("warnings", ";")})
     write_csv(flat.orderBy("relpath"), f"{output}/roi_files.csv", FILE_COLUMNS)
-    write_patches(samples, f"{output}/patches_{settings.patch_size}")
     lists = inline_list(files.filter(F.col("image").isNotNull() & F.col("coordinate_transform").isNotNull() |
                                      (F.col("reason") == "coordinate_grid_undetermined")),
                         ["image"], ["relpath"], F.col("relpath"), "roi_files", settings.inline_list_limit)
@@ -119,9 +125,10 @@ def publish(spark: SparkSession, output: str, *, files: DataFrame, images: DataF
     write_json(images.select(F.col("image").alias("relpath"), "sha256", "bytes", F.col("jpeg_pair.sha256").alias("jpeg_sha256"),
                              "pixel_source", "pixel_check"), f"{output}/sources.json")
     chosen = R.sample_per_label(samples, "patch_id", settings.preview_per_label)
-    chosen.select("fine_label", "rank", "patch_id", "split", "area", "stage", "pixels").write.parquet(
-        f"{output}/preview_samples")
-    R.stretch(R.mean_patch(samples)).write.parquet(f"{output}/preview_means")
+    # A few rows per label, so the patches are filtered by broadcast.
+    chosen = F.broadcast(chosen.select("fine_label", "rank", "patch_id", "split", "area", "stage"))
+    patches.select("patch_id", "pixels").join(chosen, "patch_id").write.parquet(f"{output}/preview_samples")
+    R.stretch(R.mean_patch(patches)).write.parquet(f"{output}/preview_means")
     manifest = {
         "schema": SCHEMA_NAME, "schema_version": SCHEMA_VERSION,
         "task": "center_point_patch_classification_class_and_subtype",

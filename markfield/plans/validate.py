@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from markfield.config import SCHEMA_NAME, SCHEMA_VERSION, Taxonomy
 from markfield.operators import report as R
-from markfield.plans.publish import SAMPLE_COLUMNS, table_digest
+from markfield.plans.publish import SAMPLE_COLUMNS, read_patches, table_digest
 from markfield.sources.files import exists, file_digests, listing, read_table_csv
 
 Problem = str | None
@@ -32,7 +32,7 @@ def checks(spark: SparkSession, dataset: str, unexpected_files: bool = False):
     known = (manifest.get("schema"), manifest.get("schema_version")) == (SCHEMA_NAME, SCHEMA_VERSION)
     yield "schema", None if known else "unsupported schema"
 
-    samples = read_table_csv(spark, f"{dataset}/samples.csv")
+    samples = read_table_csv(spark, f"{dataset}/samples.csv", ", ".join(f"{c} string" for c in SAMPLE_COLUMNS))
     same = table_digest(samples, SAMPLE_COLUMNS[:3]) == manifest["samples_digest"]
     yield "samples_digest", None if same else "samples.csv hash mismatch"
 
@@ -44,8 +44,7 @@ def checks(spark: SparkSession, dataset: str, unexpected_files: bool = False):
         yield "unexpected_files", _first(extra, "unexpected file: ", "relpath")
 
     size = manifest["patch"]["size"]
-    patches = spark.read.parquet(f"{dataset}/patches_{size}")
-    pixels = patches.select("patch_id", F.octet_length("pixels").alias("n"), F.sha2("pixels", 256).alias("actual"))
+    pixels = read_patches(spark, dataset, size).select("patch_id", F.octet_length("pixels").alias("n"), F.sha2("pixels", 256).alias("actual"))
     joined = samples.select("patch_id", "path", "sha256").join(pixels, "patch_id", "left")
     good = (F.col("n") == size * size * 3) & (F.col("actual") == F.col("sha256"))
     yield "patches", _first(joined.filter(~F.coalesce(good, F.lit(False))), "bad patch ", "path")

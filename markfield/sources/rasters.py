@@ -211,9 +211,9 @@ def _read_windows(boxes: DataFrame, keys: Sequence[str], width: int, height: int
     return ordered.mapInPandas(read, schema)
 
 
-def read_patches(boxes: DataFrame, key: str, size: int) -> DataFrame:
-    """``key, pixels`` of ``size`` x ``size`` boxes ``key, path, left, top`` in uncompressed TIFFs."""
-    return _read_windows(boxes, [key], size, size, {"pixels": T.BinaryType()}, lambda w: (w.tobytes(),))
+def read_patches(boxes: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """``keys, pixels`` of ``size`` x ``size`` boxes ``keys, path, left, top`` in uncompressed TIFFs."""
+    return _read_windows(boxes, keys, size, size, {"pixels": T.BinaryType()}, lambda w: (w.tobytes(),))
 
 
 def read_spreads(boxes: DataFrame, keys: Sequence[str], side: int) -> DataFrame:

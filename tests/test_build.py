@@ -164,3 +164,35 @@ def test_string_map_accepts_a_byte_order_mark(spark, tmp_path):
     (tmp_path / "splits.json").write_text("﻿{\"1\": \"train\", \"7\": \"val\"}", encoding="utf-8")
     rows = read_string_map(spark, str(tmp_path / "splits.json"), "area", "split").collect()
     assert {(r.area, r.split) for r in rows} == {("1", "train"), ("7", "val")}
+
+
+def test_no_point_survives(spark, tmp_path):
+    """A dataset without patches is still a valid dataset; unmapped areas are unassigned."""
+    folder = tmp_path / "source" / "5 Area" / "before"
+    write_tiff(folder / "before.tif", np.zeros((100, 100, 3), np.uint8))
+    write_points(folder / "Before_BPD.roi", [[50.5, 50.5], [150.5, 50.5]])
+    out = str(tmp_path / "out")
+    manifest = build(spark, str(tmp_path / "source"), out, {})
+    assert manifest["counts"]["excluded_points_by_reason"] == {"patch_crosses_image_boundary": 1, "point_outside_image": 1}
+    assert manifest["counts"]["patches"] == 0 and validate(spark, out)["patches"] == 0
+    image = spark.read.json(f"{out}/images.json").head()
+    assert (image.split, image.pixel_check, image.jpeg_to_tiff) == ("unassigned", "no_jpeg_pair_unverified", "none")
+
+
+def test_intermediate_tables_are_removed(spark, built):
+    import pathlib
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    left = [p for p in folder.glob("markfield-*/*") if p.name.split("-")[0] in ("points", "samples", "packed_rows")]
+    assert left == []
+
+
+def test_override_beats_the_probe(spark, tree, tmp_path):
+    name = "2 Area/before annealing_2/Before an_area 2_1_1_TSD(a).roi"
+    manifest = build(spark, str(tree), str(tmp_path / "out"), SPLITS, {name: "identity"})
+    files = by_name(read_table_csv(spark, str(tmp_path / "out" / "roi_files.csv")))
+    mine = files["Before an_area 2_1_1_TSD(a).roi"]
+    assert (mine.coordinate_transform, mine.transform_basis) == ("identity", "manual_override")
+    # Without other evidence the small file of the same class stays undetermined.
+    rare = files["Before an_area 2_1_1_TSD(c).roi"]
+    assert (rare.status, rare.reason) == ("excluded", "coordinate_grid_undetermined")
+    assert manifest["orientation_overrides"] == {name: "identity"}

@@ -53,7 +53,7 @@ def test_windows_at_offsets(spark, heads, pixels, chunk, monkeypatch):
     boxes += [(100, 158, 198), (101, 0, 0)]
     table = spark.createDataFrame(boxes, "k int, left int, top int").crossJoin(heads.select("relpath", "path")).select(
         F.concat_ws("@", "k", "relpath").alias("key"), "path", "left", "top")
-    got = {r.key: bytes(r.pixels) for r in S.read_patches(table, "key", 32).collect()}
+    got = {r.key: bytes(r.pixels) for r in S.read_patches(table, ["key"], 32).collect()}
     assert len(got) == 4 * len(boxes)
     for key, data in got.items():
         _, x, y = next(b for b in boxes if b[0] == int(key.split("@")[0]))
@@ -74,7 +74,7 @@ def test_spreads_agree_with_the_join(spark, heads, pixels):
 def test_window_outside_is_an_error(spark, heads):
     boxes = heads.limit(1).select(F.lit("k").alias("key"), "path", F.lit(170).alias("left"), F.lit(0).alias("top"))
     with pytest.raises(Exception, match="window outside the raster"):
-        S.read_patches(boxes, "key", 32).collect()
+        S.read_patches(boxes, ["key"], 32).collect()
 
 
 def test_unfit_tiffs(spark, tmp_path, pixels):
