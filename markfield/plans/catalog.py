@@ -158,7 +158,7 @@ def _unique(spark: SparkSession, sf: str) -> DataFrame:
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
     settings = Settings(patch_size=32, center_box=8)
-    unique = D.labels_at_location(_unique(spark, sf))
+    unique = settle(D.labels_at_location(_unique(spark, sf)), "unique_points")
     counted = box_neighbors(unique.select("image", "point_id", "fine_label", "x", "y"), 32, 8)
     points = unique.join(counted, ["image", "point_id"]).select(
         "*", *G.patch_box(F.col("x"), F.col("y"), settings.patch_size))
@@ -353,7 +353,7 @@ def _correlations(spark: SparkSession, sf: str) -> DataFrame:
 def _differing(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Rows of the checked rasters that differ from the original documents."""
     rows = S.document_rows(spark, sf)
-    return A.differing_rows(S.tiff_rows(rows), rows), S.document_sizes(spark, sf)[0]
+    return settle(A.differing_rows(S.tiff_rows(rows), rows), "differing_rows"), S.document_sizes(spark, sf)[0]
 
 
 @query
@@ -477,11 +477,26 @@ def window_spread(spark, sf):
 @query
 def contrast_ratio(spark, sf):
     points, _, rows = _probes(spark, sf)
-    sizes = points.select("image", "width", "height").distinct()
-    return C.contrast_ratio(points.select("fine_label", "point_no", "image", "x", "y"), rows, sizes, ["fine_label"],
+    return C.contrast_ratio(points.select("fine_label", "point_no", "image", "x", "y"), rows,
+                            S.document_sizes(spark, sf)[0], ["fine_label"],
                             radius=S.RADIUS, shifts=S.SHIFTS)
 
 
+@query
+def contrast_by_file(spark, sf):
+    """Contrast of every group of points that would share an annotation file."""
+    points, _, rows = _probes(spark, sf)
+    files = points.select("image", "fine_label", "point_no", "x", "y")
+    return C.contrast_ratio(files, rows, S.document_sizes(spark, sf)[0], ["image", "fine_label"],
+                            radius=S.RADIUS, shifts=S.SHIFTS)
+
+
+@query
+def points_in_order(spark, sf):
+    """Unique points by image, then in the order in which their first reference was read."""
+    return _unique(spark, sf).select("image", "point_id", "file_no", "index").orderBy("image", "file_no", "index")
+
+
 def _decisions(spark: SparkSession, sf: str) -> DataFrame:
     """Ratios and relations per file derived from orders."""
     o = S.table(spark, sf, "orders")

@@ -259,14 +259,14 @@ CTES["means"] = """
 SHIFT_ROWS = ", ".join(f"({n}, {dx}, {dy})" for n, (dx, dy) in enumerate([(0, 0), *S.SHIFTS]))
 CTES["greys"] = f"SELECT image, row_no, {GREY.format('px', 0, S.WIDTH, 1)} AS g FROM tiff"
 CTES["windows"] = f"""
-  SELECT m.point_no, m.fine_label, s.shift, list_sum(flatten(list(g.g[CAST(floor(m.x) AS INT) + s.dx : CAST(floor(m.x) AS INT) + s.dx + 2]))) AS total,
+  SELECT m.point_no, m.image, m.fine_label, s.shift, list_sum(flatten(list(g.g[CAST(floor(m.x) AS INT) + s.dx : CAST(floor(m.x) AS INT) + s.dx + 2]))) AS total,
          list_sum([v * v FOR v IN flatten(list(g.g[CAST(floor(m.x) AS INT) + s.dx : CAST(floor(m.x) AS INT) + s.dx + 2]))]) AS squares
   FROM marks m, (VALUES {SHIFT_ROWS}) s(shift, dx, dy), greys g
   WHERE floor(m.x) >= 5 AND floor(m.y) >= 5 AND floor(m.x) < {S.WIDTH} - 5 AND floor(m.y) < m.height - 5
     AND g.image = m.image AND g.row_no BETWEEN CAST(floor(m.y) AS INT) + s.dy - 1 AND CAST(floor(m.y) AS INT) + s.dy + 1
-  GROUP BY m.point_no, m.fine_label, s.shift"""
+  GROUP BY m.point_no, m.image, m.fine_label, s.shift"""
 CTES["spreads"] = """
-  SELECT point_no, fine_label, shift, CAST(9 * squares - total * total AS BIGINT) AS spread,
+  SELECT point_no, image, fine_label, shift, CAST(9 * squares - total * total AS BIGINT) AS spread,
          sqrt(CAST(9 * squares - total * total AS DOUBLE)) / 27 AS std FROM windows"""
 
 # ------------------------------------------------------------------ decisions
@@ -294,6 +294,11 @@ NESTED = """
     GROUP BY split)"""
 FLIP = (f"SELECT image, CAST(CASE WHEN doc_id % 4 IN (2, 3) THEN height - 1 - row_no ELSE row_no END AS INT) AS row_no, "
         f"CASE WHEN doc_id % 4 IN (1, 3) THEN {MIRROR.format('h')} ELSE h END AS px FROM docrows")
+CONTRAST = """
+        SELECT {0}, count(*) FILTER (shift = 0) AS points_used, round_even(median(std) FILTER (shift = 0), 3) AS median_std_points,
+               round_even(median(std) FILTER (shift > 0), 3) AS median_std_controls,
+               CASE WHEN median(std) FILTER (shift > 0) > 0 THEN round_even(median(std) FILTER (shift = 0) / median(std) FILTER (shift > 0), 4) END AS ratio
+        FROM spreads GROUP BY {0}"""
 DISTANCE = "sqrt((p.x - m.x) * (p.x - m.x) + (p.y - m.y) * (p.y - m.y))"
 
 QUERIES: dict[str, str] = {
@@ -398,11 +403,9 @@ QUERIES: dict[str, str] = {
         FROM means m JOIN (SELECT fine_label, quantile_cont(mean, 0.01) AS lo, quantile_cont(mean, 0.99) AS hi FROM means GROUP BY fine_label) b
         ON m.fine_label = b.fine_label""",
     "window_spread": "SELECT point_no, CAST(shift AS BIGINT) AS shift, spread, round_even(std, 3) AS std FROM spreads",
-    "contrast_ratio": """
-        SELECT fine_label, count(*) FILTER (shift = 0) AS points_used, round_even(median(std) FILTER (shift = 0), 3) AS median_std_points,
-               round_even(median(std) FILTER (shift > 0), 3) AS median_std_controls,
-               CASE WHEN median(std) FILTER (shift > 0) > 0 THEN round_even(median(std) FILTER (shift = 0) / median(std) FILTER (shift > 0), 4) END AS ratio
-        FROM spreads GROUP BY fine_label""",
+    "contrast_ratio": CONTRAST.format("fine_label"),
+    "contrast_by_file": CONTRAST.format("image, fine_label"),
+    "points_in_order": 'SELECT image, point_id, file_no, "index" FROM uniq ORDER BY image, file_no, "index"',
     "decide_grid": "SELECT relpath, transform, basis FROM decided",
     "grid_consensus": """
         SELECT d.relpath, coalesce(d.transform, g.only_one) AS transform,
