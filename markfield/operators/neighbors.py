@@ -203,9 +203,8 @@ def _edge_counter(half: float):
 def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0) -> DataFrame:
     """Per image: pixels tested, those with a point within ``radius``, and the fraction.
 
-    ``pixels`` and ``points`` carry ``image, x, y``; pixel positions are distinct, so a
-    point meets at most the few pixels of nine small cells. Images without points give
-    a null fraction.
+    ``pixels`` are distinct pixel centres ``image, x, y``. Images without points give a
+    null fraction.
     """
     found = nearest_distance(pixels, points, radius)
     with_points = points.select("image").distinct().withColumn("_has", F.lit(True))
@@ -215,17 +214,20 @@ def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0) -> Da
 
 
 def nearest_distance(pixels: DataFrame, points: DataFrame, radius: float) -> DataFrame:
-    """Distance to the nearest point within ``radius`` per pixel, null beyond it.
+    """Distance from each pixel centre to the nearest point within ``radius``, null beyond it.
 
-    Points, the smaller side, are repeated to nine cells of the radius; pixels stay in
-    their own, so joining and taking the minimum share one shuffle.
+    ``x, y`` of ``pixels`` are centres, ``i + 0.5``; the radius is at least half a pixel.
+    Every point names the few centres in its reach and these are reduced to one minimum
+    per pixel before the shuffle, so neither crowded points nor crowded pixels meet.
     """
-    cell_x, cell_y = (F.floor(F.col(c) / radius).cast("bigint") for c in ("x", "y"))
-    tested = pixels.select("image", "x", "y", cell_x.alias("cx"), cell_y.alias("cy"))
-    marks = _spread_cells(points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy"),
-                                        cell_x.alias("cx"), cell_y.alias("cy")))
-    dx, dy = F.col("x") - F.col("qx"), F.col("y") - F.col("qy")
-    distance = F.sqrt(dx * dx + dy * dy)
-    near = tested.join(marks.hint("merge"), CELL, "left").groupBy(*CELL, "x", "y").agg(
-        F.min(F.when(distance <= radius, distance)).alias("distance"))
-    return near.drop("cx", "cy")
+    def reach(q: str) -> Column:
+        first, last = F.ceil(F.col(q) - (radius + 0.5)), F.floor(F.col(q) + (radius - 0.5))
+        return F.sequence(first.cast("bigint"), last.cast("bigint"))
+
+    marks = points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy"))
+    named = marks.select("*", F.explode(reach("qx")).alias("i")).select("*", F.explode(reach("qy")).alias("j"))
+    dx, dy = F.col("i") + 0.5 - F.col("qx"), F.col("j") + 0.5 - F.col("qy")
+    found = named.select("image", (F.col("i") + 0.5).alias("x"), (F.col("j") + 0.5).alias("y"),
+                         F.sqrt(dx * dx + dy * dy).alias("distance")).filter(F.col("distance") <= radius)
+    nearest = found.groupBy("image", "x", "y").agg(F.min("distance").alias("distance"))
+    return pixels.select("image", "x", "y").join(nearest.hint("merge"), ["image", "x", "y"], "left")

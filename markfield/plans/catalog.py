@@ -353,7 +353,7 @@ def _correlations(spark: SparkSession, sf: str) -> DataFrame:
 def _differing(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Rows of the checked rasters that differ from the original documents."""
     rows = S.document_rows(spark, sf)
-    return settle(A.differing_rows(S.tiff_rows(rows), rows), "differing_rows"), S.document_sizes(spark, sf)[0]
+    return A.differing_rows(S.tiff_rows(rows), rows), S.document_sizes(spark, sf)[0]
 
 
 @query
@@ -406,7 +406,8 @@ def difference_report(spark, sf):
 
 @query
 def difference_positions(spark, sf):
-    return A.difference_positions(_differing(spark, sf)[0], SMALL.diff_sample)
+    rows = settle(_differing(spark, sf)[0], "differing_rows")
+    return A.difference_positions(rows, SMALL.diff_sample)
 
 
 @query
@@ -422,7 +423,8 @@ def near_point_fraction(spark, sf):
 
 @query
 def nearest_point(spark, sf):
-    pixels = A.difference_positions(_differing(spark, sf)[0], SMALL.diff_sample)
+    rows = settle(_differing(spark, sf)[0], "differing_rows")
+    pixels = A.difference_positions(rows, SMALL.diff_sample)
     found = nearest_distance(pixels, S.raster_points(spark, sf).select("image", "x", "y"), 2.0)
     return found.select("image", "x", "y", F.bround("distance", 6).alias("distance"))
 

@@ -17,7 +17,7 @@ SPLITS = {"1": "train", "2": "val", "3": "test"}
 
 @pytest.fixture(scope="module")
 def tree(spark, tmp_path_factory):
-    return synthetic_tree(spark, tmp_path_factory.mktemp("source") / "2D XRT")
+    return synthetic_tree(spark, tmp_path_factory.mktemp("source") / "raster tree")
 
 
 @pytest.fixture(scope="module")

@@ -58,13 +58,13 @@ def test_hint_matches(spark):
 
 
 def test_paths(spark):
-    paths = ["2D/12 AREA /before x/RoiSet/a_after.roi", "b/Before/after.roi", "3area/c.roi", "x.roi", "7 Area/before after/q.roi"]
+    paths = ["tree/12 AREA /before x/RoiSet/a_after.roi", "b/Before/after.roi", "3area/c.roi", "x.roi", "7 Area/before after/q.roi"]
     rows = spark.createDataFrame([(p,) for p in paths], "p string").select(
         N.area_of(F.col("p")).alias("area"), N.file_stage(F.col("p")).alias("stage"), N.image_directory(F.col("p")).alias("d"),
         N.in_set_folder(F.col("p")).alias("s")).collect()
     assert [r.area for r in rows] == ["12", None, "3", None, "7"]
     assert [r.stage for r in rows] == ["after", "after", None, None, None]
-    assert [r.d for r in rows] == ["2D/12 AREA /before x", "b/Before", "3area", "", "7 Area/before after"]
+    assert [r.d for r in rows] == ["tree/12 AREA /before x", "b/Before", "3area", "", "7 Area/before after"]
     assert [r.s for r in rows] == [True, False, False, False, False]
 
 
