@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from markfield.llm import exact_dedup, packing
+from markfield.llm import exact_dedup, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
+    "op8_simhash_near_dedup": simhash.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 SQL: dict[str, str] = {
