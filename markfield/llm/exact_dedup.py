@@ -20,8 +20,14 @@ from pyspark.sql import functions as F
 
 from markfield.llm.common import release, scratch, settle, small_side, table, whole
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk, and one bound on the memory all its stores in an executor take together.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+}
 #: Digests of several rows are broadcast up to this counted number (about 80 bytes each), else shuffled.
 BROADCAST_DIGESTS = 500_000
 
@@ -59,13 +65,15 @@ def keyed_state(spark: SparkSession, feed_path: str, folder: str, files_per_batc
     def commit(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folder}/changed/batch={batch}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         (state.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/stream")
          .trigger(availableNow=True).foreachBatch(commit).start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     empty = spark.createDataFrame([], state.schema)
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/changed")
     if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
