@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from markfield.llm import decontamination, exact_dedup, packing, simhash, toxicity
+from markfield.llm import decontamination, exact_dedup, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
+    "op2_quality_classifier": quality.query,
     "op3_toxicity": toxicity.query,
     "op5_benchmark_decontamination": decontamination.query,
     "op8_simhash_near_dedup": simhash.query,
