@@ -6,16 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from markfield.llm import decontamination, exact_dedup, packing, quality, simhash, toxicity
+from markfield.llm import (
+    chat,
+    decontamination,
+    exact_dedup,
+    lines,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
     "op2_quality_classifier": quality.query,
     "op3_toxicity": toxicity.query,
+    "op4_token_counts": token_counts.query,
     "op5_benchmark_decontamination": decontamination.query,
+    "op6_chat_formatting": chat.query,
+    "op7_url_filter": urls.query,
     "op8_simhash_near_dedup": simhash.query,
+    "op9_line_dedup": lines.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 SQL: dict[str, str] = {
+    "op6_chat_formatting": chat.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
