@@ -17,9 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def whole(text: str = "text") -> Column:
+def whole(text: str | Column = "text") -> Column:
     """The text column with null read as empty."""
-    return F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,7 +70,3 @@ def parts_for(rows: int, per_part: int) -> int:
 def small_side(rows: DataFrame, counted: int, most: int) -> DataFrame:
     """``rows`` marked for broadcast when their counted number is at most ``most``; joined by shuffle otherwise."""
     return F.broadcast(rows) if counted <= most else rows.hint("merge")
-
-
-def unsigned_crc32(value: Column) -> Column:
-    return F.crc32(value.cast("string"))

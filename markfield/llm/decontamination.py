@@ -243,16 +243,17 @@ def shards(items: DataFrame, settings: Settings) -> Iterator[list[tuple[int, str
     yield held
 
 
-def _hits(docs: DataFrame, items: Sequence[tuple[int, str, str]], settings: Settings, kind: str, text_col: str) -> DataFrame:
-    shipped = docs.sparkSession.sparkContext.broadcast(Index(items, settings))
+def hits(spark: SparkSession, items: Sequence[tuple[int, str, str]], settings: Settings, kind: str, text: Column) -> Column:
+    """Leaked items of one shard in a whole text. A shipped index holds at most ``shard_chars`` characters of items."""
+    shipped = spark.sparkContext.broadcast(Index(items, settings))
     names = ("item_id", "score", "question_overlap", "answer_overlap", "at")
 
     @F.pandas_udf(HIT.format(id=kind))
-    def hits(texts):
+    def found(texts):
         index = shipped.value
         return texts.map(lambda text: [dict(zip(names, hit)) for hit in index.leaks(text)])
 
-    return docs.withColumn("_hits", hits(whole(text_col)))
+    return found(whole(text))
 
 
 def leaks(docs: DataFrame, items: DataFrame, settings: Settings | None = None, id_col: str = "doc_id",
@@ -261,8 +262,8 @@ def leaks(docs: DataFrame, items: DataFrame, settings: Settings | None = None, i
     settings = settings or Settings()
     kind = items.schema["item_id"].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = [_hits(rows, part, settings, kind, "text").select("doc_id", F.explode("_hits").alias("hit")).select("doc_id", "hit.*")
-             for part in shards(items, settings)]
+    found = [rows.select("doc_id", F.explode(hits(docs.sparkSession, part, settings, kind, F.col("text"))).alias("hit")).select(
+        "doc_id", "hit.*") for part in shards(items, settings)]
     result = found[0]
     for more in found[1:]:
         result = result.union(more)
@@ -276,7 +277,7 @@ def drop_leaked(docs: DataFrame, items: DataFrame, settings: Settings | None = N
     kept = docs
     for number, part in enumerate(shards(items, settings)):
         kept = settle(kept, "decontaminated") if number else kept
-        kept = _hits(kept, part, settings, kind, text_col).filter(F.size("_hits") == 0).select(*docs.columns)
+        kept = kept.filter(F.size(hits(docs.sparkSession, part, settings, kind, F.col(text_col))) == 0)
     return kept
 
 

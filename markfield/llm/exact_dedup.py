@@ -15,7 +15,7 @@ columns pass through untouched; an empty table gives an empty result.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markfield.llm.common import release, scratch, settle, small_side, table, whole
@@ -34,20 +34,28 @@ BROADCAST_DIGESTS = 500_000
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_file, _row``: where each row's content lies. Rows not read from files are written first."""
-    try:
-        found = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        found.schema  # noqa: B018  resolves the hidden column
-        return found
-    except AnalysisException:
-        stored = settle(docs, "content")
-        return stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    """``doc, file, row``: every row as one struct, and where its content lies.
+
+    The struct keeps the caller's columns apart from the operators' own. Rows that do not come straight from files
+    are written to the shared folder first.
+    """
+    doc = F.struct("*").alias("doc")
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.select(doc, *place)
+        except AnalysisException:
+            pass
+    return settle(docs.select(doc), "content").select("doc", *place)
 
 
-def feed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def feed(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``digest, id, file, row`` of located documents."""
-    return docs.select(F.unhex(F.sha2(whole(text_col), 256)).alias("digest"), F.col(id_col).alias("id"),
-                       F.col("_file").alias("file"), F.col("_row").alias("row"))
+    return rows.select(digest_of(text_col).alias("digest"), F.col("doc").getField(id_col).alias("id"), "file", "row")
+
+
+def digest_of(text_col: str) -> Column:
+    return F.unhex(F.sha2(whole(F.col("doc").getField(text_col)), 256))
 
 
 def keyed_state(spark: SparkSession, feed_path: str, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -86,9 +94,9 @@ def keyed_state(spark: SparkSession, feed_path: str, folder: str, files_per_batc
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             files_per_batch: int | None = None) -> DataFrame:
-    """All columns of ``docs`` plus ``_digest, _keep, _members, _kept``: the class of every row.
+    """``doc`` (all columns of a row), ``digest, keep, members, kept``: the class of every row.
 
-    ``_keep`` is the struct (id, file, row) of the row of the class that stays. Key and state rows are small;
+    ``keep`` is the struct (id, file, row) of the row of the class that stays. Key and state rows are small;
     texts move only for digests of several rows, combined before the shuffle to the least and greatest text.
     """
     spark = docs.sparkSession
@@ -98,43 +106,42 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     feed(rows, id_col, text_col).write.parquet(path)
     state = settle(keyed_state(spark, path, folder, files_per_batch), "exact-classes")
     release(folder)
+    release(path)
     several = state.filter("members > 1")
-    digested = rows.withColumn("_digest", F.unhex(F.sha2(whole(text_col), 256)))
-    hits = digested.select(F.col("_digest").alias("digest"), whole(text_col).alias("text")).join(
+    digested = rows.withColumn("digest", digest_of(text_col))
+    text = whole(F.col("doc").getField(text_col))
+    hits = digested.select("digest", text.alias("text")).join(
         small_side(several.select("digest"), several.count(), BROADCAST_DIGESTS), "digest", "left_semi")
     unequal = hits.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high")).filter("low <> high")
     unequal = settle(unequal.select("digest"), "exact-unequal")
-    joined = digested.join(state.select(F.col("digest").alias("_digest"), F.col("keep").alias("_keep"),
-                                        F.col("members").alias("_members")), "_digest", "left")
+    joined = digested.join(state, "digest", "left")
     if not unequal.isEmpty():
-        joined = _by_text(joined, unequal, id_col, text_col)
-    here = F.struct(F.col(id_col).alias("id"), F.col("_file").alias("file"), F.col("_row").alias("row"))
-    return joined.withColumn("_kept", F.col("_keep").eqNullSafe(here)).drop("_file", "_row")
+        joined = by_text(joined, unequal, id_col, text)
+    here = F.struct(F.col("doc").getField(id_col).alias("id"), "file", "row")
+    return joined.withColumn("kept", F.col("keep").eqNullSafe(here)).drop("file", "row")
 
 
-def _by_text(joined: DataFrame, unequal: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def by_text(joined: DataFrame, unequal: DataFrame, id_col: str, text: Column) -> DataFrame:
     """Split digests shared by different texts: their rows are grouped by digest and text."""
-    names = joined.columns
-    shared = F.broadcast(unequal.select(F.col("digest").alias("_digest")))
-    text = joined.withColumn("_text", whole(text_col))
-    parted = text.join(shared, "_digest", "left_semi").groupBy("_digest", "_text").agg(
-        F.max(F.struct(F.col(id_col).alias("id"), F.col("_file").alias("file"), F.col("_row").alias("row"))).alias("_own"),
-        F.count(F.lit(1)).alias("_count"))
-    both = text.join(parted, ["_digest", "_text"], "left")
-    return both.withColumn("_keep", F.coalesce("_own", "_keep")).withColumn(
-        "_members", F.coalesce("_count", "_members")).select(*names)
+    rows = joined.withColumn("text", text)
+    parted = rows.join(unequal, "digest", "left_semi").groupBy("digest", "text").agg(
+        F.max(F.struct(F.col("doc").getField(id_col).alias("id"), "file", "row")).alias("own"),
+        F.count(F.lit(1)).alias("own_members"))
+    both = rows.join(parted, ["digest", "text"], "left")
+    return both.withColumn("keep", F.coalesce("own", "keep")).withColumn(
+        "members", F.coalesce("own_members", "members")).select(*joined.columns)
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class of equal texts: that of the largest identifier."""
-    return classes(docs, id_col, text_col).filter("_kept").select(*docs.columns)
+    return classes(docs, id_col, text_col).filter("kept").select("doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return classes(docs).select("doc_id", F.col("_keep.id").alias("keep_id"), F.col("_members").alias("group_size"),
-                                F.col("_kept").alias("kept"), F.lower(F.hex("_digest")).alias("text_sha256"))
+    return classes(docs).select("doc.doc_id", F.col("keep.id").alias("keep_id"), F.col("members").alias("group_size"), "kept",
+                                F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 SQL = """

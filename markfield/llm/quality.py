@@ -8,7 +8,8 @@ features of one document's chunks.
 
 The fit runs on a bounded sample of labelled documents (``Settings.sample``, ``Settings.longest``); scoring has no bound.
 Null text counts as empty; an empty document is one chunk of filler and gets a score like any other. Without usable
-labels every score is one half. Repeated rows are scored each; extra columns pass through.
+labels every score is one half. Repeated rows are scored each; no column is added to
+the caller's.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markfield.llm.common import table, whole
@@ -193,17 +194,17 @@ def _step(network: Network, adam: Adam, texts: Sequence[str], marks: np.ndarray)
     network.bias -= float(moves["bias"])
 
 
-def scored(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``quality``, from its whole text. The network's size is fixed by its settings."""
-    shipped = docs.sparkSession.sparkContext.broadcast(network)
+def score(spark: SparkSession, network: Network, text: Column) -> Column:
+    """Quality of a whole text. The size of the network that is shipped is fixed by its settings."""
+    shipped = spark.sparkContext.broadcast(network)
 
     @F.pandas_udf("double")
-    def score(texts):
+    def scores(texts):
         import pandas as pd
 
         return pd.Series(shipped.value.scores(texts.tolist()), texts.index)
 
-    return docs.withColumn("quality", score(whole(text_col)))
+    return scores(whole(text))
 
 
 def trained(spark: SparkSession, docs: DataFrame, sf_dir: str, settings: Settings | None = None) -> Network:
@@ -217,6 +218,6 @@ def trained(spark: SparkSession, docs: DataFrame, sf_dir: str, settings: Setting
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scored(docs, trained(spark, docs, sf_dir))
-    return found.select("doc_id", held_out(parts=5, part=0).alias("held_out"), F.col("quality").alias("score"),
-                        (F.col("quality") >= THRESHOLD).cast("int").alias("predicted"))
+    found = docs.withColumn("score", score(spark, trained(spark, docs, sf_dir), F.col("text")))
+    return found.select("doc_id", held_out(parts=5, part=0).alias("held_out"), "score",
+                        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -326,13 +326,14 @@ def near_links(rows: DataFrame, text_col: str = "text", similarity: float = SIMI
 
     The BK-tree search proposes links; each proposed link is checked on the two whole texts.
     """
-    prints = fingerprints(rows, ["_file", "_row"], text_col, recipes=WIDE)
+    texts = rows.select("file", "row", F.col("doc").getField(text_col).alias("text"))
+    prints = fingerprints(texts, ["file", "row"], recipes=WIDE)
     proposed = settle(links(prints.select("key", "fp", "sh"), WIDE_RADIUS, wide_masks(prints.count()),
                             check="sh", check_radius=CHECK_RADIUS, nearest=NEAREST).distinct(), "proposed")
     ends = settle(proposed.select(F.col("a").alias("key")).union(proposed.select("b")).distinct().join(
-        prints.select("key", "_file", "_row"), "key"), "ends")
-    texts = rows.select("_file", "_row", whole(text_col).alias("_text")).join(
-        small_side(ends, ends.count(), BROADCAST_ROWS), ["_file", "_row"]).select("key", "_text")
+        prints.select("key", "file", "row"), "key"), "ends")
+    linked = texts.select("file", "row", whole().alias("text")).join(
+        small_side(ends, ends.count(), BROADCAST_ROWS), ["file", "row"]).select("key", "text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,7 +341,7 @@ def near_links(rows: DataFrame, text_col: str = "text", similarity: float = SIMI
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.list_(pa.int64()))],
                                              names=["key", "hashes"])
 
-    shingles = settle(texts.mapInArrow(sets, "key long, hashes array<long>"), "shingles")
+    shingles = settle(linked.mapInArrow(sets, "key long, hashes array<long>"), "shingles")
     left = shingles.select(F.col("key").alias("a"), F.col("hashes").alias("ha"))
     right = shingles.select(F.col("key").alias("b"), F.col("hashes").alias("hb"))
     shared = F.size(F.array_intersect("ha", "hb"))
@@ -353,6 +354,6 @@ def drop_near(docs: DataFrame, text_col: str = "text", similarity: float = SIMIL
     """``docs`` with one row of each group of near-duplicates: the one read first. Texts without words are one group."""
     rows = located(docs)
     prints, found = near_links(rows, text_col, similarity)
-    rest = components(found).join(prints.select(F.col("key").alias("node"), "_file", "_row"), "node")
-    rest = settle(rest.select("_file", "_row"), "near-copies")
-    return rows.join(small_side(rest, rest.count(), BROADCAST_ROWS), ["_file", "_row"], "left_anti").select(*docs.columns)
+    rest = components(found).join(prints.select(F.col("key").alias("node"), "file", "row"), "node")
+    rest = settle(rest.select("file", "row"), "near-copies")
+    return rows.join(small_side(rest, rest.count(), BROADCAST_ROWS), ["file", "row"], "left_anti").select("doc.*")

@@ -8,8 +8,8 @@ score, and neutral mentions are not flagged.
 
 A score counts each term of the whole text once, however often it occurs, so neither length nor repetition
 dilutes it. Null text counts as empty and gets the score of a text without known terms; without usable labels every
-score is one half. Repeated rows are scored each; labels of an id are reduced to their maximum; extra
-columns are ignored.
+score is one half. Repeated rows are scored each; labels of an id are reduced to their maximum; no
+column is added to the caller's.
 """
 
 from __future__ import annotations
@@ -184,16 +184,15 @@ def fit(rows: DataFrame, settings: Settings | None = None) -> Model:
     return Model(places, weights, bias)
 
 
-def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``toxicity``, from its whole text. The model holds at most ``Settings.terms`` terms."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+def score(spark: SparkSession, model: Model, text: Column) -> Column:
+    """Toxicity of a whole text. The model that is shipped holds at most ``Settings.terms`` terms."""
+    shipped = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(texts):
-        known = shipped.value
-        return texts.map(known.score)
+    def scores(texts):
+        return texts.map(shipped.value.score)
 
-    return docs.withColumn("toxicity", score(whole(text_col)))
+    return scores(whole(text))
 
 
 def trained(spark: SparkSession, docs: DataFrame, sf_dir: str, settings: Settings | None = None) -> Model:
@@ -204,6 +203,5 @@ def trained(spark: SparkSession, docs: DataFrame, sf_dir: str, settings: Setting
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scored(docs, trained(spark, docs, sf_dir))
-    return found.select("doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"),
-                        (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
+    found = docs.withColumn("score", score(spark, trained(spark, docs, sf_dir), F.col("text")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

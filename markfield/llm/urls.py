@@ -8,7 +8,8 @@ statistics come too, so these have at most two rows per sampled URL. All URLs ar
 shuffle.
 
 A null URL or one without ``://`` has empty host and path and is judged by its features; repeated rows are judged each;
-extra columns pass through. Without labelled URLs of both kinds everything without a rule is allowed.
+all columns of a page come
+back in one struct. Without labelled URLs of both kinds everything without a rule is allowed.
 """
 
 from __future__ import annotations
@@ -124,11 +125,11 @@ class Filter:
         return VectorAssembler(inputCols=names, outputCol="features").transform(rows).drop(*names)
 
     def blocks(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with a boolean ``_blocked``."""
+        """``rows`` with a boolean ``blocked``."""
         if self.trees is None:
-            return rows.withColumn("_blocked", F.lit(False))
+            return rows.withColumn("blocked", F.lit(False))
         judged = self.trees.transform(self.features(rows))
-        return judged.withColumn("_blocked", F.col("prediction") > 0.5).drop(
+        return judged.withColumn("blocked", F.col("prediction") > 0.5).drop(
             "features", "rawPrediction", "probability", "prediction")
 
 
@@ -151,16 +152,17 @@ def fit(labelled: DataFrame, settings: Settings | None = None) -> Filter:
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]], model: Filter) -> DataFrame:
-    """``pages`` with ``host, path, rule, verdict``."""
-    ruled = with_rule(pages, rules)
-    decided = model.blocks(ruled)
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("_blocked"), "block").otherwise("allow"))
-    return decided.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", verdict).drop("_rule", "_blocked")
+    """``page`` (all columns of a row), ``host, path, rule, verdict``."""
+    decided = model.blocks(with_rule(pages, rules))
+    verdict = F.coalesce(F.col("fits.verdict"), F.when(F.col("blocked"), "block").otherwise("allow"))
+    return decided.select("page", "host", "path", F.col("fits.rule").alias("rule"), verdict.alias("verdict"))
 
 
 def with_rule(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """``page, url, host, path, fits``; the struct keeps the caller's columns apart from those made here."""
     host, path = parts()
-    return pages.withColumn("host", host).withColumn("path", path).withColumn("_rule", fitting_rule(rules))
+    rows = pages.select(F.struct("*").alias("page"), "url")
+    return rows.withColumn("host", host).withColumn("path", path).withColumn("fits", fitting_rule(rules))
 
 
 def known_labels(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -170,7 +172,7 @@ def known_labels(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> Dat
     """
     ruled = with_rule(pages, rules)
     marked = F.arrays_overlap(F.split("host", r"[.\-]"), F.array(*map(F.lit, MARKED)))
-    label = F.when(marked, 1.0).when(F.col("_rule.verdict") == "allow", 0.0)
+    label = F.when(marked, 1.0).when(F.col("fits.verdict") == "allow", 0.0)
     return ruled.select("url", label.alias("label")).filter("label is not null")
 
 
@@ -178,4 +180,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     found = judged(pages, RULES, fit(known_labels(pages, RULES)))
-    return found.select("page_id", "host", "path", "rule", "verdict")
+    return found.select("page.page_id", "host", "path", "rule", "verdict")
