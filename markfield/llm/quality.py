@@ -45,7 +45,10 @@ class Settings:
 
 @dataclass
 class Layout:
-    """Texts as one run of bytes, each filled up with zeros to whole hops, and which chunks belong to which text."""
+    """Texts as one run of bytes, each filled up in front with zeros to whole hops, and the chunks of each.
+
+    The filler is longer than a filter and the look back, so no text sees another.
+    """
 
     data: np.ndarray
     hops: np.ndarray  # per text
@@ -54,7 +57,7 @@ class Layout:
     def of(cls, texts: Sequence[str]) -> Layout:
         raw = [text.encode("utf-8", "surrogatepass") for text in texts]
         hops = np.array([-(-(len(part) + LAGS + GRAM) // HOP) for part in raw], np.int64)
-        return cls(np.frombuffer(b"".join(part.ljust(n * HOP, b"\0") for part, n in zip(raw, hops.tolist())), np.uint8), hops)
+        return cls(np.frombuffer(b"".join(part.rjust(n * HOP, b"\0") for part, n in zip(raw, hops.tolist())), np.uint8), hops)
 
     def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First and second hop of every chunk, and the first chunk of every text."""
