@@ -6,10 +6,14 @@ import atexit
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Batch = TypeVar("Batch", pa.RecordBatch, pa.Array)
 _FOLDERS: dict[str, SparkSession] = {}
 
 
@@ -22,6 +26,12 @@ def whole(text: str | Column = "text") -> Column:
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
+def slices(cells: Batch, rows: int = 256) -> Iterator[Batch]:
+    """An Arrow batch or array in short pieces, so that a task holds few texts as Python objects at once."""
+    for low in range(0, len(cells), rows):
+        yield cells.slice(low, rows)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset (tests), one of this process is set."""
     context = spark.sparkContext

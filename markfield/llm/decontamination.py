@@ -24,14 +24,16 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import settle, table, whole
+from markfield.llm.common import settle, slices, table, whole
 
 WORD = re.compile(r"\w+")
 #: Question, and answer if there is white space after a sentence's end: the last sentence.
 LAST_SENTENCE = r"(?s)^(.*[.!?])\s+(\S.*)$"
+ARROW = {"bigint": "int64", "int": "int32", "string": "string"}
 HIT = "array<struct<item_id:{id},score:double,question_overlap:double,answer_overlap:double,at:long>>"
 
 
@@ -211,12 +213,13 @@ class Index:
         kept: dict[int, tuple] = {}
         for (item, start), score in best.items():
             reach = self.length[item]
-            near = shingles(words[max(0, start - reach):start + self.settings.passage + reach], self.settings.shingle)
-            if min(map(len, self.whole[item])) < self.settings.shingle:
-                flat = f" {' '.join(words[max(0, start - reach):start + self.settings.passage + reach])} "
-                near |= {run for run in self.whole[item] | self.question[item] | self.answer[item]
-                         if f" {' '.join(run)} " in flat}
-            share = [len(part & near) / len(part) for part in (self.question[item], self.answer[item], self.whole[item])]
+            around = words[max(0, start - reach):start + self.settings.passage + reach]
+            near, parts = shingles(around, self.settings.shingle), (self.question[item], self.answer[item], self.whole[item])
+            short = [run for part in parts for run in part if len(run) < self.settings.shingle]
+            if short:
+                flat = f" {' '.join(around)} "
+                near |= {run for run in short if f" {' '.join(run)} " in flat}
+            share = [len(part & near) / len(part) for part in parts]
             if max(share[0], share[2]) >= self.settings.overlap:
                 found = (share[0], share[1], score, start)
                 kept[item] = max(kept.get(item, found), found, key=lambda hit: (hit[:3], -hit[3]))
@@ -246,12 +249,15 @@ def shards(items: DataFrame, settings: Settings) -> Iterator[list[tuple[int, str
 def hits(spark: SparkSession, items: Sequence[tuple[int, str, str]], settings: Settings, kind: str, text: Column) -> Column:
     """Leaked items of one shard in a whole text. A shipped index holds at most ``shard_chars`` characters of items."""
     shipped = spark.sparkContext.broadcast(Index(items, settings))
+    cells = pa.list_(pa.struct([("item_id", pa.type_for_alias(ARROW[kind])), ("score", pa.float64()),
+                                ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("at", pa.int64())]))
     names = ("item_id", "score", "question_overlap", "answer_overlap", "at")
 
-    @F.pandas_udf(HIT.format(id=kind))
-    def found(texts):
+    @F.arrow_udf(HIT.format(id=kind))
+    def found(texts: pa.Array) -> pa.Array:
         index = shipped.value
-        return texts.map(lambda text: [dict(zip(names, hit)) for hit in index.leaks(text)])
+        return pa.array([[dict(zip(names, hit)) for hit in index.leaks(text)]
+                         for part in slices(texts) for text in part.to_pylist()], cells)
 
     return found(whole(text))
 

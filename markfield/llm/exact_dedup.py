@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from markfield.llm.common import release, scratch, settle, small_side, table, whole
 
-#: State on disk, one bound on the memory all its stores in an executor take together, no files reserved ahead.
+#: State on disk, one bound on the memory all its stores in an executor take together, no files reserved
+#: ahead, and a store is closed when its task has committed.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -28,6 +29,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 #: Digests of several rows are broadcast up to this counted number (about 80 bytes each), else shuffled.
 BROADCAST_DIGESTS = 500_000

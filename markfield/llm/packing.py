@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import parts_for, settle, table, whole
+from markfield.llm.common import parts_for, settle, slices, table, whole
 from markfield.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, serial = encoder(vocabulary), itertools.count(TaskContext.get().partitionId() << 36)
         tail = np.array([end], dtype="<u4")
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             rows: list[tuple] = []
             for place, text in enumerate(batch.column(1).to_pylist()):
                 ids = np.concatenate([encode(text), tail])

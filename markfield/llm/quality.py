@@ -18,10 +18,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import table, whole
+from markfield.llm.common import slices, table, whole
 from markfield.llm.toxicity import held_out, labelled
 
 WIDTH = 6
@@ -201,11 +202,10 @@ def score(spark: SparkSession, network: Network, text: Column) -> Column:
     """Quality of a whole text. The size of the network that is shipped is fixed by its settings."""
     shipped = spark.sparkContext.broadcast(network)
 
-    @F.pandas_udf("double")
-    def scores(texts):
-        import pandas as pd
-
-        return pd.Series(shipped.value.scores(texts.tolist()), texts.index)
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
+        network = shipped.value
+        return pa.array(np.concatenate([np.zeros(0), *(network.scores(part.to_pylist()) for part in slices(texts))]), pa.float64())
 
     return scores(whole(text))
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import parts_for, settle, small_side, table, whole
+from markfield.llm.common import parts_for, settle, slices, small_side, table, whole
 from markfield.llm.components import components
 from markfield.llm.exact_dedup import located
 
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, carry: Sequence[str], text_col: str = "text",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = itertools.count(TaskContext.get().partitionId() << 36)
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             found: list[list[list[int]]] = [[] for _ in recipes]
             for text in batch.column(len(carry)).to_pylist():
                 for out, (_, width, copies, distinct) in zip(found, recipes):
@@ -336,7 +336,7 @@ def near_links(rows: DataFrame, text_col: str = "text", similarity: float = SIMI
         small_side(ends, ends.count(), BROADCAST_ROWS), ["file", "row"]).select("key", "text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             hashes = [np.unique(shingle_hashes(text, WIDTH)).view(np.int64) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.list_(pa.int64()))],
                                              names=["key", "hashes"])

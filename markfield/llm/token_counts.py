@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import scratch, settle, table, whole
+from markfield.llm.common import scratch, settle, slices, table, whole
 from markfield.llm.tokens import BYTE_BPE, MULTI_BPE, encoder
 
 KEYS = ("source", "lang", "tokenizer")
@@ -122,7 +122,7 @@ def counted(docs: DataFrame, vocabularies: Sequence[str], texts: dict[str, Colum
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = [encoder(vocabulary) for vocabulary in vocabularies]
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             found: list[list[int]] = [[] for _ in names]
             for row in zip(*(column.to_pylist() for column in batch.columns[len(carry):])):
                 seen: dict[str, list[int]] = {}

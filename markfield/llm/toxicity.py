@@ -14,6 +14,7 @@ column is added to the caller's.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import table, whole
+from markfield.llm.common import slices, table, whole
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -97,7 +98,7 @@ def _encoded(rows: DataFrame, places: dict[str, int] | None, identity: Sequence[
     schema = "label int, terms array<string>" if places is None else "label int, places array<int>, sentences array<string>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             texts, marks = batch.column(0).to_pylist(), batch.column(1)
             if places is None:
                 yield pa.RecordBatch.from_arrays([marks, pa.array([list(terms_of(text)) for text in texts],
@@ -188,9 +189,10 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
     """Toxicity of a whole text. The model that is shipped holds at most ``Settings.terms`` terms."""
     shipped = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(texts):
-        return texts.map(shipped.value.score)
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
+        model = shipped.value
+        return pa.array([model.score(text) for part in slices(texts) for text in part.to_pylist()], pa.float64())
 
     return scores(whole(text))
 
