@@ -21,10 +21,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import settle, table, whole
+from markfield.llm.common import settle, small_side, table, whole
 
-#: Tokens that vary: anything with a digit.
-VARIABLE = r"\S*[0-9]\S*"
+#: Tokens that vary: anything with a digit, from the start of the token.
+VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
+#: White space other than single spaces between tokens.
+RUNS = r"[\t\r\x0b\x0c]|^ |  | $"
+#: Small key tables are broadcast up to this counted number of rows, else shuffled.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass
@@ -37,30 +41,37 @@ class Settings:
 
 def masked(line: Column) -> Column:
     """The line's tokens with variable ones replaced, joined by single spaces."""
-    return F.regexp_replace(F.regexp_replace(F.trim(F.translate(line, "\t\r\x0b\x0c", "    ")), " +", " "), VARIABLE, "<*>")
+    plain = F.when(line.rlike(RUNS), F.trim(F.regexp_replace(line, r"[\t\r\x0b\x0c ]+", " "))).otherwise(line)
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, VARIABLE, "<*>")).otherwise(plain)
 
 
-def leaf(line: Column, leading: int) -> Column:
-    """Hash of token count and leading tokens of a masked line."""
+def parsed(line: Column, leading: int) -> Column:
+    """Struct (line, leaf): hashes of a masked line, and of its token count and leading tokens; null without tokens."""
     tokens = F.split(line, " ")
-    return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, leading), " "))
+    leaf = F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, leading), " "))
+    return F.when(line != "", F.struct(F.xxhash64(line).alias("line"), leaf.alias("leaf")))
 
 
-def parsed(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, at, masked, line, leaf`` of every line that has a token; ``line`` and ``leaf`` are hashes."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(whole(text_col), "\n", -1)).alias("at", "raw"))
-    rows = lines.select("doc_id", "at", masked(F.col("raw")).alias("masked")).filter("masked <> ''")
-    return rows.select("doc_id", "at", "masked", F.xxhash64("masked").alias("line"), leaf(F.col("masked"), settings.leading).alias("leaf"))
+def cut(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``at, doc_id, text, hashes`` in the shared folder: texts with the hashes of every line, parsed once."""
+    rows = docs.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
+    lines = F.transform(F.split("text", "\n", -1), masked)
+    hashes = F.transform(lines, lambda line: parsed(line, settings.leading))
+    return settle(rows.withColumn("hashes", hashes), "lines")
 
 
-def recurring(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def recurring(rows: DataFrame, settings: Settings) -> DataFrame:
     """Hashes ``line`` of all lines whose template occurs in enough documents."""
-    rows = parsed(docs, settings, id_col, text_col)
-    # Lines in order of their documents: distinct lines of a document, then documents of a line.
-    once = rows.groupBy("doc_id", "leaf", "line").agg(F.lit(1).alias("one"))
-    counts = settle(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("documents")), "line-counts")
-    leaves = settle(counts.groupBy("leaf").agg(F.sum("documents").alias("all")).filter(F.col("all") >= settings.documents), "leaves")
-    texts = rows.join(leaves.select("leaf"), "leaf", "left_semi").groupBy("leaf", "line").agg(F.min("masked").alias("masked"))
+    once = rows.select(F.explode(F.array_distinct(F.transform("hashes", lambda h: h["line"]))).alias("line")).groupBy("line").agg(
+        F.count(F.lit(1)).alias("documents"))
+    leaf_of = rows.select(F.explode("hashes").alias("h")).filter("h is not null").groupBy("h.line").agg(F.first("h.leaf").alias("leaf"))
+    counts = settle(leaf_of.join(once, "line"), "line-counts")
+    leaves = settle(counts.groupBy("leaf").agg(F.sum("documents").alias("all")).filter(
+        F.col("all") >= settings.documents), "leaves")
+    raw = rows.select(F.explode(F.arrays_zip(F.split("text", "\n", -1).alias("raw"), F.col("hashes").alias("h"))).alias("z"))
+    raw = raw.select("z.raw", "z.h.leaf", "z.h.line").filter("leaf is not null").join(
+        small_side(leaves.select("leaf"), leaves.count(), BROADCAST_ROWS), "leaf", "left_semi")
+    texts = raw.groupBy("leaf", "line").agg(F.first("raw").alias("raw")).select("leaf", "line", masked(F.col("raw")).alias("masked"))
     known = settle(texts.join(counts, ["leaf", "line"]), "line-texts")
     tokens = known.select("leaf", "line", "documents", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     stood = tokens.groupBy("leaf", "place", "token").agg(F.sum("documents").alias("n"))
@@ -77,16 +88,18 @@ def without_recurring(docs: DataFrame, settings: Settings | None = None, id_col:
                       text_col: str = "text") -> DataFrame:
     """``doc_id, n_lines, dropped, text``: every document without its recurring lines."""
     settings = settings or Settings()
-    hashes = recurring(docs, settings, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"), F.monotonically_increasing_id().alias("_row"))
-    rows = settle(rows, "lines-in")
-    hit = parsed(rows, settings, "_row", "text").select(F.col("doc_id").alias("_row"), "at", "line").join(
-        hashes, "line", "left_semi").groupBy("_row").agg(F.collect_set("at").alias("drop"))
+    rows = cut(docs, settings, id_col, text_col)
+    hashes = recurring(rows, settings)
+    known = small_side(hashes.withColumn("gone", F.lit(True)), hashes.count(), BROADCAST_ROWS)
+    marked = rows.select("at", F.posexplode("hashes").alias("place", "h")).select("at", "place", "h.line").join(known, "line", "left")
+    flags = marked.groupBy("at").agg(F.count("gone").alias("dropped"), F.array_sort(F.collect_list(
+        F.struct("place", F.coalesce("gone", F.lit(False)).alias("gone")))).alias("flags")).filter("dropped > 0")
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, at: ~F.array_contains(F.col("drop"), at))
-    return rows.join(hit, "_row", "left").select(
-        "doc_id", F.size(lines).alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).alias("dropped"),
-        F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+    kept = F.transform(F.filter(F.arrays_zip(lines.alias("raw"), F.col("flags").alias("flag")), lambda z: ~z["flag"]["gone"]),
+                       lambda z: z["raw"])
+    return rows.select("at", "doc_id", "text").join(flags, "at", "left").select(
+        "doc_id", F.size(lines).alias("n_lines"), F.coalesce("dropped", F.lit(0)).cast("int").alias("dropped"),
+        F.when(F.col("flags").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
