@@ -49,13 +49,9 @@ class Settings:
     min_correlation: float = 0.3
     min_correlation_lead: float = 0.2
     relation_stride: int = 8
-    diff_sample: int | None = 5000
     diff_radius: float = 2.0
     window_radius: int = 7
     control_shifts: tuple[tuple[int, int], ...] = CONTROL_SHIFTS
     rare_below: int = 300
     preview_per_label: int = 8
-    # One array cell never holds more than this many lineage entries; the long
-    # tables always hold every entry.
-    inline_list_limit: int = 500
     legacy_double_stem: bool = False

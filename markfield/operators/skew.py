@@ -6,12 +6,11 @@ Three patterns are not and have a replacement here:
 * looking a key up in a one-row-per-key table -> :func:`lookup_join`
 * an exact median of a group of any size       -> :func:`exact_median`
 * a running total inside a group of any size   -> :func:`running_total`
-
-Lists per key are built by :func:`inline_list`, which bounds what a cell can hold.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -23,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 HOT_ROWS = 500_000
-MAX_HOT_KEYS = 2_000
+BROADCAST_KEYS = 100_000
 _JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
-SALTS = 64
+_LEFT: list[tuple[SparkSession, str]] = []
 
 
 def work_partitions(spark: SparkSession) -> int:
@@ -37,41 +36,37 @@ def work_partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """The heaviest keys above ``hot_rows``; at most ``max_keys`` rows.
-
-    The bound is what makes the broadcast below safe at any input size. A key left
-    out is still joined correctly, only without being spread.
-    """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(max_keys).select(*keys)
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key above ``hot_rows`` rows, with ``_fan``: how many parts of that size it makes."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    return counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_fan"))
 
 
 def lookup_join(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], spread_by: Sequence[str | Column], *,
-    how: str = "left", hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS, salts: int = SALTS,
-    hot: DataFrame | None = None, strategy: str | None = None,
+    how: str = "left", hot_rows: int = HOT_ROWS, hot: DataFrame | None = None, strategy: str | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``table`` (one row per key) with hot keys split over ``salts``.
+    """Join ``rows`` to ``table`` (one row per key) with hot keys split by how many rows they have.
 
     Rows of a hot key take a salt from a hash of ``spread_by`` (repeatable, so a lost
     task recomputes the same rows) and only the matching table rows are repeated.
-    Rows without a key match nothing and are spread the same way. ``strategy`` is a join
-    hint for inputs whose size Spark cannot know before reading them.
+    Rows without a key match nothing and take any salt. The hot keys are broadcast when there are few by count, else
+    joined by a shuffle. ``strategy`` is a join hint for inputs whose size Spark cannot know before reading them.
     """
     keys = list(keys)
-    if hot is None:
-        hot = hot_keys(rows, keys, hot_rows, max_keys)
-    hot = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    hot = settle(hot_keys(rows, keys, hot_rows) if hot is None else hot.select(*keys, "_fan"), "hot_keys")
+    number = hot.count()
+    if not number:
+        return rows.join(table.hint(strategy) if strategy else table, keys, how)
+    hot = F.broadcast(hot) if number <= BROADCAST_KEYS else hot.hint("merge")
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
+    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_fan", F.lit(1 << 20))).cast("int")
     left = rows.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))).drop("_hot")
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = table.join(hot, keys, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
+        "_salt", F.when(F.col("_fan").isNotNull() | no_key, salt).otherwise(F.lit(0))).drop("_fan")
+    right = table.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1))).drop("_fan")
     return left.join(right.hint(strategy) if strategy else right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -133,22 +128,6 @@ def running_total(rows: DataFrame, keys: Sequence[str], order: str, value: str,
     )
 
 
-def inline_list(rows: DataFrame, keys: Sequence[str], order: Sequence[str], entry: Column, name: str,
-                limit: int) -> DataFrame:
-    """``keys, name`` with the ordered entries of every key that has at most ``limit``.
-
-    A key with more entries gets null: its entries stay in ``rows``, which is the
-    complete form. The rank filter is pushed below the shuffle by Spark, so a hot
-    key sends at most ``limit + 1`` rows per task.
-    """
-    window = W.partitionBy(*keys).orderBy(*order)
-    first = rows.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= limit + 1)
-    grouped = first.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_rank", entry.alias("entry")))).alias("_list"))
-    entries = F.transform("_list", lambda item: item["entry"])
-    return grouped.select(*keys, F.when(F.size("_list") <= limit, entries).alias(name))
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
@@ -174,6 +153,17 @@ def job_folder(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def remove_left() -> None:
+    """Remove the tables settled outside a job."""
+    while _LEFT:
+        spark, folder = _LEFT.pop()
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the JVM may be gone when the driver ends
+            continue
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back.
 
@@ -181,7 +171,12 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
     outlives lost executors and lets each branch read only its columns.
     """
     spark = rows.sparkSession
-    folder = _JOB_FOLDER.get() or f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}"
+    folder = _JOB_FOLDER.get()
+    if not folder:  # outside a job the table stays until the driver ends
+        folder = f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}"
+        if not _LEFT:
+            atexit.register(remove_left)
+        _LEFT.append((spark, folder))
     target = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
     rows.write.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

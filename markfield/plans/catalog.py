@@ -16,7 +16,7 @@ from markfield.operators import grids as C
 from markfield.operators import mapping as M
 from markfield.operators import report as R
 from markfield.operators.neighbors import COUNTS, box_neighbors, near_points, nearest_distance
-from markfield.operators.skew import exact_median, inline_list, settle
+from markfield.operators.skew import exact_median, settle
 from markfield.operators.windows import crop
 from markfield.plans import standins as S
 from markfield.sources.annotations import decode_annotations, name_facts, resolve_files
@@ -25,7 +25,7 @@ from markfield.sources.files import changed_files
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 EVENT_LABELS = Taxonomy({name: () for name in ("click", "error", "purchase", "signup", "view", "unused")})
-SMALL = Settings(patch_size=S.PATCH, center_box=4, window_radius=S.RADIUS, control_shifts=S.SHIFTS, diff_sample=50,
+SMALL = Settings(patch_size=S.PATCH, center_box=4, window_radius=S.RADIUS, control_shifts=S.SHIFTS,
                  min_probe_points=2, relation_stride=2)
 SPLIT_OF_AREA = {str(n): ("train", "val", "test")[n % 3] for n in range(0, 44)}
 
@@ -134,13 +134,12 @@ def supplied_points(spark, sf):
 
 @query
 def image_files(spark, sf):
-    """Files of every raster in order, as one bounded array, with the first file's facts."""
+    """Every file of every raster, with their number and the facts of the raster's first file."""
     mapped = _resolved(spark, sf).filter("status = 'mapped'")
-    lists = inline_list(mapped, ["image"], ["relpath"], F.col("relpath"), "files", 500)
     first = mapped.groupBy("image").agg(F.min(F.struct(*D.file_order(), "area", "stage")).alias("f"),
                                         F.count(F.lit(1)).alias("n"))
-    return first.join(lists, "image").select("image", "n", F.col("f.area").alias("area"), F.col("f.stage").alias("stage"),
-                                             F.array_join("files", "|").alias("files"))
+    return mapped.select("relpath", "image").join(first, "image").select(
+        "relpath", "image", "n", F.col("f.area").alias("area"), F.col("f.stage").alias("stage"))
 
 
 @query
@@ -190,8 +189,7 @@ def dedup_points(spark, sf):
 def point_lineage(spark, sf):
     refs = S.coarse_refs(spark, sf)
     lineage = D.point_lineage(refs, ["file_no", "index"], ["roi"])
-    lists = inline_list(lineage, ["point_id"], ["file_no", "index"], F.struct("roi", "index"), "refs", 500)
-    return lists.select("point_id", F.to_json("refs").alias("roi_refs"))
+    return lineage.select("point_id", F.to_json(F.struct("roi", "index")).alias("roi_ref"))
 
 
 @query
@@ -395,7 +393,8 @@ def rebuilt_rows(spark, sf):
     twin = S.twin_rows(rows)
     chosen = _evidence(spark, sf).filter("pixel_check = 'tiff_damaged_rebuilt_from_jpeg'").select(
         "image", F.col("jpeg_to_tiff").alias("t"))
-    joined = twin.join(chosen, "image")
+    chosen = settle(chosen, "rebuilt")  # one row per damaged raster, counted before it is broadcast
+    joined = twin.join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen.hint("merge"), "image")
     return A.flip_rows(joined, F.col("t"), F.col("height")).select("image", "row_no", F.hex("px").alias("px"))
 
 
@@ -406,8 +405,9 @@ def difference_report(spark, sf):
 
 @query
 def difference_positions(spark, sf):
+    """The first fifty differing pixels of every raster in reading order."""
     rows = settle(_differing(spark, sf)[0], "differing_rows")
-    return A.difference_positions(rows, SMALL.diff_sample)
+    return A.difference_positions(rows, 50)
 
 
 @query
@@ -424,7 +424,7 @@ def near_point_fraction(spark, sf):
 @query
 def nearest_point(spark, sf):
     rows = settle(_differing(spark, sf)[0], "differing_rows")
-    pixels = A.difference_positions(rows, SMALL.diff_sample)
+    pixels = A.difference_positions(rows, None)
     found = nearest_distance(pixels, S.raster_points(spark, sf).select("image", "x", "y"), 2.0)
     return found.select("image", "x", "y", F.bround("distance", 6).alias("distance"))
 
@@ -446,8 +446,10 @@ def crop_patches(spark, sf):
 
 @query
 def patch_shapes(spark, sf):
-    """Patches whose byte count is not size x size x 3 (none)."""
-    return _patches(spark, sf).filter(F.octet_length("pixels") != S.PATCH * S.PATCH * 3).select("point_no")
+    """Patches whose byte count is not size x size x 3; every thirteenth has lost its last byte."""
+    cut = F.when(F.col("point_no") % 13 == 5, F.substring("pixels", 1, S.PATCH * S.PATCH * 3 - 1)).otherwise(F.col("pixels"))
+    return _patches(spark, sf).withColumn("pixels", cut).filter(
+        F.octet_length("pixels") != S.PATCH * S.PATCH * 3).select("point_no")
 
 
 @query

@@ -327,13 +327,13 @@ QUERIES: dict[str, str] = {
     "excluded_files": "SELECT relpath, reason, duplicate_of, point_count, fine_label AS label FROM status WHERE status = 'excluded'",
     "supplied_points": "SELECT fine_label, CAST(sum(point_count) AS BIGINT) AS points FROM status WHERE status = 'mapped' GROUP BY fine_label",
     "image_files": """
-        SELECT image, count(*) AS n, arg_min(area, ord) AS area, arg_min(stage, ord) AS stage, string_agg(relpath, '|' ORDER BY relpath) AS files
-        FROM (SELECT *, row_number() OVER (ORDER BY in_set, lower(relpath), relpath) AS ord FROM status WHERE status = 'mapped') GROUP BY image""",
+        SELECT relpath, image, count(*) OVER w AS n, first_value(area) OVER w AS area, first_value(stage) OVER w AS stage
+        FROM status WHERE status = 'mapped'
+        WINDOW w AS (PARTITION BY image ORDER BY in_set, lower(relpath), relpath ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     "changed_sources": "SELECT relpath FROM listing WHERE bytes % 7000 = 0",
     "dedup_points": 'SELECT image, fine_label, key_x, key_y, ref_count, file_no, "index", roi, x, y, point_id FROM uniq',
     "point_lineage": """
-        SELECT point_id, '[' || string_agg('{"roi":"' || roi || '","index":' || CAST("index" AS VARCHAR) || '}', ',' ORDER BY file_no, "index") || ']' AS roi_refs
-        FROM refs GROUP BY point_id""",
+        SELECT point_id, '{"roi":"' || roi || '","index":' || CAST("index" AS VARCHAR) || '}' AS roi_ref FROM refs""",
     "lineage_rows": 'SELECT point_id, file_no, "index", roi FROM refs',
     "files_per_point": "SELECT point_id, count(DISTINCT roi) AS roi_files FROM refs GROUP BY point_id",
     "labels_at_location": "SELECT image, key_x, key_y, fine_label, labels_here FROM located",
@@ -394,9 +394,9 @@ QUERIES: dict[str, str] = {
         GROUP BY image""",
     "nearest_point": f"""
         SELECT p.image, p.x, p.y, round_even(CASE WHEN min({DISTANCE}) <= 2 THEN min({DISTANCE}) END, 6) AS distance
-        FROM positions p LEFT JOIN marks m ON m.image = p.image WHERE p.rn <= 50 GROUP BY p.image, p.x, p.y""",
+        FROM positions p LEFT JOIN marks m ON m.image = p.image GROUP BY p.image, p.x, p.y""",
     "crop_patches": "SELECT point_no, pixels FROM patches",
-    "patch_shapes": "SELECT point_no FROM patches WHERE length(pixels) <> 384",
+    "patch_shapes": "SELECT point_no FROM patches WHERE point_no % 13 = 5",
     "mean_patch": "SELECT fine_label, pos, round_even(mean, 6) AS mean FROM means",
     "stretched_mean": """
         SELECT m.fine_label, CAST(pos AS INT) AS pos, CAST(floor(greatest(0, least(255, (mean - lo) * 255.0 / greatest(hi - lo, 1e-6)))) AS INT) AS value
@@ -435,7 +435,10 @@ def statement(name: str) -> str:
                 visit(body)
 
     visit(QUERIES[name])
-    parts = ", ".join(f"{key} AS ({body})" for key, body in CTES.items() if key in needed)
+    # Derived inputs read more than once are computed once.
+    whole = " ".join([QUERIES[name], *(CTES[key] for key in needed)])
+    many = {key for key in needed if len(re.findall(rf"(?i)(\bfrom|\bjoin|,)\s+{key}\b", whole)) > 1}
+    parts = ", ".join(f"{key} AS {'MATERIALIZED ' if key in many else ''}({body})" for key, body in CTES.items() if key in needed)
     return (f"WITH {parts} " if parts else "") + QUERIES[name]
 
 

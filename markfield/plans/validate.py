@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from markfield.config import SCHEMA_NAME, SCHEMA_VERSION, Taxonomy
 from markfield.operators import report as R
+from markfield.operators.skew import job_folder
 from markfield.plans.publish import SAMPLE_COLUMNS, read_patches, table_digest
 from markfield.sources.files import exists, file_digests, listing, read_table_csv
 
 Problem = str | None
+#: Areas a message names at most; the check itself covers all.
+MOST_NAMED = 100
 
 
 def read_manifest(spark: SparkSession, dataset: str) -> dict:
@@ -33,7 +36,7 @@ def checks(spark: SparkSession, dataset: str, unexpected_files: bool = False):
     yield "schema", None if known else "unsupported schema"
 
     samples = read_table_csv(spark, f"{dataset}/samples.csv", ", ".join(f"{c} string" for c in SAMPLE_COLUMNS))
-    same = table_digest(samples, SAMPLE_COLUMNS[:3]) == manifest["samples_digest"]
+    same = table_digest(samples, SAMPLE_COLUMNS) == manifest["samples_digest"]
     yield "samples_digest", None if same else "samples.csv hash mismatch"
 
     recorded = spark.read.parquet(f"{dataset}/output_hashes")
@@ -51,26 +54,29 @@ def checks(spark: SparkSession, dataset: str, unexpected_files: bool = False):
 
     taxonomy = Taxonomy({name: tuple(subs) for name, subs in manifest["subtypes"].items()})
     yield "labels", _first(R.unknown_labels(samples, taxonomy), "unknown label ", "fine_label")
-    yield "splits", _first(R.leaking_areas(samples), "areas in more than one split: ", "area")
+    leaks = [f"{row.area} ({', '.join(row.splits)})" for row in R.leaking_areas(samples).orderBy("area").limit(MOST_NAMED).collect()]
+    yield "splits", "areas in more than one split: " + "; ".join(leaks) if leaks else None
     yield "count", None if samples.count() == manifest["counts"]["patches"] else "patch count mismatch"
 
 
 def validation_report(spark: SparkSession, dataset: str) -> DataFrame:
     """Rows ``check, passed, detail``; stops at checks that need an unreadable manifest."""
     rows = []
-    for name, problem in checks(spark, dataset):
-        rows.append((name, problem is None, problem))
-        if problem and name in ("completed", "schema"):
-            break
+    with job_folder(spark):
+        for name, problem in checks(spark, dataset):
+            rows.append((name, problem is None, problem))
+            if problem and name in ("completed", "schema"):
+                break
     return spark.createDataFrame(rows, "check string, passed boolean, detail string")
 
 
 def validate(spark: SparkSession, dataset: str, unexpected_files: bool = False) -> dict:
     """Raise ``ValueError`` on the first failing check."""
-    for _, problem in checks(spark, dataset, unexpected_files):
-        if problem:
-            raise ValueError(problem)
+    with job_folder(spark):
+        for _, problem in checks(spark, dataset, unexpected_files):
+            if problem:
+                raise ValueError(problem)
     manifest = read_manifest(spark, dataset)
     return {"status": "passed", "patches": manifest["counts"]["patches"],
             "files_hashed": spark.read.parquet(f"{dataset}/output_hashes").count(),
-            "scope": "structure and bytes only; labels are provider labels, not expert verified"}
+            "scope": "files and tables agree with each other; whether a label is right is not checked"}

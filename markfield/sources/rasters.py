@@ -82,7 +82,7 @@ def _header(relpath: str, path: str, size: int) -> dict:
         problem = None
         if following:
             problem = "expected single-page TIFF"
-        elif set(bits) != {8} or samples != 3 or tags.get("format", [1])[0] != 1:
+        elif set(bits) != {8} or samples != 3 or tags.get("format", [1])[0] != 1 or planar != 1:
             problem = "expected uint8 RGB TIFF"
         record.update(
             width=width, height=height, bits=bits[0], samples=samples,

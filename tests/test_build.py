@@ -1,198 +1,216 @@
-"""Whole job on a synthetic tree."""
+"""The whole job on a scene of discs; what is expected follows from the scene's own points."""
 
-import math
+import json
+import shutil
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from markfield.config import Settings, Taxonomy
+from markfield.operators.report import unknown_labels
 from markfield.plans.build import build
+from markfield.plans.publish import POINT_COLUMNS, SAMPLE_COLUMNS
 from markfield.plans.validate import validate, validation_report
 from markfield.sources.files import listing, read_string_map, read_table_csv
 from markfield.sources.rasters import jpeg_headers, strip_rows, tiff_headers
-from tests.support import HEIGHT, WIDTH, read_rows, synthetic_tree, write_points, write_tiff
-
-SPLITS = {"1": "train", "2": "val", "3": "test"}
-
-
-@pytest.fixture(scope="module")
-def tree(spark, tmp_path_factory):
-    return synthetic_tree(spark, tmp_path_factory.mktemp("source") / "raster tree")
+from tests.support import HIGH, SCENE, SCENE_OVERRIDES, SCENE_SPLITS, WIDE, read_rows, scene, write_points, write_tiff
 
 
 @pytest.fixture(scope="module")
-def built(spark, tree, tmp_path_factory):
-    out = tmp_path_factory.mktemp("built") / "out"
-    return build(spark, str(tree), str(out), SPLITS), str(out)
-
-
-def by_name(rows, column="relpath"):
-    return {row[column].split("/")[-1]: row for row in rows.collect()}
-
-
-def test_excluded_files(spark, built):
-    manifest, out = built
-    assert manifest["schema"] == "provider_subtype_point_dataset" and manifest["schema_version"] == 1
-    excluded = spark.read.json(f"{out}/excluded_roi_files.json")
-    assert {(r.relpath.split("/")[-1], r.reason) for r in excluded.collect()} == {
-        ("Before an_1_TED(e).roi", "empty_file"), ("Before an_unknown.roi", "unknown_label"),
-        ("4_Before annealing_BPD.roi", "x100_magnified_image_different_scale"),
-        ("Before an_1_TSD(a).roi", "duplicate_bytes")}
-    copy = excluded.filter("reason = 'duplicate_bytes'").head()
-    assert "/RoiSet/" in copy.relpath and "/RoiSet/" not in copy.duplicate_of
-
-
-def test_grids(spark, built):
-    files = by_name(read_table_csv(spark, f"{built[1]}/roi_files.csv").filter("status = 'used'"))
-    assert len(files) == 7
-    assert files["Before an_area 2_1_1_TSD(a).roi"].coordinate_transform == "hflip"
-    assert files["Before an_area 2_1_1_TSD(a).roi"].transform_basis == "contrast_probe_raw_jpeg_grid"
-    rare = files["Before an_area 2_1_1_TSD(c).roi"]
-    assert (rare.coordinate_transform, rare.transform_basis) == ("hflip", "inherited_from_same_image_same_class_files")
-    assert files["Before an_area 2_1-1_TED(c).roi"].coordinate_transform == "identity"
-
-
-def test_images(spark, built):
-    images = by_name(spark.read.json(f"{built[1]}/images.json"))
-    assert images["before annealing_1.tif"].pixel_check == "tiff_bit_identical_to_jpeg_hflip"
-    damaged = images["After annealing_3.tif"]
-    assert damaged.pixel_source == "jpeg_hflip" and damaged.pixel_check == "tiff_damaged_rebuilt_from_jpeg"
-    assert damaged.tiff_damaged_row_fraction == pytest.approx(200 / HEIGHT, abs=1e-6)
-    assert damaged.tiff_differing_pixels > 0 and 0 <= damaged.tiff_differing_pixels_within_2px_of_roi_point <= 1
-    assert damaged.jpeg_pair.size_matches_tiff and damaged.roi_files == ["3 Area/After annealing_3/After an_3_TED(d).roi"]
-    assert images["before annealing_1.tif"].unique_points == 42
-
-
-def test_counts_and_points(spark, built):
-    manifest, out = built
-    counts = manifest["counts"]
-    assert counts["unique_points"] == 104 and counts["patches"] == 101 and counts["images"] == 3
-    assert counts["by_split_class_subtype"]["val"]["TSD"] == {"a": 20, "c": 2}
-    assert counts["by_split_class_subtype"]["test"]["TED"] == {"d": 20}
-    assert counts["by_split_class_subtype"]["train"] == {"TED": {"b": 20}, "TSD": {"a": 19}}
-    assert counts["excluded_points_by_reason"] == {
-        "other_label_within_center_32px": 2, "patch_crosses_image_boundary": 1}
-    assert manifest["rare_fine_labels_under_300"]["BPD"] == 0
-    assert spark.read.parquet(f"{out}/point_refs").count() == 104
-
-
-def test_patches_hold_source_pixels(spark, built, tree):
-    _, out = built
+def job(spark, tmp_path_factory):
+    """Source folder, discs, output folder and manifest of one build."""
+    folder = tmp_path_factory.mktemp("job")
+    discs = scene(spark, folder / "in put")
+    manifest = build(spark, str(folder / "in put"), str(folder / "set"), SCENE_SPLITS, SCENE_OVERRIDES, settings=SCENE, revision="r1")
+    return folder / "in put", discs, str(folder / "set"), manifest
+
+
+def files_of(spark, out):
+    return {row.relpath.rsplit("/", 1)[1]: row for row in read_table_csv(spark, f"{out}/roi_files.csv").collect()}
+
+
+def test_every_file_has_its_reason(spark, job):
+    files = files_of(spark, job[2])
+    assert {name: row.reason for name, row in files.items() if row.status != "used"} == {
+        "after_2_BPD again.roi": "duplicate_bytes", "before_3_other.roi": "unknown_label", "before_3_TED(a).roi": "empty_file",
+        "before_3_TED(b).roi": "decode_error", "before_BPD.roi": "x100_magnified_image_different_scale",
+        "BPD.roi": "ambiguous_tiff_no_stage_in_name"}
+    assert files["after_2_BPD again.roi"].duplicate_of.endswith("after step_2/after_2_BPD.roi")
+    listed = {row.relpath.rsplit("/", 1)[1]: row.reason for row in spark.read.json(f"{job[2]}/excluded_roi_files.json").collect()}
+    assert listed == {name: row.reason for name, row in files.items() if row.status != "used"}
+
+
+def test_grids_follow_the_discs(spark, job):
+    files = files_of(spark, job[2])
+    grid = {name: (row.coordinate_transform, row.transform_basis) for name, row in files.items() if row.status == "used"}
+    assert grid["after_2_BPD.roi"] == ("identity", "contrast_probe_tiff_grid")
+    assert grid["after_2_TED(f).roi"] == ("vflip", "contrast_probe_raw_jpeg_grid")
+    assert grid["after_2_ted (f) rest.roi"] == ("vflip", "inherited_from_same_image_same_class_files")
+    assert grid["before_3_BPD.roi"] == ("identity", "tiff_grid_only_candidate")
+
+
+def test_rasters(spark, job):
+    records = {row.relpath: row for row in spark.read.json(f"{job[2]}/images.json").collect()}
+    four, seven, eight = (records[name] for name in (
+        "4 Area/after step_2/after_2.tiff", "7 Area/before step_1/before_1.tif", "8 Area/before step_3/before_3.tif"))
+    assert (four.pixel_check, four.split) == ("tiff_bit_identical_to_jpeg_vflip", "test")
+    assert (seven.pixel_source, seven.pixel_check) == ("jpeg_hflip", "tiff_damaged_rebuilt_from_jpeg")
+    assert seven.tiff_damaged_row_fraction == pytest.approx((HIGH - 170) / HIGH, abs=1e-6)
+    assert seven.tiff_differing_pixels == seven.tiff_differing_pixels_pure_white > 0.9 * (HIGH - 170) * WIDE
+    assert (eight.pixel_check, eight.split, eight.jpeg_to_tiff) == ("no_jpeg_pair_unverified", "unassigned", "none")
+    owned = Counter(row.image for row in spark.read.json(f"{job[2]}/image_files.json").collect())
+    assert owned == {four.relpath: 4, seven.relpath: 1, eight.relpath: 1}
+
+
+def test_near_share_covers_every_differing_pixel(spark, job):
+    source, discs, out, _ = job
+    record = spark.read.json(f"{out}/images.json").filter("pixel_source <> 'tiff'").head()
+    y, x = np.mgrid[170:HIGH, :WIDE] + 0.5
+    close = np.zeros(y.shape, bool)
+    for px, py in discs["7"][0]:
+        close |= np.hypot(x - px, y - py) <= 2
+    assert record.tiff_differing_pixels_within_2px_of_roi_point == pytest.approx(close.mean(), abs=2e-3)
+
+
+def test_points_and_counts(spark, job):
+    _, discs, out, manifest = job
+    points = read_table_csv(spark, f"{out}/points.csv")
+    assert points.columns == POINT_COLUMNS
+    given = len(discs["4"][0]) + len(discs["4"][1]) + len(discs["7"][0]) + len(discs["8"][0])
+    rows = points.collect()
+    reasons = Counter(row.reason or "" for row in rows)
+    assert manifest["counts"]["unique_points"] == len(rows)
+    assert reasons.pop("") == manifest["counts"]["patches"]
+    assert reasons == manifest["counts"]["excluded_points_by_reason"]
+    extra = [row for row in rows if row.fine_label == "TSD_b"]
+    assert len(extra) == 2 and len(rows) == given + 2
+    assert reasons == {"patch_crosses_image_boundary": 1, "other_label_within_center_16px": 2}
+    lineage = spark.read.parquet(f"{out}/point_refs")
+    assert lineage.count() == len(rows) and lineage.select("point_id").distinct().count() == len(rows)
+
+
+def test_patches_hold_the_discs(spark, job):
+    source, discs, out, _ = job
     samples = read_table_csv(spark, f"{out}/samples.csv")
-    patches = {r.patch_id: r for r in spark.read.parquet(f"{out}/patches_128").collect()}
+    assert samples.columns == SAMPLE_COLUMNS
+    patches = {row.patch_id: np.frombuffer(bytes(row.pixels), np.uint8).reshape(64, 64, 3)
+               for row in spark.read.parquet(f"{out}/patches_64").collect()}
     rows = samples.collect()
-    assert [r.path for r in rows] == sorted(r.path for r in rows)
-    assert {r.split for r in rows if r.area == "1"} == {"train"}
-    heads = tiff_headers(listing(spark, str(tree), (".tif",)))
-    source = read_rows(strip_rows(heads.filter(F.col("relpath").contains("1 Area"))), WIDTH)
+    assert len(rows) == len(patches) and [row.path for row in rows] == sorted(row.path for row in rows)
+    heads = tiff_headers(listing(spark, str(source), (".tif", ".tiff")))
+    eight = read_rows(strip_rows(heads.filter(F.col("relpath").startswith("8 "))), WIDE)
     for row in rows:
-        patch = np.frombuffer(bytes(patches[row.patch_id].pixels), np.uint8).reshape(128, 128, 3)
-        centre = patch[60:68, 60:68].mean() - patch.mean()
-        assert centre > 20 if row.label == "TSD" else centre < -15
-        left, top = int(row.left), int(row.top)
-        assert left == math.floor(float(row.x)) - 64
-        if row.area == "1":
-            assert np.array_equal(patch, source[top:top + 128, left:left + 128])
-
-
-def test_previews(spark, built):
-    _, out = built
-    assert spark.read.parquet(f"{out}/preview_samples").groupBy("fine_label").count().filter("count > 8").count() == 0
-    means = spark.read.parquet(f"{out}/preview_means")
-    assert means.groupBy("fine_label").count().filter("count <> 49152").count() == 0
-
-
-def test_validate(spark, built):
-    assert validate(spark, built[1], unexpected_files=True)["patches"] == 101
-    assert all(r.passed for r in validation_report(spark, built[1]).collect())
-
-
-def test_validate_detects_tampering(spark, built, tmp_path):
-    import shutil
-
-    copy = tmp_path / "copy"
-    shutil.copytree(built[1], copy)
-    target = next((copy / "preview_means").glob("*.parquet"))
-    for extra in copy.rglob("*.crc"):
-        extra.unlink()
-    target.write_bytes(b"\0" * target.stat().st_size)
-    with pytest.raises(ValueError, match="hash mismatch: preview_means"):
-        validate(spark, str(copy))
-    (copy / "BUILD_FAILED.json").mkdir()
-    with pytest.raises(ValueError, match="do not use"):
-        validate(spark, str(copy))
-
-
-def test_refuses_unsafe_arguments(spark, tree, tmp_path):
-    (tmp_path / "out").mkdir()
-    with pytest.raises(ValueError, match="already exists"):
-        build(spark, str(tree), str(tmp_path / "out"), SPLITS)
-    with pytest.raises(ValueError, match="outside the source"):
-        build(spark, str(tree), str(tree / "inside"), {})
-    with pytest.raises(ValueError, match="split names"):
-        build(spark, str(tree), str(tmp_path / "new"), {"1": "other"})
-    with pytest.raises(ValueError, match="overrides"):
-        build(spark, str(tree), str(tmp_path / "new"), {}, {"a.roi": "vflip"})
-    with pytest.raises(ValueError, match="missing source"):
-        build(spark, str(tmp_path / "nowhere"), str(tmp_path / "new"), {})
-
-
-def test_failed_build_leaves_marker(spark, tmp_path):
-    folder = tmp_path / "source" / "4 Area" / "before"
-    grey = np.zeros((300, 300, 3), np.uint8)
-    write_tiff(folder / "before.tif", grey)
-    data = bytearray((folder / "before.tif").read_bytes())
-    data[data.index(b"\x15\x01\x03\x00") + 8] = 1
-    (folder / "before.tif").write_bytes(bytes(data))
-    write_points(folder / "Before_BPD.roi", [[150.5, 150.5]])
-    with pytest.raises(ValueError, match="uint8 RGB"):
-        build(spark, str(tmp_path / "source"), str(tmp_path / "out"))
+        patch, left, top = patches[row.patch_id].astype(int), int(row.left), int(row.top)
+        middle = patch[30:34, 30:34, 0].mean()
+        assert (middle > 160) if row.label in ("BPD", "TSD") else (middle < 70), row.path
+        if row.area == "8":
+            assert np.array_equal(patch, eight[top:top + 64, left:left + 64])
+    assert {(row.area, row.split) for row in rows} == {("4", "test"), ("7", "train"), ("8", "unassigned")}
+
+
+def test_manifest_and_previews(spark, job):
+    _, _, out, manifest = job
+    stored = json.loads(spark.read.option("wholetext", True).text(f"{out}/manifest.json").head()[0])
+    assert stored == json.loads(json.dumps(manifest))
+    assert manifest["started_at"] < manifest["created_at"] and manifest["code_revision"] == "r1"
+    assert manifest["split_map"] == SCENE_SPLITS and "rare_fine_labels_under_40" in manifest
+    for name in ("orientation_probe", "exclusion_rules", "split_basis", "limitations"):
+        assert manifest[name]
+    shown = spark.read.parquet(f"{out}/preview_samples").groupBy("fine_label").count()
+    assert shown.filter(F.col("count") > SCENE.preview_per_label).count() == 0
+    assert spark.read.parquet(f"{out}/preview_means").groupBy("fine_label").count().filter(f"count <> {64 * 64 * 3}").count() == 0
+
+
+def test_finished_set_validates_until_a_byte_changes(spark, job, tmp_path):
+    out = job[2]
+    assert validate(spark, out, unexpected_files=True)["patches"] == job[3]["counts"]["patches"]
+    assert [row.passed for row in validation_report(spark, out).collect()].count(False) == 0
+    shutil.copytree(out, tmp_path / "hurt")
+    for note in (tmp_path / "hurt").rglob("*.crc"):
+        note.unlink()
+    part = next((tmp_path / "hurt" / "point_refs").glob("*.parquet"))
+    data = bytearray(part.read_bytes())
+    data[len(data) // 2] ^= 1
+    part.write_bytes(bytes(data))
+    with pytest.raises(ValueError, match="point_refs"):
+        validate(spark, str(tmp_path / "hurt"))
+    shutil.rmtree(tmp_path / "hurt" / "output_hashes")
     with pytest.raises(ValueError, match="do not use"):
-        validate(spark, str(tmp_path / "out"))
-
-
-def test_headers(spark, tree):
-    tiffs = by_name(tiff_headers(listing(spark, str(tree), (".tif",))))
-    head = tiffs["After annealing_3.tif"]
-    assert (head.width, head.height, head.compression, head.photometric, head.strips) == (WIDTH, HEIGHT, "NONE", "RGB", True)
-    jpegs = by_name(jpeg_headers(listing(spark, str(tree), (".jpg",))))
-    assert (jpegs["4.jpg"].width, jpegs["4.jpg"].height, jpegs["4.jpg"].mode) == (64, 64, "RGB")
-    assert jpegs["4.jpg"].exif_orientation is None
-
-
-def test_string_map_accepts_a_byte_order_mark(spark, tmp_path):
-    (tmp_path / "splits.json").write_text("﻿{\"1\": \"train\", \"7\": \"val\"}", encoding="utf-8")
-    rows = read_string_map(spark, str(tmp_path / "splits.json"), "area", "split").collect()
-    assert {(r.area, r.split) for r in rows} == {("1", "train"), ("7", "val")}
-
-
-def test_no_point_survives(spark, tmp_path):
-    """A dataset without patches is still a valid dataset; unmapped areas are unassigned."""
-    folder = tmp_path / "source" / "5 Area" / "before"
-    write_tiff(folder / "before.tif", np.zeros((100, 100, 3), np.uint8))
-    write_points(folder / "Before_BPD.roi", [[50.5, 50.5], [150.5, 50.5]])
-    out = str(tmp_path / "out")
-    manifest = build(spark, str(tmp_path / "source"), out, {})
-    assert manifest["counts"]["excluded_points_by_reason"] == {"patch_crosses_image_boundary": 1, "point_outside_image": 1}
-    assert manifest["counts"]["patches"] == 0 and validate(spark, out)["patches"] == 0
-    image = spark.read.json(f"{out}/images.json").head()
-    assert (image.split, image.pixel_check, image.jpeg_to_tiff) == ("unassigned", "no_jpeg_pair_unverified", "none")
-
-
-def test_intermediate_tables_are_removed(spark, built):
-    import pathlib
-    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
-    left = [p for p in folder.glob("markfield-*/*") if p.name.split("-")[0] in ("points", "samples", "packed_rows")]
-    assert left == []
-
-
-def test_override_beats_the_probe(spark, tree, tmp_path):
-    name = "2 Area/before annealing_2/Before an_area 2_1_1_TSD(a).roi"
-    manifest = build(spark, str(tree), str(tmp_path / "out"), SPLITS, {name: "identity"})
-    files = by_name(read_table_csv(spark, str(tmp_path / "out" / "roi_files.csv")))
-    mine = files["Before an_area 2_1_1_TSD(a).roi"]
-    assert (mine.coordinate_transform, mine.transform_basis) == ("identity", "manual_override")
-    # Without other evidence the small file of the same class stays undetermined.
-    rare = files["Before an_area 2_1_1_TSD(c).roi"]
-    assert (rare.status, rare.reason) == ("excluded", "coordinate_grid_undetermined")
-    assert manifest["orientation_overrides"] == {name: "identity"}
+        validate(spark, str(tmp_path / "hurt"))
+
+
+@pytest.mark.parametrize(("place", "splits", "overrides", "message"), [
+    ("set", {}, {}, "never written over"), ("in put/new", {}, {}, "inside the source"), ("new", {"4": "dev"}, {}, "split name"),
+    ("new", {}, {"x.roi": "rot180"}, "override")])
+def test_refused_arguments(spark, job, place, splits, overrides, message):
+    source = job[0]
+    with pytest.raises(ValueError, match=message):
+        build(spark, str(source), str(source.parent / place), splits, overrides)
+    with pytest.raises(ValueError, match="no source folder"):
+        build(spark, str(source / "gone"), str(source.parent / "new"), {})
+
+
+@pytest.mark.parametrize("tag", [(258, 9), (284, 2)])
+def test_unfit_raster_stops_the_build(spark, tmp_path, tag):
+    """Other sample depths and planes stored apart are refused; the folder is marked."""
+    image = tmp_path / "in" / "3 Area" / "before" / "before.tif"
+    write_tiff(image, np.zeros((90, 80, 3), np.uint8))
+    data = bytearray(image.read_bytes())
+    number, value = tag
+    at = data.index(number.to_bytes(2, "little") + b"\x03\x00", 8 + 90 * 80 * 3)
+    place = int.from_bytes(data[at + 8:at + 12], "little") if number == 258 else at + 8
+    data[place] = value
+    image.write_bytes(bytes(data))
+    write_points(image.parent / "before_BPD.roi", [[40.5, 40.5]])
+    with pytest.raises(ValueError, match="RGB"):
+        build(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert (tmp_path / "out" / "BUILD_FAILED.json").exists()
+
+
+def test_nothing_to_use(spark, tmp_path):
+    write_points(tmp_path / "in" / "3 Area" / "before" / "before_other.roi", [[1.5, 1.5]])
+    with pytest.raises(ValueError, match="no annotation file"):
+        build(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_set_without_patches_is_a_set(spark, tmp_path):
+    folder = tmp_path / "in" / "6 Area" / "after"
+    write_tiff(folder / "after.tif", np.full((70, 75, 3), 9, np.uint8))
+    write_points(folder / "after_TSD(c).roi", [[30.5, 30.5], [75.5, 10.5]])
+    manifest = build(spark, str(tmp_path / "in"), str(tmp_path / "out"), {}, settings=Settings(patch_size=70))
+    assert manifest["counts"]["patches"] == 0 and manifest["counts"]["unique_points"] == 2
+    assert sum(manifest["counts"]["excluded_points_by_reason"].values()) == 2
+    assert validate(spark, str(tmp_path / "out"))["patches"] == 0
+
+
+def test_override_wins(spark, job, tmp_path):
+    name = "4 Area/after step_2/after_2_TED(f).roi"
+    build(spark, str(job[0]), str(tmp_path / "out"), SCENE_SPLITS, {name: "hflip"}, settings=SCENE)
+    files = files_of(spark, str(tmp_path / "out"))
+    assert (files["after_2_TED(f).roi"].coordinate_transform, files["after_2_TED(f).roi"].transform_basis) == ("hflip", "manual_override")
+
+
+def test_headers_of_the_scene(spark, job):
+    heads = {Path(row.relpath).name: row for row in tiff_headers(listing(spark, str(job[0]), (".tif", ".tiff"))).collect()}
+    assert {(row.width, row.height, row.compression, row.strips) for row in heads.values()} == {(WIDE, HIGH, "NONE", True)}
+    assert heads["after_2.tiff"].rows_per_strip == 37
+    twins = jpeg_headers(listing(spark, str(job[0]), (".jpg", ".jpeg"))).collect()
+    assert {(row.width, row.height, row.mode, row.exif_orientation) for row in twins} == {(WIDE, HIGH, "RGB", None)}
+
+
+def test_string_map_with_a_mark_in_front(spark, tmp_path):
+    (tmp_path / "m.json").write_bytes(b"\xef\xbb\xbf" + json.dumps({"8": "val", "10": "test"}).encode())
+    assert {tuple(row) for row in read_string_map(spark, str(tmp_path / "m.json"), "k", "v").collect()} == {("8", "val"), ("10", "test")}
+
+
+def test_labels_outside_the_taxonomy(spark):
+    rows = spark.createDataFrame([("BPD",), ("TED_q",)], "fine_label string")
+    assert [row.fine_label for row in unknown_labels(rows, Taxonomy()).collect()] == ["TED_q"]
+
+
+def test_job_leaves_no_tables(spark, job):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not [p for p in folder.glob("markfield-*/*") if p.name.split("-")[0] in ("points", "samples", "packed_rows", "tiff_headers")]

@@ -37,7 +37,7 @@ def changed(spark, dataset, target, samples=None, manifest=None, reseal=True):
     if samples is not None:
         shutil.rmtree(target / "samples.csv")
         write_csv(samples, str(target / "samples.csv"), SAMPLE_COLUMNS)
-        document["samples_digest"] = table_digest(samples, SAMPLE_COLUMNS[:3])
+        document["samples_digest"] = table_digest(samples, SAMPLE_COLUMNS)
     if manifest:
         manifest(document)
     part = next(Path(target / "manifest.json").glob("part-*"))
