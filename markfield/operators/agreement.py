@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from markfield.config import TRANSFORMS, Settings
 from markfield.functions.pixels import (
@@ -44,9 +43,9 @@ def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
     both = sizes.join(candidate_sizes.select(
         "image", F.col("width").alias("c_width"), F.col("height").alias("c_height")), "image")
     same_size = (F.col("width") == F.col("c_width")) & (F.col("height") == F.col("c_height"))
-    own = reference.select("image", "row_no", F.sha2("px", 256).alias("digest"))
-    other = candidate.select("image", "row_no", F.col("height").alias("_h"), F.sha2("px", 256).alias("plain"),
-                             F.sha2(mirror_row("px"), 256).alias("mirrored"))
+    own = reference.select("image", "row_no", F.unhex(F.sha2("px", 256)).alias("digest"))
+    other = candidate.select("image", "row_no", F.col("height").alias("_h"), F.unhex(F.sha2("px", 256)).alias("plain"),
+                             F.unhex(F.sha2(mirror_row("px"), 256)).alias("mirrored"))
     # Each candidate row is met twice: at its own row number and at the flipped one.
     at = F.explode(F.array(
         F.struct(F.col("row_no").alias("row_no"), F.lit(False).alias("upside")),
@@ -117,17 +116,15 @@ def correlations(reference: DataFrame, candidate: DataFrame, stride: int = 8) ->
 
 def confident_relation(scores: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Winner when it is high enough and clearly ahead of the runner-up, else ``undetermined``."""
-    # Four rows per image at most.
-    order = W.partitionBy("image").orderBy(F.desc("correlation"), transform_rank(F.col("transform")))
-    ranked = scores.withColumn("rank", F.row_number().over(order)).withColumn(
-        "next", F.lead("correlation").over(order))
-    all_scores = scores.groupBy("image").agg(
-        F.map_from_entries(F.collect_list(F.struct("transform", "correlation"))).alias("correlation"))
-    clear = (F.col("correlation") >= settings.min_correlation) & (
-        F.col("correlation") - F.col("next") >= settings.min_correlation_lead)
-    top = ranked.filter(F.col("rank") == 1).select(
-        "image", F.when(clear, F.col("transform")).otherwise("undetermined").alias("relation"))
-    return top.join(all_scores, "image")
+    # Four entries per image at most, the best first.
+    entry = F.struct((-F.col("correlation")).alias("down"), transform_rank(F.col("transform")).alias("rank"), "transform", "correlation")
+    ranked = scores.groupBy("image").agg(F.array_sort(F.collect_list(entry)).alias("best"))
+    first, second = F.col("best")[0], F.try_element_at("best", F.lit(2))
+    clear = (first["correlation"] >= settings.min_correlation) & (
+        first["correlation"] - second["correlation"] >= settings.min_correlation_lead)
+    return ranked.select(
+        "image", F.when(clear, first["transform"]).otherwise("undetermined").alias("relation"),
+        F.map_from_entries(F.transform("best", lambda e: F.struct(e["transform"], e["correlation"]))).alias("correlation"))
 
 
 def choose_source(has_twin: Column, best: Column, best_score: Column, relation: Column,

@@ -23,17 +23,23 @@ from pyspark.sql import Window as W
 
 HOT_ROWS = 500_000
 BROADCAST_KEYS = 100_000
+#: File bytes of one task.
+TASK_BYTES = 512 << 20
 _JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
 _LEFT: list[tuple[SparkSession, str]] = []
 
 
-def work_partitions(spark: SparkSession) -> int:
+def work_partitions(spark: SparkSession, files: DataFrame | None = None, task_bytes: int = TASK_BYTES) -> int:
     """Task count for work that is far heavier than the rows describing it (files, row ranges).
 
+    With a listing (column ``bytes``) it grows with the bytes to be read.
+
     Passed as an explicit number: a partitioning by column alone would be merged into
     very few tasks at run time, because the rows themselves are small.
     """
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    total = files.agg(F.sum("bytes")).head()[0] if files is not None else 0
+    return max(least, -(-int(total or 0) // task_bytes))
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -164,6 +170,17 @@ def remove_left() -> None:
             continue
 
 
+def left_folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared one; removed when its job, or else the driver, ends."""
+    if job := _JOB_FOLDER.get():
+        return f"{job}/{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}"
+    if not _LEFT:
+        atexit.register(remove_left)
+    _LEFT.append((spark, folder))
+    return folder
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back.
 
@@ -171,12 +188,6 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
     outlives lost executors and lets each branch read only its columns.
     """
     spark = rows.sparkSession
-    folder = _JOB_FOLDER.get()
-    if not folder:  # outside a job the table stays until the driver ends
-        folder = f"{shared_folder(spark)}/markfield-{uuid.uuid4().hex}"
-        if not _LEFT:
-            atexit.register(remove_left)
-        _LEFT.append((spark, folder))
-    target = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
+    target = f"{_JOB_FOLDER.get() or left_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
     rows.write.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

@@ -16,11 +16,13 @@ from markfield.operators import grids as C
 from markfield.operators import mapping as M
 from markfield.operators import report as R
 from markfield.operators.neighbors import COUNTS, box_neighbors, near_points, nearest_distance
-from markfield.operators.skew import exact_median, settle
+from markfield.operators.skew import exact_median, left_folder, settle
 from markfield.operators.windows import crop
+from markfield.plans import publish
 from markfield.plans import standins as S
-from markfield.sources.annotations import decode_annotations, name_facts, resolve_files
-from markfield.sources.files import changed_files
+from markfield.sources.annotations import decode_annotations, discover, name_facts, resolve_files
+from markfield.sources.files import changed_files, listing, read_table_csv, write_contents
+from markfield.sources.files import file_digests as digests_of_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -120,6 +122,43 @@ def file_status(spark, sf):
         "image_hint_in_name", "hint_matches_image")
 
 
+@query
+def discovered_files(spark, sf):
+    """The same through real files: tasks write annotation and raster files, which are listed, read and resolved."""
+    root = left_folder(spark)
+    named = S.raster_files(spark, sf).select("relpath", F.lit(b"-").alias("content"))
+    write_contents(S.annotation_bytes(spark, sf).select("relpath", "content").unionByName(named), root)
+    return discover(spark, root).select(
+        "relpath", "status", "reason", "duplicate_of", "point_count", "image", "mapping_basis",
+        "image_hint_in_name", "hint_matches_image")
+
+
+@query
+def csv_read_back(spark, sf):
+    """A table written as CSV and read again, all columns as text."""
+    target = f"{left_folder(spark)}/customer.csv"
+    rows = S.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    publish.write_csv(rows, target, ["c_custkey", "c_name", "c_nationkey"])
+    return read_table_csv(spark, target)
+
+
+@query
+def json_read_back(spark, sf):
+    """Nested counts written as JSON and read again."""
+    target = f"{left_folder(spark)}/counts.json"
+    publish.write_json(R.split_counts(_samples(spark, sf)), target)
+    return spark.read.schema(R.split_counts(_samples(spark, sf)).schema).json(target)
+
+
+@query
+def file_digests(spark, sf):
+    """Digests of written files, streamed by the tasks."""
+    root = left_folder(spark)
+    docs = S.table(spark, sf, "documents").select(F.format_string("d%d.txt", "doc_id").alias("relpath"), F.col("text").cast("binary").alias("content"))
+    write_contents(docs, root)
+    return digests_of_files(listing(spark, root))
+
+
 @query
 def excluded_files(spark, sf):
     files = _resolved(spark, sf).withColumn("status", F.when(F.col("status") == "mapped", "used").otherwise("excluded"))

@@ -422,6 +422,14 @@ QUERIES: dict[str, str] = {
 }
 
 
+QUERIES |= {
+    "discovered_files": QUERIES["file_status"],
+    "json_read_back": QUERIES["split_counts"],
+    "csv_read_back": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer",
+    "file_digests": "SELECT 'd' || CAST(doc_id AS VARCHAR) || '.txt' AS relpath, sha256(text) AS sha256 FROM documents",
+}
+
+
 def statement(name: str) -> str:
     """Query text with the derived inputs it needs, in order."""
     import re

@@ -103,10 +103,24 @@ def read_contents(files: DataFrame) -> DataFrame:
                         data.append(stream.read())
                 yield pd.DataFrame({"relpath": part["relpath"], "bytes": part["bytes"], "content": data})
 
-    spread = files.select("relpath", "path", "bytes").repartition(work_partitions(files.sparkSession), "relpath")
+    spread = files.select("relpath", "path", "bytes").repartition(work_partitions(files.sparkSession, files), "relpath")
     return spread.mapInPandas(read, "relpath string, bytes bigint, content binary")
 
 
+def write_contents(rows: DataFrame, root: str) -> int:
+    """Write ``relpath, content`` as files below ``root``, from the tasks; returns how many."""
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for relpath, content in zip(batch["relpath"], batch["content"]):
+                system, inner = _filesystem(f"{root}/{relpath}")
+                system.create_dir(inner.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(inner) as stream:
+                    stream.write(bytes(content))
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return int(rows.select("relpath", "content").mapInPandas(write, "n bigint").agg(F.sum("n")).head()[0] or 0)
+
+
 def stream_sha256(path: str, chunk: int = 8 << 20) -> str:
     digest = hashlib.sha256()
     with open_file(path) as stream:
@@ -121,7 +135,7 @@ def file_digests(files: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"relpath": batch["relpath"], "sha256": batch["path"].map(stream_sha256)})
 
-    spread = files.select("relpath", "path").repartition(work_partitions(files.sparkSession), "relpath")
+    spread = files.select("relpath", "path").repartition(work_partitions(files.sparkSession, files), "relpath")
     return spread.mapInPandas(digest, "relpath string, sha256 string")
 
 

@@ -104,7 +104,7 @@ def tiff_headers(files: DataFrame) -> DataFrame:
             rows = [_header(r.relpath, r.path, r.bytes) for r in batch.itertuples()]
             yield pd.DataFrame(rows, columns=fields).astype(object).where(lambda d: d.notna(), None)
 
-    tasks = work_partitions(files.sparkSession)
+    tasks = work_partitions(files.sparkSession, files)
     return files.select("relpath", "path", "bytes").repartition(tasks, "relpath").mapInPandas(inspect, HEADER)
 
 
@@ -143,7 +143,7 @@ def strip_rows(headers: DataFrame) -> DataFrame:
                     "image": chunk.image, "row_no": np.arange(chunk.row_no, chunk.row_no + chunk.rows, dtype=np.int32),
                     "height": np.int32(chunk.height), "px": [data[i:i + chunk.line] for i in range(0, len(data), chunk.line)]})
 
-    return chunks.repartition(work_partitions(headers.sparkSession), "image", "row_no").mapInPandas(read, ROWS)
+    return chunks.repartition(work_partitions(headers.sparkSession, headers), "image", "row_no").mapInPandas(read, ROWS)
 
 
 class _RowReader:
@@ -307,5 +307,5 @@ def jpeg_headers(files: DataFrame) -> DataFrame:
                              "decoder": "Spark image source", **facts})
             yield pd.DataFrame(rows, columns=fields).astype(object).where(lambda d: d.notna(), None)
 
-    tasks = work_partitions(files.sparkSession)
+    tasks = work_partitions(files.sparkSession, files)
     return files.select("relpath", "path", "bytes").repartition(tasks, "relpath").mapInPandas(inspect, JPEG_HEADER)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from markfield.config import CONTROL_SHIFTS
 from markfield.operators.grids import probe_windows, window_spread
+from markfield.operators.skew import work_partitions
 from markfield.sources import rasters as S
 from markfield.sources.files import changed_files, file_digests, listing, read_json_document, read_table_csv
 from tests.support import read_rows, write_jpeg, write_tiff
@@ -117,3 +118,9 @@ def test_csv_and_json(spark, tmp_path):
     assert (row.a, row.b) == ("1", 'x "y"\nz')
     (tmp_path / "d.json").write_text('{"schema": "s",\n "n": 2}')
     assert read_json_document(spark, str(tmp_path / "d.json")).head().n == 2
+
+
+def test_tasks_grow_with_the_bytes(spark):
+    files = spark.createDataFrame([("a", 3_000), ("b", 7_000)], "relpath string, bytes long")
+    assert work_partitions(spark, files, task_bytes=100) == 100
+    assert work_partitions(spark, files, task_bytes=20_000) == work_partitions(spark)
