@@ -23,6 +23,7 @@ from markfield.plans import standins as S
 from markfield.sources.annotations import decode_annotations, discover, name_facts, resolve_files
 from markfield.sources.files import changed_files, listing, read_table_csv, write_contents
 from markfield.sources.files import file_digests as digests_of_files
+from markfield.sources.rasters import read_patches, read_spreads, strip_rows, tiff_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -468,14 +469,17 @@ def nearest_point(spark, sf):
     return found.select("image", "x", "y", F.bround("distance", 6).alias("distance"))
 
 
-def _patches(spark: SparkSession, sf: str) -> DataFrame:
-    rows = S.tiff_rows(S.document_rows(spark, sf)).select("image", "row_no", "px")
+def _patch_boxes(spark: SparkSession, sf: str) -> DataFrame:
     half = S.PATCH // 2
-    boxes = S.raster_points(spark, sf).select(
+    return S.raster_points(spark, sf).select(
         "point_no", "image", "fine_label", *G.patch_box(F.col("x"), F.col("y"), S.PATCH), "width", "height").filter(
         (F.col("left") >= 0) & (F.col("top") >= 0) & (F.col("left") + 2 * half <= F.col("width"))
         & (F.col("top") + 2 * half <= F.col("height")))
-    return crop(boxes, rows, ["point_no", "fine_label"], S.PATCH)
+
+
+def _patches(spark: SparkSession, sf: str) -> DataFrame:
+    rows = S.tiff_rows(S.document_rows(spark, sf)).select("image", "row_no", "px")
+    return crop(_patch_boxes(spark, sf), rows, ["point_no", "fine_label"], S.PATCH)
 
 
 @query
@@ -501,6 +505,49 @@ def stretched_mean(spark, sf):
     return R.stretch(R.mean_patch(_patches(spark, sf)))
 
 
+def _stored_rasters(spark: SparkSession, sf: str) -> DataFrame:
+    """Headers of the checked rasters, which tasks have written as files."""
+    root = left_folder(spark)
+    write_contents(S.tiff_files(S.tiff_rows(S.document_rows(spark, sf))), root)
+    return tiff_headers(listing(spark, root, (".tif",)))
+
+
+def _at_files(boxes: DataFrame, heads: DataFrame) -> DataFrame:
+    paths = heads.select(F.regexp_replace("relpath", r"\.tif$", "").alias("image"), "path")
+    return boxes.join(paths.hint("merge"), "image")
+
+
+@query
+def stored_headers(spark, sf):
+    """Layout of written raster files."""
+    return _stored_rasters(spark, sf).select("relpath", "width", "height", "bits", "samples", "compression", "photometric", "strips", "problem")
+
+
+@query
+def stored_rows(spark, sf):
+    """Scan lines of written raster files, read at their offsets."""
+    rows = strip_rows(_stored_rasters(spark, sf))
+    return rows.select(F.regexp_replace("image", r"\.tif$", "").alias("image"), "row_no", F.hex("px").alias("px"))
+
+
+@query
+def stored_patches(spark, sf):
+    """Patches of written raster files, read at their offsets."""
+    boxes = _patch_boxes(spark, sf).select("point_no", "image", "left", "top")
+    patches = read_patches(_at_files(boxes, _stored_rasters(spark, sf)), ["point_no"], S.PATCH)
+    return patches.select("point_no", F.hex("pixels").alias("pixels"))
+
+
+@query
+def stored_spreads(spark, sf):
+    """Contrast windows of written raster files, read at their offsets."""
+    usable = _probes(spark, sf)[1].select("point_no", "image", "x", "y")
+    boxes = C.probe_windows(_at_files(usable, _stored_rasters(spark, sf)), S.RADIUS, S.SHIFTS)
+    spread = read_spreads(boxes, ["point_no", "shift"], 2 * S.RADIUS + 1)
+    return spread.select("point_no", F.col("shift").cast("bigint").alias("shift"), "spread",
+                         F.bround(C.spread_to_std(F.col("spread"), S.RADIUS), 3).alias("std"))
+
+
 def _probes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = S.tiff_rows(S.document_rows(spark, sf)).select("image", "row_no", "px")
     points = S.raster_points(spark, sf)

@@ -426,6 +426,12 @@ QUERIES |= {
     "discovered_files": QUERIES["file_status"],
     "json_read_back": QUERIES["split_counts"],
     "csv_read_back": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer",
+    "stored_patches": QUERIES["crop_patches"],
+    "stored_spreads": QUERIES["window_spread"],
+    "stored_rows": "SELECT image, CAST(row_no AS INT) AS row_no, px FROM tiff",
+    "stored_headers": f"""
+        SELECT image || '.tif' AS relpath, {S.WIDTH} AS width, height, 8 AS bits, 3 AS samples, 'NONE' AS compression, 'RGB' AS photometric,
+               true AS strips, CAST(NULL AS VARCHAR) AS problem FROM texts""",
     "file_digests": "SELECT 'd' || CAST(doc_id AS VARCHAR) || '.txt' AS relpath, sha256(text) AS sha256 FROM documents",
 }
 

@@ -169,6 +169,27 @@ def tiff_rows(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "image", "height", "row_no", px.alias("px"))
 
 
+def tiff_files(rows: DataFrame) -> DataFrame:
+    """``relpath, content``: every checked raster as an uncompressed big-endian TIFF of one strip.
+
+    A raster is one document's text, so its rows fit one cell as the text does.
+    """
+    def entry(tag: int, kind: int, count: int, value: Column) -> Column:
+        return F.concat(F.lit(f"{tag:04X}{kind:04X}{count:08X}"), value)
+
+    image = rows.groupBy("image").agg(F.max("height").alias("height"), F.array_sort(F.collect_list(
+        F.struct("row_no", F.hex("px").alias("px")))).alias("rows"))
+    pixels, size = F.array_join(F.transform("rows", lambda row: row["px"]), ""), F.col("height") * LINE
+    height, short = _hex(F.col("height"), 8), lambda value: F.lit(f"{value:04X}0000")
+    # Tags, types and order of the public TIFF 6.0 format.
+    entries = [entry(256, 4, 1, F.lit(f"{WIDTH:08X}")), entry(257, 4, 1, height), entry(258, 3, 3, _hex(size + 8, 8)),
+               entry(259, 3, 1, short(1)), entry(262, 3, 1, short(2)), entry(273, 4, 1, F.lit("00000008")),
+               entry(277, 3, 1, short(3)), entry(278, 4, 1, height), entry(279, 4, 1, _hex(size, 8)), entry(284, 3, 1, short(1))]
+    whole = F.concat(F.lit("4D4D002A"), _hex(size + 14, 8), pixels, F.lit("000800080008"), F.lit(f"{len(entries):04X}"),
+                     *entries, F.lit("00000000"))
+    return image.select(F.concat("image", F.lit(".tif")).alias("relpath"), F.unhex(whole).alias("content"))
+
+
 def twin_rows(rows: DataFrame) -> DataFrame:
     """The other copy: transformed by document, sometimes absent or one row short."""
     present = (F.col("source") != "src3") & ~((F.col("doc_id") % 13 == 0) & (F.col("height") > 1)
