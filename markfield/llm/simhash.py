@@ -40,7 +40,7 @@ SHARD = 20_000
 #: Members a shard should have on average; the pigeonhole blocks are chosen for it.
 SHARD_MEAN = 64
 #: Small key tables are broadcast up to this counted number of rows, else shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 #: Odd constants of a published 64-bit mixer.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 Mask = tuple[int, ...]
