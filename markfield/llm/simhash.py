@@ -4,11 +4,9 @@ Fingerprints are made in Arrow batches. Equal fingerprints become one node; node
 whose members agree on some of the bits, and every shard is one BK-tree: children are keyed by their integer
 Hamming distance to the parent and a search follows only the edges within the radius of that distance. Shard
 trees travel to the tasks by a shuffle on the shard key, because the whole index grows with the corpus and has
-no bound to broadcast under. Two choices of bits:
-
-* :func:`pigeonhole` is exact: with ``radius`` differing bits at least one choice of blocks agrees. The number
-  of blocks follows the counted nodes, so shards stay small; the links found are the same for any choice.
-* :func:`sampled` takes random bits for wide radii, with the recall stated by its caller.
+no bound to broadcast under. :func:`pigeonhole` is exact: with ``radius`` differing bits at least one choice of blocks
+agrees. The number of blocks follows the counted nodes, so shards stay small; the links found are the same for any
+choice. Near-copies of whole texts (:func:`drop_near`) are found exactly in ``shingle_join``.
 
 A shard gives only links that join what is not yet joined inside it (and, on request, each member's nearest),
 so a dense group gives rows in proportion to its members. Shards above ``SHARD`` members are parted, and every pair
@@ -21,7 +19,6 @@ are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import itertools
-import math
 import random
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -34,6 +31,7 @@ from pyspark.sql import functions as F
 from markfield.llm.common import parts_for, settle, slices, small_side, table, whole
 from markfield.llm.components import components
 from markfield.llm.exact_dedup import located
+from markfield.llm.shingle_join import similar_links
 
 RADIUS = 4
 SHARD = 20_000
@@ -123,12 +121,6 @@ def pigeonhole(radius: int, nodes: int, bits: int = 64, mean: int = SHARD_MEAN)
     raise ValueError("radius must be below the number of bits")
 
 
-def sampled(bits: int, take: int, choices: int, seed: int = 7) -> list[Mask]:
-    """``choices`` random sets of ``take`` bits each."""
-    drawn = random.Random(seed)
-    return [_words(sum(1 << bit for bit in drawn.sample(range(bits), take)), bits) for _ in range(choices)]
-
-
 def _words(mask: int, bits: int) -> Mask:
     signed = lambda word: word - (1 << 64) if word >> 63 else word
     return tuple(signed(mask >> 64 * n & (1 << 64) - 1) for n in range((bits + 63) // 64))
@@ -304,50 +296,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
-#: Wide search for pairs of five-word-shingle similarity 0.8: two 64-bit fingerprints of the distinct words (words change
-#: far fewer bits than shingles do under the same edit) are searched, four of the distinct five-word shingles checked.
-WIDE = (("fp", 1, 2, True), ("sh", 5, 4, True))
-WIDE_RADIUS, CHECK_RADIUS, NEAREST = 20, 56, 3
 WIDTH, SIMILARITY = 5, 0.8
-#: Chance that a bit differs for a pair of similarity 0.8, chance that it agrees for two texts of one language, wanted recall.
-DIFFERS, AGREES, RECALL = 0.067, 0.63, 0.98
-
-
-def wide_masks(nodes: int) -> list[Mask]:
-    """So many sampled bits that unrelated texts leave shards of about 32 members, and so many choices that a pair
-    of similarity 0.8 shares a shard with chance ``RECALL``; both follow the counted nodes."""
-    take = max(16, math.ceil(math.log(max(nodes, 1) / 32) / -math.log(AGREES))) if nodes > 32 else 16
-    choices = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - DIFFERS) ** take))
-    return sampled(128, take, choices)
 
 
 def near_links(rows: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Fingerprint rows of located documents and the links between them with shingle sets of Jaccard >= ``similarity``.
+    """``key, file, row`` of located documents, and links that give the components of all pairs whose five-word
+    shingle sets have Jaccard >= ``similarity``.
 
-    The BK-tree search proposes links; each proposed link is checked on the two whole texts.
+    Fingerprints miss such pairs (a block edit changes far more bits than scattered words), so these are found exactly.
     """
-    texts = rows.select("file", "row", F.col("doc").getField(text_col).alias("text"))
-    prints = fingerprints(texts, ["file", "row"], recipes=WIDE)
-    proposed = settle(links(prints.select("key", "fp", "sh"), WIDE_RADIUS, wide_masks(prints.count()),
-                            check="sh", check_radius=CHECK_RADIUS, nearest=NEAREST).distinct(), "proposed")
-    ends = settle(proposed.select(F.col("a").alias("key")).union(proposed.select("b")).distinct().join(
-        prints.select("key", "file", "row"), "key"), "ends")
-    linked = texts.select("file", "row", whole().alias("text")).join(
-        small_side(ends, ends.count(), BROADCAST_ROWS), ["file", "row"]).select("key", "text")
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in itertools.chain.from_iterable(map(slices, batches)):
-            hashes = [np.unique(shingle_hashes(text, WIDTH)).view(np.int64) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.list_(pa.int64()))],
-                                             names=["key", "hashes"])
-
-    shingles = settle(linked.mapInArrow(sets, "key long, hashes array<long>"), "shingles")
-    left = shingles.select(F.col("key").alias("a"), F.col("hashes").alias("ha"))
-    right = shingles.select(F.col("key").alias("b"), F.col("hashes").alias("hb"))
-    shared = F.size(F.array_intersect("ha", "hb"))
-    union = F.size("ha") + F.size("hb") - shared
-    kept = proposed.join(left, "a").join(right, "b").filter(shared >= similarity * union)
-    return prints, kept.select("a", "b")
+    files = settle(rows.select("file").distinct().coalesce(1).withColumn("number", F.monotonically_increasing_id()), "files")
+    keyed = rows.join(small_side(files, files.count(), BROADCAST_ROWS), "file")
+    key = F.shiftleft("number", 40).bitwiseOR(F.col("row")).alias("key")
+    texts = keyed.select(key, whole(F.col("doc").getField(text_col)).alias("text"))
+    return keyed.select(key, "file", "row"), similar_links(texts, WIDTH, similarity)
 
 
 def drop_near(docs: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

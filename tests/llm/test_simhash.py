@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from markfield.llm import simhash
+from markfield.llm import shingle_join, simhash
 from markfield.llm.components import components
 from tests.llm.support import documents, hard_rows, prose, words
 
@@ -140,3 +140,53 @@ def test_near_copies_of_hard_rows(spark):
     kept = [row.doc_id for row in simhash.drop_near(docs).select("doc_id").collect()]
     assert {3, 5, 7, 9, 13} - {3} <= set(kept) and sum(n in kept for n in (2, 3, 4)) == 1
     assert simhash.drop_near(docs.filter("false")).count() == 0
+
+
+def jaccards(texts):
+    sets = [set(simhash.shingle_hashes(text, 5).tolist()) for text in texts]
+    return {(n, m): len(sets[n] & sets[m]) / len(sets[n] | sets[m]) for n, m in itertools.combinations(range(len(sets)), 2)}
+
+
+def near_rows():
+    """Block edits at a similarity just above 0.8, and variants that are alike only through one base among them."""
+    draw, texts = random.Random(8), []
+    for base in range(40):
+        parts = prose(base + 500, 300).split()
+        block = prose(base + 900, 60).split()
+        cut = draw.randint(20, 200)
+        texts += [" ".join(part) for part in (parts, parts + block, parts[:cut] + parts[cut + 50:],
+                                              parts[:cut] + block[:28] + parts[cut + 28:])]
+    parts = prose(77, 400).split()
+    for variant in range(40):
+        other = list(parts)
+        for at in draw.sample(range(5, 395, 6), 6):
+            other[at] = f"v{variant}w{at}"
+        texts.append(" ".join(other))
+    texts.insert(len(texts) - 20, " ".join(parts))
+    line = " ".join(prose(3, 12).split())
+    texts += [line + " " + prose(n + 2000, draw.randint(1, 9)) for n in range(60)]
+    return texts
+
+
+@pytest.mark.parametrize("cold, block", [(8, 1_000_000), (2, 3_000)])
+def test_near_copies_are_those_of_brute_force(spark, monkeypatch, cold, block):
+    texts = near_rows()
+    values = jaccards(texts)
+    want = list(range(len(texts)))
+    for (a, b), value in values.items():
+        if value >= 0.8:
+            here, there = want[a], want[b]
+            want = [there if root == here else root for root in want]
+    assert sum(0.8 <= value < 0.87 for value in values.values()) > 60
+    monkeypatch.setattr(shingle_join, "COLD", cold)
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    known = {r.node: r.root for r in components(shingle_join.similar_links(rows, 5, 0.8, block)).collect()}
+    got = [known.get(n, n) for n in range(len(texts))]
+    assert [got.index(root) for root in got] == [want.index(root) for root in want]
+
+
+def test_near_copies_with_block_edits_go(spark):
+    rows = list(enumerate(near_rows()[:160]))
+    kept = {row.doc_id for row in simhash.drop_near(documents(spark, rows)).select("doc_id").collect()}
+    alike = [pair for pair, value in jaccards([text for _, text in rows]).items() if value >= 0.8]
+    assert alike and not [pair for pair in alike if kept.issuperset(pair)]
