@@ -8,7 +8,8 @@ masked words as a whole recur is its own template.
 
 Statistics cover every line of every document. Texts are cut into lines where they lie; only hashes are
 shuffled, combined first, and tokens only of distinct lines in leaves that recur, so one very common line moves one
-row per task. Documents without dropped lines keep their text as it is.
+row per task. A document counts once for a leaf, a token and a template, however many of its lines are of that form:
+documents with several such lines are counted apart. Documents without dropped lines keep their text as it is.
 
 A null text is empty and has one empty line; empty lines are never dropped; equal lines of one document count once;
 repeated rows are documents of their own; extra columns are ignored; an empty table gives no rows.
@@ -60,13 +61,37 @@ def cut(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: s
     return settle(rows.withColumn("hashes", hashes), "lines")
 
 
+def repeated(rows: DataFrame) -> DataFrame:
+    """``at, leaf, line, raw``: the distinct lines of every document that has several of one leaf."""
+    sorted_leaves = F.array_sort(F.transform(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull())), lambda h: h["leaf"]))
+    rows = rows.withColumn("leaves", sorted_leaves)
+    twice = F.array_distinct(F.filter(F.col("leaves"), lambda leaf, n: (n > 0) & F.get("leaves", n - 1).eqNullSafe(leaf)))
+    lines = rows.withColumn("twice", twice).filter(F.size("twice") > 0).select("at", "twice", F.explode(
+        F.arrays_zip(F.split("text", "\n", -1).alias("raw"), F.col("hashes").alias("h"))).alias("z"))
+    return lines.filter(F.array_contains("twice", F.col("z.h.leaf"))).groupBy(
+        "at", F.col("z.h.leaf").alias("leaf"), F.col("z.h.line").alias("line")).agg(F.first("z.raw").alias("raw"))
+
+
+def over(rows: DataFrame, *by: str) -> DataFrame:
+    """``by, over``: how often documents ``at`` are counted beyond once when their lines are summed."""
+    return rows.groupBy("at", *by).agg((F.count(F.lit(1)) - 1).alias("over")).filter("over > 0").groupBy(*by).agg(
+        F.sum("over").alias("over"))
+
+
+def documents_of(lines: DataFrame, repeats: DataFrame, *by: str) -> DataFrame:
+    """``by, n``: distinct documents of each group of lines: the sum over lines, less what ``repeats`` count twice."""
+    summed = lines.groupBy(*by).agg(F.sum("documents").alias("n"))
+    return summed.join(over(repeats, *by), list(by), "left").withColumn("n", F.col("n") - F.coalesce("over", F.lit(0))).drop("over")
+
+
 def recurring(rows: DataFrame, settings: Settings) -> DataFrame:
     """Hashes ``line`` of all lines whose template occurs in enough documents."""
     once = rows.select(F.explode(F.array_distinct(F.transform("hashes", lambda h: h["line"]))).alias("line")).groupBy("line").agg(
         F.count(F.lit(1)).alias("documents"))
     leaf_of = rows.select(F.explode("hashes").alias("h")).filter("h is not null").groupBy("h.line").agg(F.first("h.leaf").alias("leaf"))
     counts = settle(leaf_of.join(once, "line"), "line-counts")
-    leaves = settle(counts.groupBy("leaf").agg(F.sum("documents").alias("all")).filter(
+    several = settle(repeated(rows), "repeated-leaves")
+    leaves = settle(documents_of(counts, several, "leaf").withColumnRenamed("n", "all").filter(
         F.col("all") >= settings.documents), "leaves")
     raw = rows.select(F.explode(F.arrays_zip(F.split("text", "\n", -1).alias("raw"), F.col("hashes").alias("h"))).alias("z"))
     raw = raw.select("z.raw", "z.h.leaf", "z.h.line").filter("leaf is not null").join(
@@ -74,12 +99,17 @@ def recurring(rows: DataFrame, settings: Settings) -> DataFrame:
     texts = raw.groupBy("leaf", "line").agg(F.first("raw").alias("raw")).select("leaf", "line", masked(F.col("raw")).alias("masked"))
     known = settle(texts.join(counts, ["leaf", "line"]), "line-texts")
     tokens = known.select("leaf", "line", "documents", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    stood = tokens.groupBy("leaf", "place", "token").agg(F.sum("documents").alias("n"))
+    several = several.join(small_side(leaves.select("leaf"), leaves.count(), BROADCAST_ROWS), "leaf", "left_semi")
+    again = several.select("at", "leaf", F.posexplode(F.split(masked(F.col("raw")), " ")).alias("place", "token"))
+    stood = documents_of(tokens, again, "leaf", "place", "token")
     constant = stood.join(leaves, "leaf").filter(F.col("n") >= F.col("all") * settings.share).select("leaf", "place", "token")
     kept = tokens.join(constant, ["leaf", "place", "token"], "left_semi").groupBy("leaf", "line").agg(
         F.count(F.lit(1)).alias("kept"))
-    followed = known.join(kept, ["leaf", "line"]).filter(F.col("kept") >= settings.fixed * F.size(F.split("masked", " ")))
-    heavy = followed.groupBy("leaf").agg(F.sum("documents").alias("n")).filter(F.col("n") >= settings.documents)
+    followed = settle(known.join(kept, ["leaf", "line"]).filter(
+        F.col("kept") >= settings.fixed * F.size(F.split("masked", " "))).select("leaf", "line", "documents"), "followed")
+    again = several.select("at", "leaf", "line").join(
+        small_side(followed.select("leaf", "line"), followed.count(), BROADCAST_ROWS), ["leaf", "line"], "left_semi")
+    heavy = documents_of(followed, again, "leaf").filter(F.col("n") >= settings.documents)
     whole_lines = known.filter(F.col("documents") >= settings.documents).select("line")
     return settle(followed.join(heavy, "leaf", "left_semi").select("line").union(whole_lines).distinct(), "recurring")
 

@@ -166,6 +166,17 @@ def test_lines_equal_in_few_documents_stay(spark):
     assert sum(row.dropped for row in lines.without_recurring(documents(spark, rows + [(9, "the very same line of some words")])).collect()) == 5
 
 
+def test_lines_of_one_form_count_their_document_once(spark):
+    line = "the price of {} per unit is given in the table below"
+    goods = "apples pears plums grapes lemons figs".split()
+    rows = [(0, "\n".join(line.format(good) for good in goods))] + [(n, prose(n, 9)) for n in range(1, 5)]
+    assert sum(row.dropped for row in lines.without_recurring(documents(spark, rows)).collect()) == 0
+    rows += [(n, line.format(f"good{n}") + "\n" + prose(n, 9)) for n in range(10, 13)]  # four documents
+    assert sum(row.dropped for row in lines.without_recurring(documents(spark, rows)).collect()) == 0
+    rows += [(13, line.format("dates") + "\n" + line.format("nuts"))]  # five
+    assert sum(row.dropped for row in lines.without_recurring(documents(spark, rows)).collect()) == len(goods) + 5
+
+
 # ------------------------------------------------------------------ token counts
 
 def changes(spark, rows):
