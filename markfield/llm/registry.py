@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from markfield.llm import (
+    bpe,
     chat,
     decontamination,
     exact_dedup,
@@ -14,6 +15,7 @@ from markfield.llm import (
     packing,
     quality,
     simhash,
+    spellings,
     token_counts,
     toxicity,
     urls,
@@ -30,8 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": simhash.query,
     "op9_line_dedup": lines.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_spelling_variant_grouping": spellings.query,
+    "op12_bpe_encoding_and_decoding": bpe.query,
 }
 SQL: dict[str, str] = {
     "op6_chat_formatting": chat.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_spelling_variant_grouping": spellings.SQL,
 }
