@@ -80,3 +80,16 @@ def parts_for(rows: int, per_part: int) -> int:
 def small_side(rows: DataFrame, counted: int, most: int) -> DataFrame:
     """``rows`` marked for broadcast when their counted number is at most ``most``; joined by shuffle otherwise."""
     return F.broadcast(rows) if counted <= most else rows.hint("merge")
+
+
+#: DuckDB tables ``crc``: the steps of CRC-32 for every byte, from its polynomial. Follows WITH RECURSIVE.
+CRC_SQL = """step AS (SELECT n, n::BIGINT AS v, 0 AS k FROM range(256) t(n)
+  UNION ALL SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8),
+crc AS (SELECT list(v ORDER BY n) AS cells FROM step WHERE k = 8)"""
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB's CRC-32 of a text expression's UTF-8, beside table ``crc``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * octet_length(encode({text})), 2),
+      lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, cells[xor(a & 255, b) + 1])), 4294967295)"""

@@ -13,6 +13,7 @@ from markfield.llm import (
     exact_dedup,
     lines,
     packing,
+    prefix_trie,
     quality,
     simhash,
     spellings,
@@ -34,9 +35,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": exact_dedup.query,
     "op11_spelling_variant_grouping": spellings.query,
     "op12_bpe_encoding_and_decoding": bpe.query,
+    "op13_conversation_prefix_trie": prefix_trie.query,
 }
 SQL: dict[str, str] = {
     "op6_chat_formatting": chat.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
     "op11_spelling_variant_grouping": spellings.SQL,
+    "op13_conversation_prefix_trie": prefix_trie.SQL,
 }

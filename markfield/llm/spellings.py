@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.llm.common import settle, small_side, table
+from markfield.llm.common import CRC_SQL, crc32_sql, settle, small_side, table
 
 #: The letters of a word, and the letters that have a lower case here.
 LETTERS = "A-Za-zÀ-ÿ"
@@ -277,18 +277,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
 
-#: CRC-32 by its polynomial, a byte at a time; words are near if one is the other without one letter, or if both are
+#: Words are near if one is the other without one letter, or if both are
 #: equal without the letter at one place.
 SQL = f"""
-WITH RECURSIVE step AS (SELECT n, n::BIGINT AS v, 0 AS k FROM range(256) t(n)
-  UNION ALL SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8),
-crc AS (SELECT list(v ORDER BY n) AS cells FROM step WHERE k = 8),
+WITH RECURSIVE {CRC_SQL},
 runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id,
     translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{{SHORTEST},}}')), '{UPPER}', '{LOWER}') AS run FROM documents),
 keyed AS (SELECT id || ':' || run AS key, run FROM runs),
-hashed AS (SELECT run, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * octet_length(encode(key)), 2),
-      lambda i: ('0x' || substr(hex(encode(key)), i, 2))::BIGINT)),
-    lambda a, b: xor(a >> 8, cells[xor(a & 255, b) + 1])), 4294967295) AS h FROM keyed, crc),
+hashed AS (SELECT run, {crc32_sql('key')} AS h FROM keyed, crc),
 said AS (SELECT CASE WHEN h % {CUT} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
     ELSE run END AS word FROM hashed),
 vocabulary AS (SELECT word, count(*) AS n FROM said WHERE length(word) >= {SHORTEST} GROUP BY word HAVING count(*) >= {LEAST}),
