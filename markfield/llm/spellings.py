@@ -32,7 +32,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHORTEST, LEAST, CUT, LEAD = 7, 2, 31, 10
 GROUPS = 14
 #: Words of a shard, about; levels of the trie that shards may take up.
-SHARD, LEVELS = 5_000, 8
+SHARD, LEVELS = 30_000, 8
 #: Asking words taken down the trie at once; letters compared at once.
 ASKING, COMPARED = 8_192, 4_000_000
 BROADCAST_ROWS = 200_000
