@@ -62,14 +62,19 @@ def cut(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: s
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """``at, leaf, line, raw``: the distinct lines of every document that has several of one leaf."""
-    sorted_leaves = F.array_sort(F.transform(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull())), lambda h: h["leaf"]))
-    rows = rows.withColumn("leaves", sorted_leaves)
-    twice = F.array_distinct(F.filter(F.col("leaves"), lambda leaf, n: (n > 0) & F.get("leaves", n - 1).eqNullSafe(leaf)))
-    lines = rows.withColumn("twice", twice).filter(F.size("twice") > 0).select("at", "twice", F.explode(
+    """``at, leaf, line, raw``: the distinct lines of every document that has several of one leaf.
+
+    A line has one leaf, so a document with more distinct lines than leaves has such lines. Counting both takes time in
+    proportion to the lines; only the documents found are taken apart.
+    """
+    told = F.filter("hashes", lambda h: h.isNotNull())
+    lines, leaves = F.transform(told, lambda h: h["line"]), F.transform(told, lambda h: h["leaf"])
+    apart = rows.filter(F.size(F.array_distinct(lines)) > F.size(F.array_distinct(leaves))).select("at", F.explode(
         F.arrays_zip(F.split("text", "\n", -1).alias("raw"), F.col("hashes").alias("h"))).alias("z"))
-    return lines.filter(F.array_contains("twice", F.col("z.h.leaf"))).groupBy(
-        "at", F.col("z.h.leaf").alias("leaf"), F.col("z.h.line").alias("line")).agg(F.first("z.raw").alias("raw"))
+    once = apart.filter("z.h is not null").groupBy("at", F.col("z.h.leaf").alias("leaf"), F.col("z.h.line").alias("line")).agg(
+        F.first("z.raw").alias("raw"))
+    several = once.groupBy("at", "leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return once.join(several.hint("merge"), ["at", "leaf"], "left_semi")
 
 
 def over(rows: DataFrame, *by: str) -> DataFrame:
@@ -114,22 +119,36 @@ def recurring(rows: DataFrame, settings: Settings) -> DataFrame:
     return settle(followed.join(heavy, "leaf", "left_semi").select("line").union(whole_lines).distinct(), "recurring")
 
 
+def between(lines: Column, gone: Column) -> Column:
+    """The lines but those at the ascending places ``gone``: the stretches between them, each cut out once.
+
+    Both arrays are bound to a variable, so that they are not evaluated again for every stretch.
+    """
+    def stretch(held: Column, n: Column) -> Column:
+        after = F.coalesce(F.when(n > 0, F.get(held["gone"], n - 1)), F.lit(-1))
+        until = F.coalesce(F.get(held["gone"], n), F.size(held["lines"]))
+        return F.slice(held["lines"], after + 2, until - after - 1)
+
+    held = F.array(F.struct(lines.alias("lines"), gone.alias("gone")))
+    return F.transform(held, lambda one: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(one["gone"])), lambda n: stretch(one, n))))[0]
+
+
 def without_recurring(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``doc_id, n_lines, dropped, text``: every document without its recurring lines."""
     settings = settings or Settings()
     rows = cut(docs, settings, id_col, text_col)
     hashes = recurring(rows, settings)
-    known = small_side(hashes.withColumn("gone", F.lit(True)), hashes.count(), BROADCAST_ROWS)
-    marked = rows.select("at", F.posexplode("hashes").alias("place", "h")).select("at", "place", "h.line").join(known, "line", "left")
-    flags = marked.groupBy("at").agg(F.count("gone").alias("dropped"), F.array_sort(F.collect_list(
-        F.struct("place", F.coalesce("gone", F.lit(False)).alias("gone")))).alias("flags")).filter("dropped > 0")
+    known = small_side(hashes, hashes.count(), BROADCAST_ROWS)
+    gone = rows.select("at", F.posexplode("hashes").alias("place", "h")).select("at", "place", "h.line").join(known, "line")
+    flags = settle(gone.groupBy("at").agg(F.count(F.lit(1)).alias("dropped"), F.array_sort(F.collect_list("place")).alias("gone")), "dropped-lines")
+    size = flags.agg(F.sum(F.col("dropped") + 1)).first()[0] or 0
     lines = F.split("text", "\n", -1)
-    kept = F.transform(F.filter(F.arrays_zip(lines.alias("raw"), F.col("flags").alias("flag")), lambda z: ~z["flag"]["gone"]),
-                       lambda z: z["raw"])
-    return rows.select("at", "doc_id", "text").join(flags, "at", "left").select(
+    return rows.select("at", "doc_id", "text").join(small_side(flags, size, BROADCAST_ROWS), "at", "left").select(
         "doc_id", F.size(lines).alias("n_lines"), F.coalesce("dropped", F.lit(0)).cast("int").alias("dropped"),
-        F.when(F.col("flags").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+            F.array_join(between(lines, F.col("gone")), "\n")).alias("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
