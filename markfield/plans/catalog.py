@@ -15,6 +15,7 @@ from markfield.operators import dedup as D
 from markfield.operators import grids as C
 from markfield.operators import mapping as M
 from markfield.operators import report as R
+from markfield.operators.nearest import nearest_point_distance
 from markfield.operators.neighbors import COUNTS, box_neighbors, near_points, nearest_distance
 from markfield.operators.skew import exact_median, left_folder, settle
 from markfield.operators.windows import crop
@@ -469,6 +470,16 @@ def nearest_point(spark, sf):
     return found.select("image", "x", "y", F.bround("distance", 6).alias("distance"))
 
 
+@query
+def nearest_point_any(spark, sf):
+    """The nearest point of every differing pixel without a radius; every seventh raster's points lie far outside it."""
+    pixels = A.difference_positions(settle(_differing(spark, sf)[0], "differing_rows"), None)
+    far = F.when(F.col("image").cast("bigint") % 7 == 0, S.FAR).otherwise(0.0)
+    marks = S.raster_points(spark, sf).select("image", (F.col("x") + far).alias("x"), (F.col("y") - far).alias("y"))
+    found = nearest_point_distance(pixels, marks)
+    return found.select("image", "x", "y", F.bround("distance", 6).alias("distance"))
+
+
 def _patch_boxes(spark: SparkSession, sf: str) -> DataFrame:
     half = S.PATCH // 2
     return S.raster_points(spark, sf).select(

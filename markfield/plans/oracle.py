@@ -395,6 +395,11 @@ QUERIES: dict[str, str] = {
     "nearest_point": f"""
         SELECT p.image, p.x, p.y, round_even(CASE WHEN min({DISTANCE}) <= 2 THEN min({DISTANCE}) END, 6) AS distance
         FROM positions p LEFT JOIN marks m ON m.image = p.image GROUP BY p.image, p.x, p.y""",
+    "nearest_point_any": f"""
+        SELECT p.image, p.x, p.y, round_even(min({DISTANCE}), 6) AS distance
+        FROM positions p LEFT JOIN (SELECT image, x + far AS x, y - far AS y FROM (
+          SELECT *, CASE WHEN CAST(image AS BIGINT) % 7 = 0 THEN {S.FAR} ELSE 0.0 END AS far FROM marks)) m
+        ON m.image = p.image GROUP BY p.image, p.x, p.y""",
     "crop_patches": "SELECT point_no, pixels FROM patches",
     "patch_shapes": "SELECT point_no FROM patches WHERE point_no % 13 = 5",
     "mean_patch": "SELECT fine_label, pos, round_even(mean, 6) AS mean FROM means",

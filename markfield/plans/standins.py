@@ -17,6 +17,8 @@ from markfield.operators.agreement import flip_rows
 WIDTH = 32
 LINE = 3 * WIDTH
 PATCH = 8
+#: How far some points are moved away from their rasters, in pixels.
+FAR = 10_000.0
 RADIUS = 1
 SHIFTS = ((4, 0), (0, 4), (-4, 0), (0, -4), (3, 3), (-3, -3), (3, -3), (-3, 3))
 
