@@ -1,26 +1,25 @@
 """Spatial counts around points: box neighbours and near-point tests.
 
 Both replace an all-against-all comparison by an equi-join on grid cells. Box counts
-treat crowded cells apart: their points are grouped into small tiles, tiles that lie
-wholly inside a box are added as totals, and only tiles cut by a box edge are compared
-point by point, inside tasks, without emitting pairs.
+treat crowded cells apart: a box is made up of one corner in each of the nine cells around
+its point, and the points below all corners are counted at once (``counting``), in
+n log n steps and without pairs, however many points a cell holds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from markfield.operators.counting import LIMIT, dominated
 from markfield.operators.skew import lookup_join, settle
 
 CELL_LIMIT = 1_500
-TILE_ROWS = 4_096
 BROADCAST_CELLS = 20_000
-MAX_SPLIT = 10
-TILE_SALTS = 32
 CELL = ["image", "cx", "cy"]
 COUNTS = ["neighbors_same_label_in_patch", "neighbors_other_label_in_patch", "neighbors_other_label_in_center"]
 
@@ -38,7 +37,7 @@ def _spread_cells(rows: DataFrame, x: str = "cx", y: str = "cy") -> DataFrame:
 
 
 def box_neighbors(points: DataFrame, patch: int = 128, center: int = 32, *, cell_limit: int = CELL_LIMIT,
-                  tile_rows: int = TILE_ROWS) -> DataFrame:
+                  task_rows: int = LIMIT) -> DataFrame:
     """Neighbour counts of every point of an image within two open boxes.
 
     ``points``: ``image, point_id, fine_label`` (strings), ``x, y`` (unrounded). Returns ``image,
@@ -60,7 +59,7 @@ def box_neighbors(points: DataFrame, patch: int = 128, center: int = 32, *, cell
             return rows.join(F.broadcast(table), CELL, "left")
         return lookup_join(rows, table, CELL, ["point_id"])
 
-    # Points with a crowded cell among their 3x3 cells (the zone) are counted by tiles;
+    # Points with a crowded cell among their 3x3 cells (the zone) are counted by corners;
     # their partners lie at most one cell outside it.
     own = crowded.withColumn("crowded", F.lit(True))
     zone = _spread_cells(crowded).distinct().withColumn("zone", F.lit(True))
@@ -69,9 +68,9 @@ def box_neighbors(points: DataFrame, patch: int = 128, center: int = 32, *, cell
     tagged = settle(tag(cells, marks), "tagged_points")
     calm = tagged.filter(F.col("crowded").isNull()).drop("crowded", "near")
     sparse = _pair_counts(calm.filter(F.col("zone").isNull()).drop("zone"), calm.drop("zone"), patch, center)
-    tiled = _tile(tagged.filter("near").drop("crowded", "near").fillna(False, ["zone"]), half, tile_rows)
-    dense = _tile_counts(tiled, half, {"same": COUNTS[0], "other": COUNTS[1]}).unionByName(
-        _tile_counts(tiled, center / 2, {"other": COUNTS[2]}), allowMissingColumns=True)
+    close = tagged.filter("near").drop("crowded", "near", "cx", "cy").fillna(False, ["zone"])
+    dense = _dense_counts(close, half, {"same": COUNTS[0], "other": COUNTS[1]}, task_rows).unionByName(
+        _dense_counts(close, center / 2, {"other": COUNTS[2]}, task_rows), allowMissingColumns=True)
     dense = dense.groupBy("image", "point_id").agg(
         *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in COUNTS])
     return sparse.unionByName(dense)
@@ -99,105 +98,76 @@ def _pair_counts(queries: DataFrame, targets: DataFrame, patch: int, center: int
     ).drop("cx", "cy")
 
 
-def _tile(points: DataFrame, half: float, tile_rows: int) -> DataFrame:
-    """Give each point a tile: its cell cut into squares by how many points it holds.
+def _ordered(numbers: np.ndarray) -> np.ndarray:
+    """Floating numbers as whole numbers in the same order, and back."""
+    return numbers ^ (numbers >> 63 & np.int64(0x7FFFFFFFFFFFFFFF))
 
-    Two rounds of at most 2**10 cuts per side. Counts are exact, so recomputing a lost
-    task gives the same tiles.
+
+def _threshold(value: np.ndarray, half: float) -> np.ndarray:
+    """The least number whose rounded difference to ``value`` is not below ``half``, by halving."""
+    slack = (np.abs(value) + half) * 2.0**-50
+    low, high = (_ordered((value + half + side * slack).view(np.int64)) for side in (-1, 1))
+    while (low + 1 < high).any():
+        middle = low + (high - low) // 2
+        reached = _ordered(middle).view(np.float64) - value >= half
+        low, high = np.where(reached, low, middle), np.where(reached, middle, high)
+    return _ordered(high).view(np.float64)
+
+
+def _corners(rows: DataFrame, half: float) -> DataFrame:
+    """``no, fine_label, image, cx, cy, x, y, right, top, sign``: the corners whose counts make up each row's open box.
+
+    In a cell to the left the box takes what is not below its corner (``right``), likewise with cells before it in ``y``
+    (``top``). A cell of a side that is a power of two lies inside the boxes of its points; else it takes two corners.
     """
-    rows = points.withColumn("tile", F.concat_ws("_", F.col("cx"), F.col("cy"))).withColumn(
-        "_fx", F.col("x") / half - F.col("cx")).withColumn("_fy", F.col("y") / half - F.col("cy"))
-    for _ in range(2):
-        # Each round reads its input for the counts and for the points.
-        rows = settle(rows, "tile_round")
-        counts = rows.groupBy("image", "tile").agg(F.count(F.lit(1)).alias("_n"))
-        cuts = counts.filter(F.col("_n") > tile_rows).select(
-            "image", "tile",
-            F.least(F.ceil(F.log2(F.col("_n") / tile_rows) / 2), F.lit(MAX_SPLIT)).cast("int").alias("_k"))
-        rows = lookup_join(rows, cuts, ["image", "tile"], ["point_id"])
-        side = F.pow(F.lit(2.0), F.coalesce(F.col("_k"), F.lit(0)))
-        for axis in ("_fx", "_fy"):
-            rows = rows.withColumn(f"{axis}i", F.floor(F.col(axis) * side)).withColumn(
-                axis, F.col(axis) * side - F.col(f"{axis}i"))
-        rows = rows.withColumn("tile", F.when(F.col("_k").isNull(), F.col("tile")).otherwise(
-            F.concat_ws("_", "tile", "_k", "_fxi", "_fyi"))).drop("_k", "_fxi", "_fyi")
-    return settle(rows.drop("_fx", "_fy"), "tiled_points")
-
-
-def _tile_counts(tiled: DataFrame, half: float, names: dict[str, str]) -> DataFrame:
-    """Partial counts ``image, point_id, ...`` of the zone's points for one box size."""
-    tiles = tiled.groupBy(*CELL, "tile").agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-        F.max("zone").alias("zone"), F.count(F.lit(1)).alias("n"))
-    left = tiles.filter("zone").select(*CELL, *[F.col(c).alias(f"p_{c}") for c in ("tile", "x0", "x1", "y0", "y1")])
-    left = _spread_cells(left).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TILE_SALTS - 1))))
-    right = tiles.drop("zone").withColumn("_salt", F.pmod(F.xxhash64("tile"), F.lit(TILE_SALTS)).cast("int"))
-    # Rounding is monotonic, so comparing tile bounds decides every pair of their points.
-    far = F.greatest(F.col("x1") - F.col("p_x0"), F.col("p_x1") - F.col("x0"),
-                     F.col("y1") - F.col("p_y0"), F.col("p_y1") - F.col("y0"))
-    gap = F.greatest(F.col("x0") - F.col("p_x1"), F.col("p_x0") - F.col("x1"),
-                     F.col("y0") - F.col("p_y1"), F.col("p_y0") - F.col("y1"))
-    pairs = left.join(right.hint("merge"), [*CELL, "_salt"]).filter(gap < half).select(
-        "image", "p_tile", "tile", "n", (far < half).alias("inside"))
-    pairs = settle(pairs, "tile_pairs")
-
-    labels = tiled.groupBy("image", "tile", "fine_label").agg(F.count(F.lit(1)).alias("n"))
-    whole = lookup_join(pairs.filter("inside").drop("n"), labels.groupBy("image", "tile").agg(
-        F.map_from_entries(F.collect_list(F.struct("fine_label", "n"))).alias("by_label")),
-        ["image", "tile"], ["p_tile"])
-    whole = whole.select("image", "p_tile", F.explode("by_label").alias("fine_label", "n"))
-    whole = whole.groupBy("image", "p_tile", "fine_label").agg(F.sum("n").alias("n"))
-    totals = whole.groupBy("image", F.col("p_tile").alias("tile")).agg(
-        F.map_from_entries(F.collect_list(F.struct("fine_label", "n"))).alias("inside"),
-        F.sum("n").alias("all_inside"))
-    asked = tiled.filter("zone").select("image", "tile", "point_id", "fine_label", "x", "y")
-    inside = lookup_join(asked, totals, ["image", "tile"], ["point_id"]).select(
-        "image", "point_id",
-        F.coalesce(F.try_element_at("inside", F.col("fine_label")), F.lit(0)).alias("same"),
-        F.coalesce("all_inside", F.lit(0)).alias("all"))
-
-    # The tiles cut by a tile's boxes are dealt into chunks of a few tiles' rows; each
-    # chunk is counted in one group together with the asking tile.
-    cut = pairs.filter(~F.col("inside")).withColumnRenamed("tile", "q_tile")
-    chunks = cut.groupBy("image", "p_tile").agg(F.ceil(F.sum("n") / (4 * TILE_ROWS)).alias("chunks"))
-    cut = cut.join(chunks.hint("merge"), ["image", "p_tile"]).select(
-        "image", "p_tile", "q_tile", F.pmod(F.xxhash64("q_tile"), F.col("chunks")).alias("chunk"))
-    ask = cut.select("image", "p_tile", "chunk").distinct().join(
-        asked.withColumnRenamed("tile", "p_tile"), ["image", "p_tile"]).withColumn("asks", F.lit(True))
-    give = cut.join(tiled.select("image", F.col("tile").alias("q_tile"), "point_id", "fine_label", "x", "y"),
-                    ["image", "q_tile"]).drop("q_tile").withColumn("asks", F.lit(False))
-    edge = ask.unionByName(give).groupBy("image", "p_tile", "chunk").applyInPandas(
-        _edge_counter(half), "image string, point_id string, same bigint, `all` bigint")
-    # A point is inside its own box, either as part of its tile's totals or of an edge pair.
-    counts = inside.unionByName(edge).groupBy("image", "point_id").agg(
-        F.sum("same").alias("same"), F.sum("all").alias("all"))
+    exact = float(half).hex().startswith(("0x1.0000000000000p", "0x1p"))
+    schema = ("no bigint, fine_label string, image string, cx bigint, cy bigint, x double, y double, `right` boolean, "
+              "top boolean, sign int")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            sides = []
+            for axis, cell in (("x", "cx"), ("y", "cy")):
+                value, at = columns[axis].to_numpy(), columns[cell].to_numpy()
+                low, high = np.nextafter(-_threshold(-value, half), np.inf), _threshold(value, half)
+                endless = np.full(len(value), np.inf)
+                own = [(at, endless, False, 1)] if exact else [(at, high, False, 1), (at, low, False, -1)]
+                sides.append([(at - 1, low, True, 1), *own, (at + 1, high, False, 1)])
+            n = batch.num_rows
+            for cx, x, right, sign_x in sides[0]:
+                for cy, y, top, sign_y in sides[1]:
+                    yield pa.RecordBatch.from_arrays(
+                        [columns["no"], columns["fine_label"], columns["image"], pa.array(cx), pa.array(cy), pa.array(x), pa.array(y),
+                         pa.array(np.full(n, right)), pa.array(np.full(n, top)), pa.array(np.full(n, sign_x * sign_y, np.int32))],
+                        names=[part.strip("` ").split(" ")[0].strip("`") for part in schema.split(",")])
+
+    return rows.select("no", "fine_label", "image", "cx", "cy", "x", "y").mapInArrow(run, schema)
+
+
+def _dense_counts(near: DataFrame, half: float, names: dict[str, str], limit: int) -> DataFrame:
+    """Counts ``image, point_id, ...`` of the zone's points for one box size, from corners counted in nine cells."""
+    cells = near.select("image", "point_id", "fine_label", "x", "y", "zone", F.floor(F.col("x") / half).cast("bigint").alias("cx"),
+                        F.floor(F.col("y") / half).cast("bigint").alias("cy"))
+    points = settle(cells.withColumn("no", F.monotonically_increasing_id()), "numbered_points")
+    asking = points.filter("zone")
+    # A corner in a cell without points counts nothing.
+    known = points.select(*CELL).distinct()
+    asks = settle(_corners(asking, half).join(known.hint("merge"), CELL, "left_semi").withColumn(
+        "ask", F.monotonically_increasing_id()), "corners")
+    taken = (F.when(F.col("right") & F.col("top"), F.col("total") - F.col("below_x") - F.col("below_y") + F.col("below"))
+             .when(F.col("right"), F.col("below_y") - F.col("below")).when(F.col("top"), F.col("below_x") - F.col("below"))
+             .otherwise(F.col("below")))
+    parts = [dominated(points, asks, [*CELL, *label], limit=limit).withColumn("same", F.lit(bool(label)))
+             for label in ([], ["fine_label"])]
+    signs = asks.select("ask", "no", "right", "top", "sign")
+    found = parts[0].unionByName(parts[1]).join(signs.hint("merge"), "ask").groupBy("no").agg(
+        F.sum(F.when(F.col("same"), F.col("sign") * taken).otherwise(0)).alias("same"),
+        F.sum(F.when(~F.col("same"), F.col("sign") * taken).otherwise(0)).alias("all"))
+    # A point lies inside its own box.
     values = {"same": F.col("same") - 1, "other": F.col("all") - F.col("same")}
-    return counts.select("image", "point_id", *[values[k].alias(v) for k, v in names.items()])
-
-
-def _edge_counter(half: float):
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        asks = rows["asks"].to_numpy(dtype=bool)
-        codes = pd.factorize(rows["fine_label"])[0]
-        xs, ys = rows["x"].to_numpy(), rows["y"].to_numpy()
-        order = np.argsort(xs[~asks], kind="stable")
-        qx, qy, ql = (v[~asks][order] for v in (xs, ys, codes))
-        px, py, pl = xs[asks], ys[asks], codes[asks]
-        same, every = np.zeros(len(px), np.int64), np.zeros(len(px), np.int64)
-        visit = np.argsort(px, kind="stable")
-        for start in range(0, len(visit), 256):
-            part = visit[start:start + 256]
-            # One unit of slack; the exact test follows.
-            lo = np.searchsorted(qx, px[part[0]] - half - 1)
-            hi = np.searchsorted(qx, px[part[-1]] + half + 1)
-            hit = (np.abs(px[part, None] - qx[None, lo:hi]) < half) & (
-                np.abs(py[part, None] - qy[None, lo:hi]) < half)
-            every[part] = hit.sum(axis=1)
-            same[part] = (hit & (pl[part, None] == ql[None, lo:hi])).sum(axis=1)
-        asking = rows[asks]
-        return pd.DataFrame({"image": asking["image"].astype(str), "point_id": asking["point_id"].astype(str),
-                             "same": same, "all": every})
-    return count
+    return asking.select("no", "image", "point_id").join(found.hint("merge"), "no").select(
+        "image", "point_id", *[values[k].alias(v) for k, v in names.items()])
 
 
 def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0) -> DataFrame:

@@ -256,7 +256,13 @@ def box_neighbor_counts(spark, sf):
 @query
 def box_neighbors_crowded(spark, sf):
     """The same counts with a low cell limit, so that most cells take the tile route."""
-    return box_neighbors(S.points(spark, sf), cell_limit=8, tile_rows=8)
+    return box_neighbors(S.points(spark, sf), cell_limit=8, task_rows=8)
+
+
+@query
+def box_neighbors_dense(spark, sf):
+    """All points in one cell's area, boxes that cut it, keys above the limit counted by ranks."""
+    return box_neighbors(S.dense_points(spark, sf), 80, 24, task_rows=20_000)
 
 
 @query

@@ -242,6 +242,13 @@ CTES["sources"] = """
 CTES["diffs"] = f"""
   SELECT image, row_no, i, substr(px, 6 * i + 1, 6) AS a FROM (SELECT *, unnest(range({S.WIDTH})) AS i FROM tiff WHERE px <> original)
   WHERE substr(px, 6 * i + 1, 6) <> substr(original, 6 * i + 1, 6)"""
+CTES["dense"] = "SELECT DISTINCT " + ", ".join(f'{sql} AS {name}' for name, sql in S.DENSE_POINTS.items()).replace("AS STRING", "AS VARCHAR") + " FROM lineitem"
+CTES["dense_spots"] = "SELECT x, y, fine_label, count(*) AS n FROM dense GROUP BY x, y, fine_label"
+CTES["dense_boxes"] = """
+  SELECT a.x, a.y, a.fine_label, CAST(sum(b.n) AS BIGINT) AS everything, CAST(sum(b.n) FILTER (a.fine_label = b.fine_label) AS BIGINT) AS same,
+         CAST(coalesce(sum(b.n) FILTER (abs(a.x - b.x) < 12 AND abs(a.y - b.y) < 12), 0) AS BIGINT) AS near,
+         CAST(coalesce(sum(b.n) FILTER (abs(a.x - b.x) < 12 AND abs(a.y - b.y) < 12 AND a.fine_label = b.fine_label), 0) AS BIGINT) AS near_same
+  FROM dense_spots a JOIN dense_spots b ON abs(a.x - b.x) < 40 AND abs(a.y - b.y) < 40 GROUP BY a.x, a.y, a.fine_label"""
 CTES["positions"] = """
   SELECT image, CAST(i + 0.5 AS DOUBLE) AS x, CAST(row_no + 0.5 AS DOUBLE) AS y, row_number() OVER (PARTITION BY image ORDER BY row_no, i) AS rn FROM diffs"""
 CTES["marks"] = f"""
@@ -339,6 +346,10 @@ QUERIES: dict[str, str] = {
     "labels_at_location": "SELECT image, key_x, key_y, fine_label, labels_here FROM located",
     "box_neighbor_counts": _neighbors("pts", 64, 16),
     "box_neighbors_crowded": _neighbors("pts", 64, 16),
+    "box_neighbors_dense": """
+        SELECT d.image, d.point_id, same - 1 AS neighbors_same_label_in_patch, everything - same AS neighbors_other_label_in_patch,
+               near - near_same AS neighbors_other_label_in_center
+        FROM dense d JOIN dense_boxes b ON b.x = d.x AND b.y = d.y AND b.fine_label = d.fine_label""",
     "point_rules": """
         SELECT point_id, image, fine_label, center_x, center_y, "left", top, status, reason,
                neighbors_same_label_in_patch, neighbors_other_label_in_patch, neighbors_other_label_in_center FROM judged""",

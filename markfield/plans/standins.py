@@ -67,6 +67,14 @@ POINTS = {
     "x": "value",
     "y": "CAST((event_id * 37) % 1000 AS DOUBLE) + 0.5",
 }
+# Shared: name -> expression over `lineitem`: one image whose points crowd into the area of one cell.
+DENSE_POINTS = {
+    "image": "'0'",
+    "point_id": "concat(CAST(l_orderkey AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING), '-', CAST(l_linenumber AS STRING))",
+    "fine_label": "l_returnflag",
+    "x": "CAST((l_orderkey * 7919 + l_partkey * 31) % 64 AS DOUBLE) + 0.5",
+    "y": "CAST((l_partkey * 104729 + l_suppkey * 17 + l_orderkey) % 128 AS DOUBLE) / 2",
+}
 COARSE_POINTS = {
     "image": "CAST(user_id AS STRING)",
     "fine_label": "event_type",
@@ -145,6 +153,11 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
     return shared(table(spark, sf, "events"), POINTS)
 
 
+def dense_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct places of ``lineitem`` rows, all in one cell's area."""
+    return shared(table(spark, sf, "lineitem"), DENSE_POINTS).dropDuplicates(["point_id"])
+
+
 def coarse_refs(spark: SparkSession, sf: str) -> DataFrame:
     return shared(table(spark, sf, "events"), COARSE_POINTS)
 
