@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import struct
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,8 @@ from markfield.functions.pixels import swap_red_blue
 from markfield.operators.skew import work_partitions
 from markfield.sources.files import open_file, relative_to, qualified, stream_sha256
 
+#: Boxes handled at once, and cells of a summed-area table.
+RUN, TABLE_CELLS = 8_192, 2_000_000
 CHUNK_BYTES = 16 << 20
 ROWS = "image string, row_no int, height int, px binary"
 
@@ -168,8 +170,9 @@ class _RowReader:
             first += count
         return np.frombuffer(b"".join(parts), np.uint8).reshape(-1, self.line)
 
-    def window(self, left: int, top: int, width: int, height: int) -> np.ndarray:
-        if not (0 <= left <= self.width - width and 0 <= top <= self.height - height):
+    def block(self, top: int, height: int) -> np.ndarray:
+        """Whole rows of bytes; rows in use by the block before are kept."""
+        if not 0 <= top <= self.height - height:
             raise ValueError("window outside the raster")
         if top < self.first or top + height > self.last:
             kept = self.rows[max(top - self.first, 0):] if self.first <= top < self.last else self.rows[:0]
@@ -177,12 +180,16 @@ class _RowReader:
             end = min(self.height, max(top + height, start + max(1, CHUNK_BYTES // self.line)))
             self.rows = np.concatenate([kept, self._load(start, end)])
             self.first, self.last = start - len(kept), end
-        part = self.rows[top - self.first:top - self.first + height, 3 * left:3 * (left + width)]
-        return part.reshape(height, width, 3)
+        return self.rows[top - self.first:top - self.first + height]
+
+    def window(self, left: int, top: int, width: int, height: int) -> np.ndarray:
+        if not 0 <= left <= self.width - width:
+            raise ValueError("window outside the raster")
+        return self.block(top, height)[:, 3 * left:3 * (left + width)].reshape(height, width, 3)
 
 
-def _read_windows(boxes: DataFrame, keys: Sequence[str], width: int, height: int, values: dict, reduce) -> DataFrame:
-    """Apply ``reduce`` to the window of every box, next to the file it comes from.
+def _read_windows(boxes: DataFrame, keys: Sequence[str], values: dict, reduce: Callable) -> DataFrame:
+    """Apply ``reduce`` to the file, lefts and tops of runs of boxes, next to the file they come from.
 
     Boxes are range-partitioned by file and row, so each task walks down a stretch of one
     raster and reads its bytes once; a crowded stretch is split over tasks by the key. No
@@ -195,16 +202,19 @@ def _read_windows(boxes: DataFrame, keys: Sequence[str], width: int, height: int
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader, current = None, None
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at:at + 512]
-                out = []
-                for path, left, top in zip(part["path"], part["left"], part["top"]):
-                    if path != current:
-                        if reader:
-                            reader.stream.close()
-                        reader, current = _RowReader(path), path
-                    out.append(reduce(reader.window(left, top, width, height)))
-                yield pd.concat([part[names].reset_index(drop=True), pd.DataFrame(out, columns=list(values))], axis=1)
+            if not len(batch):
+                continue
+            paths = batch["path"].to_numpy()
+            new = np.flatnonzero(paths[1:] != paths[:-1]) + 1
+            for first, last in zip([0, *new], [*new, len(batch)]):
+                if paths[first] != current:
+                    if reader:
+                        reader.stream.close()
+                    reader, current = _RowReader(paths[first]), paths[first]
+                for at in range(first, last, RUN):
+                    part = batch.iloc[at:min(at + RUN, last)]
+                    out = reduce(reader, part["left"].to_numpy(), part["top"].to_numpy())
+                    yield part[names].reset_index(drop=True).assign(**dict(zip(values, out)))
 
     tasks = work_partitions(boxes.sparkSession)
     ordered = kept.repartitionByRange(tasks, "path", "top", *keys).sortWithinPartitions("path", "top")
@@ -213,15 +223,54 @@ def _read_windows(boxes: DataFrame, keys: Sequence[str], width: int, height: int
 
 def read_patches(boxes: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
     """``keys, pixels`` of ``size`` x ``size`` boxes ``keys, path, left, top`` in uncompressed TIFFs."""
-    return _read_windows(boxes, keys, size, size, {"pixels": T.BinaryType()}, lambda w: (w.tobytes(),))
+    def cut(reader: _RowReader, lefts: np.ndarray, tops: np.ndarray) -> tuple[list[bytes]]:
+        return ([reader.window(left, top, size, size).tobytes() for left, top in zip(lefts.tolist(), tops.tolist())],)
+    return _read_windows(boxes, keys, {"pixels": T.BinaryType()}, cut)
 
 
 def read_spreads(boxes: DataFrame, keys: Sequence[str], side: int) -> DataFrame:
-    """``keys, spread`` of square windows: n * sum(s^2) - (sum s)^2 of the channel sums."""
-    def spread(window: np.ndarray) -> tuple[int]:
-        grey = window.sum(axis=2, dtype=np.int64)
-        return (int(grey.size * (grey * grey).sum() - grey.sum() ** 2),)
-    return _read_windows(boxes, keys, side, side, {"spread": T.LongType()}, spread)
+    """``keys, spread`` of square windows: n * sum(s^2) - (sum s)^2 of the channel sums.
+
+    Windows that lie close share two summed-area tables, so each takes four look-ups a table whatever its size.
+    """
+    def spreads(reader: _RowReader, lefts: np.ndarray, tops: np.ndarray) -> tuple[np.ndarray]:
+        if len(lefts) and not (0 <= lefts.min() and lefts.max() <= reader.width - side):
+            raise ValueError("window outside the raster")
+        found = np.empty(len(lefts), np.int64)
+        for cluster in _clusters(lefts, tops, side, max(side, TABLE_CELLS // reader.width)):
+            left, top = lefts[cluster], tops[cluster]
+            first, last, above, below = left.min(), left.max() + side, top.min(), top.max() + side
+            block = reader.block(int(above), int(below - above))[:, 3 * first:3 * last]
+            found[cluster] = window_spreads(block.reshape(below - above, last - first, 3), left - first, top - above, side)
+        return (found,)
+    return _read_windows(boxes, keys, {"spread": T.LongType()}, spreads)
+
+
+def _clusters(lefts: np.ndarray, tops: np.ndarray, side: int, most_rows: int) -> Iterator[np.ndarray]:
+    """Windows in ascending order of ``top`` dealt into clusters: stretches of rows, cut at gaps between the columns."""
+    at = 0
+    while at < len(tops):
+        end = int(np.searchsorted(tops, tops[at] + most_rows - side, side="right"))
+        order = at + np.argsort(lefts[at:end], kind="stable")
+        reach = lefts[order] + side
+        apart = np.flatnonzero(lefts[order][1:] > reach[:-1]) + 1
+        # Long chains of touching windows are cut where they fill a table.
+        wide = max(side, TABLE_CELLS // (tops[end - 1] - tops[at] + side))
+        for chain in np.split(order, apart):
+            yield from np.split(chain, np.flatnonzero(np.diff((lefts[chain] - lefts[chain[0]]) // wide)) + 1)
+        at = end
+
+
+def window_spreads(pixels: np.ndarray, lefts: np.ndarray, tops: np.ndarray, side: int) -> np.ndarray:
+    """n * sum(s^2) - (sum s)^2 of the channel sums in each ``side`` x ``side`` window of ``height x width x 3`` pixels."""
+    grey = pixels.sum(axis=2, dtype=np.int64)
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        table = np.zeros((values.shape[0] + 1, values.shape[1] + 1), np.int64)
+        np.cumsum(np.cumsum(values, axis=0), axis=1, out=table[1:, 1:])
+        return table[tops + side, lefts + side] - table[tops, lefts + side] - table[tops + side, lefts] + table[tops, lefts]
+
+    return side * side * sums(grey * grey) - sums(grey) ** 2
 
 
 def image_rows(spark: SparkSession, paths: list[str], root: str) -> DataFrame:

@@ -124,3 +124,27 @@ def test_tasks_grow_with_the_bytes(spark):
     files = spark.createDataFrame([("a", 3_000), ("b", 7_000)], "relpath string, bytes long")
     assert work_partitions(spark, files, task_bytes=100) == 100
     assert work_partitions(spark, files, task_bytes=20_000) == work_partitions(spark)
+
+
+def test_spreads_from_summed_areas(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(9)
+    pixels = rng.integers(0, 256, (150, 210, 3)).astype(np.uint8)
+    path = tmp_path / "plate.tif"
+    write_tiff(path, pixels, rows_per_strip=13)
+    spots = np.concatenate([rng.integers(0, 120, (400, 2)), np.tile([[7, 9]], (20, 1)), [[0, 0], [0, 135], [195, 0], [195, 135]]])
+    boxes = spark.createDataFrame([(n, str(path), int(x), int(y)) for n, (x, y) in enumerate(spots)], "n int, path string, left int, top int")
+
+    def brute(x, y, side):
+        grey = pixels[y:y + side, x:x + side].sum(axis=2, dtype=np.int64)
+        return grey.size * int((grey * grey).sum()) - int(grey.sum()) ** 2
+
+    for side in (1, 15):
+        found = {r.n: r.spread for r in S.read_spreads(boxes, ["n"], side).collect()}
+        assert found == {n: brute(int(x), int(y), side) for n, (x, y) in enumerate(spots)}
+    lefts, tops = spots[np.argsort(spots[:, 1], kind="stable")].T
+    for cells in (1, 900, 10**6):
+        monkeypatch.setattr(S, "TABLE_CELLS", cells)
+        clusters = list(S._clusters(lefts, tops, 15, max(15, cells // 210)))
+        assert sorted(np.concatenate(clusters).tolist()) == list(range(len(lefts)))
+    with pytest.raises(Exception, match="window outside the raster"):
+        S.read_spreads(boxes.limit(1).selectExpr("n", "path", "left + 205 AS left", "top"), ["n"], 15).collect()
