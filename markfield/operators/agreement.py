@@ -2,9 +2,9 @@
 
 A raster is a set of rows ``image, row_no, px``; candidate rows also carry ``height``, so
 that flipping a row number needs no join. Joins of rows ask for a merge: rows are read
-from a few file names, so Spark would take them for small and broadcast them. Rows are compared by digest, so the
-comparison shuffles 32 bytes per scan line and each raster is read once for all four
-transforms; pixels themselves only travel for rows that are known to differ.
+from a few file names, so Spark would take them for small and broadcast them. Rasters are compared by a tree of
+digests, which are made in one reading for all four transforms; pixels themselves only travel for rows that are known
+to differ.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from markfield.functions.pixels import (
     row_products,
     strided_grey,
 )
-from markfield.operators.skew import running_total
+from markfield.operators.skew import running_total, settle
 
 
 def flip_rows(rows: DataFrame, name: Column, height: Column) -> DataFrame:
@@ -33,38 +33,88 @@ def flip_rows(rows: DataFrame, name: Column, height: Column) -> DataFrame:
         F.when(mirrored, mirror_row("px")).otherwise(F.col("px")).alias("px"))
 
 
-def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
-                  candidate_sizes: DataFrame) -> DataFrame:
+#: Scan lines of a block of the digest tree.
+BLOCK_ROWS = 256
+
+
+def leaf_digests(reference: DataFrame, candidate: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Digests of all scan lines in the shared folder: ``image, row_no, digest`` and ``image, row_no, height, plain, mirrored``.
+
+    Decoding is the costly part, and every level of the tree starts from these.
+    """
+    own = reference.select("image", "row_no", F.unhex(F.sha2("px", 256)).alias("digest"))
+    other = candidate.select("image", "row_no", "height", F.unhex(F.sha2("px", 256)).alias("plain"),
+                             F.unhex(F.sha2(mirror_row("px"), 256)).alias("mirrored"))
+    return settle(own, "own_lines"), settle(other, "twin_lines")
+
+
+def _node(digest: Column | str, row_no: Column) -> list[Column]:
+    """Two columns that add up, by exclusive or, to the digest of any set of numbered lines."""
+    return [F.bit_xor(F.xxhash64(F.lit(part), row_no, digest)) for part in (1, 2)]
+
+
+def _own_nodes(own: DataFrame, *by: Column) -> DataFrame:
+    return own.groupBy("image", *by).agg(F.array(*_node("digest", F.col("row_no"))).alias("own"), F.count(F.lit(1)).alias("rows"))
+
+
+def _twin_lines(other: DataFrame) -> DataFrame:
+    """``image, row_no, transform, digest``: every line of the twin at its place under each transform."""
+    turned = (F.col("height") - 1 - F.col("row_no")).cast("int")
+    places = {"identity": ("row_no", "plain"), "hflip": ("row_no", "mirrored"), "vflip": (turned, "plain"), "rot180": (turned, "mirrored")}
+    at = F.explode(F.array(*[F.struct(F.lit(name).alias("transform"), (F.col(row) if isinstance(row, str) else row).cast("int").alias("row_no"),
+                                      F.col(digest).alias("digest")) for name, (row, digest) in places.items()]))
+    return other.select("image", at.alias("_at")).select("image", "_at.transform", "_at.row_no", "_at.digest")
+
+
+def _twin_nodes(other: DataFrame, *by: Column) -> DataFrame:
+    return _twin_lines(other).groupBy("image", "transform", *by).agg(F.array(*_node("digest", F.col("row_no"))).alias("twin"))
+
+
+def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame, candidate_sizes: DataFrame, *,
+                  until_equal: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Share of bit-identical rows per image and transform, 6 decimals.
 
     Every image of ``sizes`` that has a candidate gets four rows; images whose sizes
-    differ get 0.0 for all four.
+    differ get 0.0 for all four. With ``until_equal`` the transforms after the first under which both are equal are left out.
+
+    A tree of digests over scan lines, blocks of lines and whole rasters decides: equal rasters are settled by one
+    pair of digests, of the others equal blocks count as a whole, and only lines of unlike blocks are compared. A
+    node's digest is combined before the shuffle, so a raster costs one row a task, not one a line; upside down, a line
+    counts for the block at its turned place.
     """
     both = sizes.join(candidate_sizes.select(
         "image", F.col("width").alias("c_width"), F.col("height").alias("c_height")), "image")
     same_size = (F.col("width") == F.col("c_width")) & (F.col("height") == F.col("c_height"))
-    own = reference.select("image", "row_no", F.unhex(F.sha2("px", 256)).alias("digest"))
-    other = candidate.select("image", "row_no", F.col("height").alias("_h"), F.unhex(F.sha2("px", 256)).alias("plain"),
-                             F.unhex(F.sha2(mirror_row("px"), 256)).alias("mirrored"))
-    # Each candidate row is met twice: at its own row number and at the flipped one.
-    at = F.explode(F.array(
-        F.struct(F.col("row_no").alias("row_no"), F.lit(False).alias("upside")),
-        F.struct((F.col("_h") - 1 - F.col("row_no")).alias("row_no"), F.lit(True).alias("upside"))))
-    met = other.select("image", "plain", "mirrored", at.alias("_at")).select(
-        "image", "_at.row_no", "_at.upside", "plain", "mirrored")
-    plain, mirrored = F.col("digest") == F.col("plain"), F.col("digest") == F.col("mirrored")
-    equal = own.join(met.hint("merge"), ["image", "row_no"]).groupBy("image").agg(
-        F.count_if(plain & ~F.col("upside")).alias("identity"),
-        F.count_if(mirrored & ~F.col("upside")).alias("hflip"),
-        F.count_if(plain & F.col("upside")).alias("vflip"),
-        F.count_if(mirrored & F.col("upside")).alias("rot180"))
-    counts = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("transform"), F.coalesce(F.col(name), F.lit(0)).alias("rows"))
-        for name in TRANSFORMS]))
-    share = F.bround(F.when(same_size, F.col("_c.rows") / F.col("height")).otherwise(0.0), 6)
-    return (both.join(equal, "image", "left").select("image", "width", "height", "c_width", "c_height",
-                                                     counts.alias("_c"))
-            .select("image", "_c.transform", share.alias("agreement"), same_size.alias("same_size")))
+    names = F.explode(F.array(*map(F.lit, TRANSFORMS)))
+    asked = both.select("image", "height", same_size.alias("same_size"), names.alias("transform"))
+    own, other = leaf_digests(reference, candidate)
+    whole = _own_nodes(own).drop("rows").join(_twin_nodes(other).hint("merge"), "image").select(
+        "image", "transform", (F.col("own") == F.col("twin")).alias("equal"))
+    asked = settle(asked.join(whole, ["image", "transform"], "left").withColumn(
+        "equal", F.col("same_size") & F.coalesce("equal", F.lit(False))), "raster_digests")
+    if until_equal:
+        first = asked.filter("equal").groupBy("image").agg(F.min(transform_rank(F.col("transform"))).alias("_first"))
+        asked = asked.join(first, "image", "left").filter(
+            F.col("_first").isNull() | (transform_rank(F.col("transform")) <= F.col("_first"))).drop("_first")
+        asked = settle(asked, "raster_digests")
+    # Blocks of rasters that are not equal, then lines of blocks that are not equal.
+    unlike = asked.filter("same_size AND NOT equal").select("image", "transform")
+    images = unlike.select("image").distinct()
+    own, other = own.join(images, "image", "left_semi"), other.join(images, "image", "left_semi")
+    block = F.floor(F.col("row_no") / block_rows).alias("block")
+    blocks = settle(_own_nodes(own, block).join(_twin_nodes(other, block).hint("merge"), ["image", "block"]).join(
+        unlike, ["image", "transform"], "left_semi").select(
+        "image", "transform", "block", "rows", (F.col("own") == F.col("twin")).alias("equal")), "block_digests")
+    opened = blocks.filter("NOT equal")
+    lines = own.withColumn("block", block).join(opened.select("image", "block").distinct(), ["image", "block"], "left_semi")
+    met = _twin_lines(other).withColumn("block", block).join(
+        opened.select("image", "transform", "block"), ["image", "transform", "block"], "left_semi").withColumnRenamed("digest", "_d")
+    alike = lines.join(met.hint("merge"), ["image", "row_no"]).filter(F.col("digest") == F.col("_d"))
+    counted = blocks.filter("equal").groupBy("image", "transform").agg(F.sum("rows").alias("n")).unionByName(
+        alike.groupBy("image", "transform").agg(F.count(F.lit(1)).alias("n"))).groupBy("image", "transform").agg(F.sum("n").alias("n"))
+    rows = F.when(F.col("equal"), F.col("height")).otherwise(F.coalesce("n", F.lit(0)))
+    share = F.bround(F.when(F.col("same_size"), rows / F.col("height")).otherwise(0.0), 6)
+    return asked.join(counted, ["image", "transform"], "left").select("image", "transform", share.alias("agreement"), "same_size")
 
 
 def transform_rank(name: Column) -> Column:
