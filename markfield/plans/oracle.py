@@ -389,9 +389,10 @@ QUERIES: dict[str, str] = {
     "correlation": "SELECT * FROM corrs",
     "low_resolution_relation": "SELECT * FROM relations",
     "pixel_source": "SELECT * FROM sources",
-    "rebuilt_rows": """
-        SELECT c.image, CAST(c.row_no AS INT) AS row_no, c.px FROM candidates c JOIN sources s ON s.image = c.image AND s.jpeg_to_tiff = c.transform
-        WHERE s.pixel_check = 'tiff_damaged_rebuilt_from_jpeg'""",
+    "rebuilt_rows": f"""
+        SELECT t.image, CAST(CASE WHEN c.best IN ('vflip', 'rot180') THEN t.height - 1 - t.row_no ELSE t.row_no END AS INT) AS row_no,
+               CASE WHEN c.best IN ('hflip', 'rot180') THEN {MIRROR.format('t.px')} ELSE t.px END AS px
+        FROM twin t JOIN (SELECT * FROM best WHERE best_score >= 0.01 AND best_score < 1) c ON c.image = t.image""",
     "difference_report": f"""
         SELECT t.image, count(d.image) AS tiff_differing_pixels, round_even(count(d.image) / ({S.WIDTH}.0::DOUBLE * t.height), 8) AS tiff_differing_pixel_fraction,
                count(*) FILTER (d.a = 'FFFFFF') AS tiff_differing_pixels_pure_white
