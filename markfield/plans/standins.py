@@ -96,6 +96,18 @@ RASTER_POINTS = {
     "row_seed": "event_id * 101 + CAST(floor(value) AS BIGINT)",
 }
 
+# Shared: name -> expression over `events`, whole pixels of the document rasters below a folder per raster.
+TREE_POINTS = {
+    "event_id": "event_id",
+    "image_no": "CAST(floor(event_id / 10) AS BIGINT)",
+    "token": ("CASE event_type WHEN 'click' THEN 'BPD' WHEN 'view' THEN 'TED(a)' WHEN 'purchase' THEN 'TED(f)' "
+              "WHEN 'signup' THEN 'TSD(b)' ELSE 'TSD(c)' END"),
+    "fine_label": ("CASE event_type WHEN 'click' THEN 'BPD' WHEN 'view' THEN 'TED_a' WHEN 'purchase' THEN 'TED_f' "
+                   "WHEN 'signup' THEN 'TSD_b' ELSE 'TSD_c' END"),
+    "px": "CAST((event_id * 37) % 32 AS BIGINT)",
+    "row_seed": "CAST(event_id * 101 + CAST(floor(value) AS BIGINT) AS BIGINT)",
+}
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -238,3 +250,25 @@ def raster_points(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select("point_no", "image", "fine_label", "x",
                          ((F.col("row_seed") % F.col("height")).cast("double") + 0.25).alias("y"),
                          F.lit(WIDTH).cast("bigint").alias("width"), "height")
+
+
+def tree_files(spark: SparkSession, sf: str) -> DataFrame:
+    """``relpath, content`` of a whole source tree: a folder per document with its raster and a point file per label."""
+    folder = F.concat((F.col("image_no") % 10).cast("string"), F.lit(" Area/before "), F.col("image_no").cast("string"), F.lit("/"))
+    rasters = tiff_files(tiff_rows(document_rows(spark, sf))).withColumn("image_no", F.regexp_extract("relpath", r"(\d+)", 1).cast("bigint"))
+    sizes = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("image_no"), F.ceil(F.octet_length(F.encode("text", "UTF-8")) / LINE).cast("bigint").alias("height"))
+    placed = shared(table(spark, sf, "events"), TREE_POINTS).join(sizes, "image_no").withColumn("py", F.col("row_seed") % F.col("height"))
+    # A raster has ten points.
+    files = placed.groupBy("image_no", "token").agg(F.array_sort(F.collect_list(F.struct("event_id", "px", "py"))).alias("told"))
+    head = F.concat(F.lit("496F757400E30A00" + "00" * 8), _hex(F.size("told"), 4), F.lit("00" * 46))
+    axis = [F.array_join(F.transform("told", _coordinate(name)), "") for name in ("px", "py")]
+    name = F.concat(folder, F.lit("before "), F.col("image_no").cast("string"), F.lit(" "), F.col("token"), F.lit(".roi"))
+    annotations = files.select(name.alias("relpath"), F.unhex(F.concat(head, *axis, F.hex(F.encode(name, "UTF-8")))).alias("content"))
+    return annotations.unionByName(rasters.select(F.concat(folder, "relpath").alias("relpath"), "content"))
+
+
+def _coordinate(name: str):
+    def encoded(place: Column) -> Column:
+        return _hex(place[name], 4)
+    return encoded
