@@ -27,6 +27,7 @@ from markfield.plans.versions import build_version, commit_version, current
 from markfield.sources.annotations import decode_annotations, discover, name_facts, resolve_files
 from markfield.sources.files import changed_files, listing, read_string_map, read_table_csv, write_contents
 from markfield.sources.files import file_digests as digests_of_files
+from markfield.sources.ranges import changed_ranges, range_digests, tree_roots
 from markfield.sources.rasters import read_patches, read_spreads, strip_rows, tiff_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +165,30 @@ def file_digests(spark, sf):
     return digests_of_files(listing(spark, root))
 
 
+def _ranged(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Digests of ranges of 1,000 bytes of written files."""
+    root = left_folder(spark)
+    write_contents(docs.select(F.format_string("d%d.txt", "doc_id").alias("relpath"), "content"), root)
+    return range_digests(listing(spark, root), 1_000)
+
+
+@query
+def range_roots(spark, sf):
+    """Roots of digest trees over byte ranges of written files."""
+    docs = S.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    return tree_roots(_ranged(spark, docs), 16)
+
+
+@query
+def damaged_ranges(spark, sf):
+    """Ranges named after one byte of every seventh file was changed."""
+    docs = S.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    place = (F.col("doc_id") * 37 % F.octet_length("content")).cast("int")
+    hurt = F.concat(F.substring("content", F.lit(1), place), F.lit(b"\x01"), F.substring("content", place + 2, F.octet_length("content")))
+    altered = docs.withColumn("content", F.when((F.col("doc_id") % 7 == 0) & (F.octet_length("content") > 0), hurt).otherwise(F.col("content")))
+    return changed_ranges(_ranged(spark, docs), _ranged(spark, altered))
+
+
 @query
 def excluded_files(spark, sf):
     files = _resolved(spark, sf).withColumn("status", F.when(F.col("status") == "mapped", "used").otherwise("excluded"))

@@ -262,6 +262,13 @@ CTES["tree_judged"] = f"""
       THEN 'other_label_within_center_4px'
     WHEN floor(p.x) - 4 < 0 OR floor(p.y) - 4 < 0 OR floor(p.x) + 4 > {S.WIDTH} OR floor(p.y) + 4 > p.height
       THEN 'patch_crosses_image_boundary' END AS reason FROM tree_points p"""
+CTES["ranges"] = """
+  SELECT doc_id, no, least(1000, size - 1000 * no) AS length, sha256(unhex(substr(h, CAST(2000 * no + 1 AS BIGINT), 2000))) AS digest
+  FROM (SELECT *, unnest(range(CAST(greatest(1, ceil(size / 1000.0)) AS BIGINT))) AS no FROM (
+    SELECT doc_id, hex(encode(text)) AS h, octet_length(encode(text)) AS size FROM documents))"""
+CTES["range_nodes"] = """
+  SELECT doc_id, no // 16 AS no, sum(length) AS length, CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256(unhex(string_agg(digest, '' ORDER BY no))) END AS digest
+  FROM ranges GROUP BY doc_id, no // 16"""
 CTES["positions"] = """
   SELECT image, CAST(i + 0.5 AS DOUBLE) AS x, CAST(row_no + 0.5 AS DOUBLE) AS y, row_number() OVER (PARTITION BY image ORDER BY row_no, i) AS rn FROM diffs"""
 CTES["marks"] = f"""
@@ -479,6 +486,14 @@ QUERIES |= {
     "stored_headers": f"""
         SELECT image || '.tif' AS relpath, {S.WIDTH} AS width, height, 8 AS bits, 3 AS samples, 'NONE' AS compression, 'RGB' AS photometric,
                true AS strips, CAST(NULL AS VARCHAR) AS problem FROM texts""",
+    "range_roots": """
+        SELECT 'd' || CAST(doc_id AS VARCHAR) || '.txt' AS relpath, CAST(sum(length) AS BIGINT) AS bytes,
+               CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256(unhex(string_agg(digest, '' ORDER BY no))) END AS root
+        FROM range_nodes GROUP BY doc_id""",
+    "damaged_ranges": """
+        SELECT 'd' || CAST(doc_id AS VARCHAR) || '.txt' AS relpath, doc_id * 37 % size // 1000 AS range_no, doc_id * 37 % size // 1000 * 1000 AS start,
+               least(1000, size - doc_id * 37 % size // 1000 * 1000) AS length
+        FROM (SELECT doc_id, octet_length(encode(text)) AS size FROM documents) WHERE doc_id % 7 = 0 AND size > 0""",
     "file_digests": "SELECT 'd' || CAST(doc_id AS VARCHAR) || '.txt' AS relpath, sha256(text) AS sha256 FROM documents",
 }
 

@@ -17,6 +17,7 @@ from markfield.config import SCHEMA_NAME, SCHEMA_VERSION, Settings, Taxonomy
 from markfield.operators import report as R
 from markfield.operators.dedup import point_lineage
 from markfield.sources.files import file_digests, listing
+from markfield.sources.ranges import RANGE_BYTES, range_digests
 
 ROWS_PER_FILE = 4096
 
@@ -193,5 +194,7 @@ def write_lineage(refs: DataFrame, target: str) -> None:
 
 
 def seal(spark: SparkSession, output: str) -> None:
-    """Digest of every published file except the seal itself."""
+    """Digest of every published file except the seal itself, and of the byte ranges of files above one range."""
+    large = listing(spark, output, hidden=False).filter(F.col("bytes") > RANGE_BYTES)
+    range_digests(large).write.mode("errorifexists").parquet(f"{output}/output_ranges")
     file_digests(listing(spark, output, hidden=False)).write.mode("errorifexists").parquet(f"{output}/output_hashes")

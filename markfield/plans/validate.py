@@ -12,6 +12,7 @@ from markfield.operators import report as R
 from markfield.operators.skew import job_folder
 from markfield.plans.publish import SAMPLE_COLUMNS, read_patches, table_digest
 from markfield.sources.files import exists, file_digests, listing, read_table_csv
+from markfield.sources.ranges import changed_ranges, range_digests
 
 Problem = str | None
 #: Areas a message names at most; the check itself covers all.
@@ -59,6 +60,13 @@ def checks(spark: SparkSession, dataset: str, unexpected_files: bool = False):
     yield "count", None if samples.count() == manifest["counts"]["patches"] else "patch count mismatch"
 
 
+def damaged_ranges(spark: SparkSession, dataset: str) -> DataFrame:
+    """``relpath, range_no, start, length`` of the changed parts of files above one range, read by many tasks."""
+    recorded = spark.read.parquet(f"{dataset}/output_ranges")
+    known = listing(spark, dataset, hidden=False).join(recorded.select("relpath").distinct(), "relpath", "left_semi")
+    return changed_ranges(recorded, range_digests(known))
+
+
 def validation_report(spark: SparkSession, dataset: str) -> DataFrame:
     """Rows ``check, passed, detail``; stops at checks that need an unreadable manifest."""
     rows = []
