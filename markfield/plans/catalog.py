@@ -661,11 +661,13 @@ def built_patches(spark, sf):
 
 @query
 def built_counts(spark, sf):
-    """Counts of a built dataset's manifest: patches by split and label, and points left out by reason."""
+    """Counts of a built dataset's manifest, seen while its tables were written or grouped in one job."""
     counts = _dataset(spark, sf)[1]["counts"]
     rows = [(split, name if letter == "-" else f"{name}_{letter}", n) for split, classes in counts["by_split_class_subtype"].items()
             for name, letters in classes.items() for letter, n in letters.items()]
-    rows += [("excluded", reason, n) for reason, n in counts["excluded_points_by_reason"].items()]
+    for part in ("excluded_points_by_reason", "by_fine_label", "provider_points_in_used_roi_files"):
+        rows += [(part, name, n) for name, n in counts[part].items()]
+    rows += [("whole", name, counts[name]) for name in ("patches", "unique_points", "duplicate_point_refs", "images")]
     return spark.createDataFrame(rows, "part string, name string, n bigint")
 
 

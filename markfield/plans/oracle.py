@@ -450,7 +450,13 @@ QUERIES: dict[str, str] = {
         WHERE j.reason IS NULL GROUP BY j.image, j.split, j.fine_label, j.x, j.y""",
     "built_counts": """
         SELECT split AS part, fine_label AS name, count(*) AS n FROM tree_judged WHERE reason IS NULL GROUP BY split, fine_label
-        UNION ALL SELECT 'excluded', reason, count(*) FROM tree_judged WHERE reason IS NOT NULL GROUP BY reason""",
+        UNION ALL SELECT 'excluded_points_by_reason', reason, count(*) FROM tree_judged WHERE reason IS NOT NULL GROUP BY reason
+        UNION ALL SELECT 'by_fine_label', fine_label, count(*) FROM tree_judged WHERE reason IS NULL GROUP BY fine_label
+        UNION ALL SELECT 'provider_points_in_used_roi_files', r.fine_label, count(*) FROM tree_refs r JOIN texts t ON t.image = CAST(r.image_no AS VARCHAR) GROUP BY r.fine_label
+        UNION ALL SELECT 'whole', 'patches', count(*) FROM tree_judged WHERE reason IS NULL
+        UNION ALL SELECT 'whole', 'unique_points', count(*) FROM tree_judged
+        UNION ALL SELECT 'whole', 'duplicate_point_refs', (SELECT count(*) FROM tree_refs r JOIN texts t ON t.image = CAST(r.image_no AS VARCHAR)) - count(*) FROM tree_judged
+        UNION ALL SELECT 'whole', 'images', count(DISTINCT image) FROM tree_judged""",
     "validated_datasets": """
         SELECT dataset, "check", passed AND (SELECT count(*) > 0 FROM documents) AS passed FROM (VALUES
           ('whole', 'completed', true), ('whole', 'schema', true), ('whole', 'samples_digest', true), ('whole', 'hashes', true),

@@ -10,10 +10,10 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from markfield.config import SCHEMA_NAME, SCHEMA_VERSION, Settings, Taxonomy
+from markfield.config import SCHEMA_NAME, SCHEMA_VERSION, TRANSFORMS, Settings, Taxonomy
 from markfield.operators import report as R
 from markfield.operators.dedup import point_lineage
 from markfield.sources.files import file_digests, listing
@@ -47,33 +47,12 @@ COORDINATE_SPACE = "tiff_pixel_grid_continuous_pixel_corner_origin"
 PADDING = "none_boundary_patches_excluded"
 
 
-def rules_in_words(settings: Settings) -> dict:
-    """What the settings mean for patches, coordinates, splits and exclusions."""
-    half, window = settings.patch_size // 2, 2 * settings.window_radius + 1
+def layout_facts(settings: Settings) -> dict:
+    """Numbers and names a reader of the patches needs; all other settings stand under ``settings``."""
     return {
-        "patch": {
-            "size": settings.patch_size, "dtype": "uint8", "channels": "RGB", "format": "raw RGB bytes in Parquet",
-            "source_pixels": "see pixel_source of each sample", "resized": False, "normalized": False, "padding": PADDING,
-            "center_rule": "whole part of x and y", "crop_rule": f"from {half} pixels left of and above the centre"},
-        "coordinates": {
-            "space": COORDINATE_SPACE, "pixel_center": "i + 0.5", "x_axis": "grows to the right", "y_axis": "grows downwards",
-            "transforms": {"identity": "x, y", "hflip": "width - x, y", "vflip": "x, height - y", "rot180": "width - x, height - y"},
-            "roi_columns": "roi_x and roi_y are as supplied"},
-        "split_basis": "every area lies in one split",
-        "orientation_probe": {
-            "method": f"spread of {window} x {window} windows, median at the points over median at "
-                      f"{len(settings.control_shifts)} shifted places",
-            "min_points": settings.min_probe_points, "min_signal_ratio": settings.min_signal_ratio,
-            "min_preference": settings.min_preference},
-        "exclusion_rules": {
-            "center_box_px": settings.center_box, "other_label_within_center": "point is left out",
-            "boundary": "point is left out", "same_coordinate_conflicting_labels": "all labels there are left out"},
-        "limitations": [
-            "labels come from file names and were not checked by an expert",
-            "what the subtypes stand for physically is not part of the data",
-            "places without a point may hold anything, so there is no negative class",
-            "a sample is a place, not an outline",
-            "areas without annotation files are missing"],
+        "patch": {"size": settings.patch_size, "bytes": 3 * settings.patch_size**2, "dtype": "uint8", "channels": "RGB", "padding": PADDING},
+        "coordinate_space": COORDINATE_SPACE,
+        "transforms": list(TRANSFORMS),
     }
 
 
@@ -123,32 +102,60 @@ def table_digest(rows: DataFrame, columns: list[str]) -> str:
     return f"{total.c}-{total.s or 0}"
 
 
-def counts(points: DataFrame, samples: DataFrame, images: DataFrame, files: DataFrame) -> dict:
-    """Bounded totals of the dataset; every group is limited by the taxonomy or the rules."""
-    nested = R.nested_counts(samples).select(F.to_json("counts").alias("j")).head().j
+def grouped_totals(points: DataFrame, samples: DataFrame, files: DataFrame) -> dict[str, dict]:
+    """Samples by split, class and subtype and by fine label, points left out by reason, points supplied by label: one job.
+
+    Every group is limited by the taxonomy, the splits or the rules.
+    """
+    def part(rows: DataFrame, kind: str, n: Column, *keys: Column) -> DataFrame:
+        names = [f"k{place}" for place in range(4)]
+        filled = [*keys, *[F.lit(None).cast("string")] * (4 - len(keys))]
+        return rows.groupBy(*(key.alias(name) for key, name in zip(filled, names))).agg(n.cast("bigint").alias("n")).select(
+            F.lit(kind).alias("kind"), *names, "n")
+
+    rows, supplied = F.count(F.lit(1)), F.sum(F.coalesce("point_count", F.lit(0)))
+    subtype = F.coalesce(F.nullif(F.col("subtype"), F.lit("")), F.lit("-"))
+    told = part(samples, "samples", rows, F.col("split"), F.col("label"), subtype, F.col("fine_label")).unionByName(
+        part(points.filter("status <> 'included'"), "excluded", rows, F.col("reason"))).unionByName(
+        part(files.filter("status = 'used'"), "supplied", supplied, F.col("fine_label"))).collect()
+    found: dict[str, dict] = {"nested": {}, "labels": {}, "excluded": {}, "supplied": {}}
+    for row in sorted(told, key=lambda row: tuple((key is not None, key or "") for key in (row.k0, row.k1, row.k2, row.k3))):
+        if row.kind == "samples":
+            found["nested"].setdefault(row.k0, {}).setdefault(row.k1, {})[row.k2] = row.n
+            found["labels"][row.k3] = found["labels"].get(row.k3, 0) + row.n
+        else:
+            found[row.kind][row.k0] = row.n
+    found["labels"] = dict(sorted(found["labels"].items()))
+    return found
+
+
+def counts(seen: dict[str, dict], grouped: dict[str, dict]) -> dict:
+    """Bounded totals of the dataset: ``seen`` while its tables were written, and grouped."""
     return {
-        "patches": samples.count(),
-        "by_split_class_subtype": json.loads(nested or "{}"),
-        "by_fine_label": _pairs(R.totals(samples).orderBy("fine_label")),
-        "provider_points_in_used_roi_files": _pairs(R.supplied_points(files).orderBy("fine_label")),
-        "unique_points": points.count(),
-        "duplicate_point_refs": R.duplicate_refs(points).head()[0],
-        "excluded_points_by_reason": _pairs(R.excluded_points(points).orderBy("reason")),
-        "images": images.count(),
+        "patches": seen["samples"]["n"],
+        "by_split_class_subtype": grouped["nested"],
+        "by_fine_label": grouped["labels"],
+        "provider_points_in_used_roi_files": grouped["supplied"],
+        "unique_points": seen["points"]["n"],
+        "duplicate_point_refs": seen["points"]["duplicates"] or 0,
+        "excluded_points_by_reason": grouped["excluded"],
+        "images": seen["images"]["n"],
     }
 
 
-def _pairs(rows: DataFrame) -> dict:
-    return {row[0]: row[1] for row in rows.collect()}
+def watched(rows: DataFrame, seen: dict[str, Observation], name: str, **metrics: Column) -> DataFrame:
+    """``rows`` whose count and other metrics are taken while they are written, above any sort (a sort samples its input)."""
+    seen[name] = Observation(name)
+    return rows.observe(seen[name], F.count(F.lit(1)).alias("n"), *(metric.alias(key) for key, metric in metrics.items()))
 
 
 def publish(spark: SparkSession, output: str, *, files: DataFrame, images: DataFrame, points: DataFrame,
             refs: DataFrame, samples: DataFrame, patches: DataFrame, order: list[str], settings: Settings,
             taxonomy: Taxonomy, facts: dict, started: str) -> dict:
     """Write everything beside the patches and return the manifest."""
-    files = published_files(files)
-    write_csv(samples.orderBy("path"), f"{output}/samples.csv", SAMPLE_COLUMNS)
-    write_csv(points.orderBy(*order), f"{output}/points.csv", POINT_COLUMNS)
+    files, seen = published_files(files), {}
+    write_csv(watched(samples.orderBy("path"), seen, "samples"), f"{output}/samples.csv", SAMPLE_COLUMNS)
+    write_csv(watched(points.orderBy(*order), seen, "points", duplicates=F.sum(F.col("ref_count") - 1)), f"{output}/points.csv", POINT_COLUMNS)
     flat = files.withColumns({"contrast_probe": F.to_json("contrast_probe"), "warnings": F.array_join("warnings", ";")})
     write_csv(flat.orderBy("relpath"), f"{output}/roi_files.csv", FILE_COLUMNS)
     of_image = files.filter(F.col("image").isNotNull() & F.col("coordinate_transform").isNotNull() |
@@ -156,7 +163,7 @@ def publish(spark: SparkSession, output: str, *, files: DataFrame, images: DataF
     write_json(of_image.select("image", "relpath").orderBy("image", "relpath"), f"{output}/image_files.json")
     record = images.withColumn("relpath", F.col("image")).join(
         R.image_totals(points), "image", "left").drop("path", "twin_path", "offsets", "rows_per_strip", "strips", "image")
-    write_json(record.orderBy("relpath"), f"{output}/images.json")
+    write_json(watched(record.orderBy("relpath"), seen, "images"), f"{output}/images.json")
     write_lineage(refs, f"{output}/point_refs")
     write_json(R.excluded_files(files), f"{output}/excluded_roi_files.json")
     write_json(files.select("relpath", "sha256"), f"{output}/roi_file_sha256.json")
@@ -167,14 +174,16 @@ def publish(spark: SparkSession, output: str, *, files: DataFrame, images: DataF
     chosen = F.broadcast(chosen.select("fine_label", "rank", "patch_id", "split", "area", "stage"))
     patches.select("patch_id", "pixels").join(chosen, "patch_id").write.parquet(f"{output}/preview_samples")
     R.stretch(R.mean_patch(patches)).write.parquet(f"{output}/preview_means")
+    grouped = grouped_totals(points, samples, files)
+    rare = {label: grouped["labels"].get(label, 0) for label in taxonomy.fine_labels}
     manifest = {
         **CONTRACT, "schema": SCHEMA_NAME, "schema_version": SCHEMA_VERSION,
         "started_at": started, "created_at": datetime.now(timezone.utc).isoformat(),
         "classes": list(taxonomy.classes), "subtypes": {name: list(subs) for name, subs in taxonomy.subtypes.items()},
-        "fine_labels": list(taxonomy.fine_labels), **rules_in_words(settings),
-        "counts": counts(points, samples, images, files),
+        "fine_labels": list(taxonomy.fine_labels), **layout_facts(settings),
+        "counts": counts({name: metrics.get for name, metrics in seen.items()}, grouped),
         "rare_fine_labels_under_300" if settings.rare_below == 300 else f"rare_fine_labels_under_{settings.rare_below}":
-            _pairs(R.rare_labels(samples, taxonomy, settings.rare_below)),
+            {label: n for label, n in rare.items() if n < settings.rare_below},
         "samples_digest": table_digest(samples, SAMPLE_COLUMNS),
         "files": {"samples": "samples.csv", "points": "points.csv", "roi_files": "roi_files.csv", "images": "images.json",
                   "patches": f"patches_{settings.patch_size}", "point_refs": "point_refs", "image_files": "image_files.json",
@@ -195,6 +204,6 @@ def write_lineage(refs: DataFrame, target: str) -> None:
 
 def seal(spark: SparkSession, output: str) -> None:
     """Digest of every published file except the seal itself, and of the byte ranges of files above one range."""
-    large = listing(spark, output, hidden=False).filter(F.col("bytes") > RANGE_BYTES)
-    range_digests(large).write.mode("errorifexists").parquet(f"{output}/output_ranges")
+    large = listing(spark, output, hidden=False).filter((F.col("bytes") > RANGE_BYTES) & ~F.col("relpath").startswith("output_ranges/"))
+    range_digests(large).write.mode("overwrite").parquet(f"{output}/output_ranges")
     file_digests(listing(spark, output, hidden=False)).write.mode("errorifexists").parquet(f"{output}/output_hashes")

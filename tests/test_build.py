@@ -117,7 +117,8 @@ def test_manifest_and_previews(spark, job):
     assert stored == json.loads(json.dumps(manifest))
     assert manifest["started_at"] < manifest["created_at"] and manifest["code_revision"] == "r1"
     assert manifest["split_map"] == SCENE_SPLITS and "rare_fine_labels_under_40" in manifest
-    for name in ("orientation_probe", "exclusion_rules", "split_basis", "limitations"):
+    assert manifest["notes"] == []
+    for name in ("coordinate_space", "transforms", "settings"):
         assert manifest[name]
     shown = spark.read.parquet(f"{out}/preview_samples").groupBy("fine_label").count()
     assert shown.filter(F.col("count") > SCENE.preview_per_label).count() == 0
