@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,49 +28,79 @@ DECODED = T.StructType([
     T.StructField("subpixel", T.BooleanType()), T.StructField("problem", T.StringType())])
 
 
-def _points(data: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Coordinates as stored (integers made absolute) and whether they are sub-pixel."""
-    if not data:
-        raise ValueError("empty_file")
-    if len(data) < ROI_HEADER or not data.startswith(ROI_MAGIC):
-        raise ValueError("not_an_imagej_roi")
-    version, kind = struct.unpack_from(">hB", data, 4)
-    if kind != ROI_POINT:
-        raise ValueError("not_a_point_roi")
-    position, second = struct.unpack_from(">ii", data, 56)
-    pages = [position]
-    if 0 < second <= len(data) - 16:
-        pages += struct.unpack_from(">ii", data, second + 8)
-    if max(pages) > 1:
-        raise ValueError("roi_refers_to_another_page")
-    top, left = struct.unpack_from(">hh", data, 8)
-    count = struct.unpack_from(">H", data, 16)[0] or struct.unpack_from(">i", data, 18)[0]
-    options = struct.unpack_from(">H", data, 50)[0]
-    subpixel = bool(options & ROI_SUBPIXEL_OPTION) and version >= ROI_SUBPIXEL_VERSION
-    if count <= 0:
-        raise ValueError("invalid_point_coordinates")
-    kind, start = (">f4", ROI_HEADER + 4 * count) if subpixel else (">i2", ROI_HEADER)
-    try:
-        xs, ys = np.frombuffer(data, kind, 2 * count, start).reshape(2, count).astype(np.float64)
-    except ValueError:
-        raise ValueError("decode_error") from None
-    if not subpixel:
-        xs, ys = xs + left, ys + top
-    if not (np.isfinite(xs).all() and np.isfinite(ys).all()):
-        raise ValueError("invalid_point_coordinates")
-    return xs, ys, subpixel
-
-
-@F.pandas_udf(DECODED)
-def _decode(contents: pd.Series) -> pd.DataFrame:
-    rows = []
-    for data in contents:
-        try:
-            xs, ys, subpixel = _points(bytes(data or b""))
-            rows.append((xs, ys, subpixel, None))
-        except ValueError as error:
-            rows.append((None, None, None, str(error)))
-    return pd.DataFrame(rows, columns=["xs", "ys", "subpixel", "problem"])
+def _field(data: np.ndarray, at: np.ndarray, kind: str) -> np.ndarray:
+    """A big-endian number at every offset of the buffer."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(data[at[:, None] + np.arange(size)]).view(kind).ravel()
+
+
+def decode_columns(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All files of one buffer at once: ``problem`` per file ("" for none), ``subpixel``, ``count``, and all xs and ys.
+
+    Coordinates are as stored (whole ones made absolute), one file's after another's; files with a problem have none.
+    The first failing rule names the problem.
+    """
+    n = len(starts)
+    problem = np.full(n, "", object)
+
+    def settle_problem(which: np.ndarray, name: str) -> None:
+        problem[which[problem[which] == ""]] = name
+
+    settle_problem(np.flatnonzero(lengths == 0), "empty_file")
+    settle_problem(np.flatnonzero(lengths < ROI_HEADER), "not_an_imagej_roi")
+    known = np.flatnonzero(problem == "")
+    head = data[starts[known][:, None] + np.arange(ROI_HEADER)]
+    settle_problem(known[(head[:, :4] != np.frombuffer(ROI_MAGIC, np.uint8)).any(axis=1)], "not_an_imagej_roi")
+    settle_problem(known[head[:, 6] != ROI_POINT], "not_a_point_roi")
+
+    def number(at: int, kind: str) -> np.ndarray:
+        return np.ascontiguousarray(head[:, at:at + np.dtype(kind).itemsize]).view(kind).ravel().astype(np.int64)
+
+    page, second = number(56, ">i4"), number(60, ">i4")
+    with_second = np.flatnonzero((second > 0) & (second <= lengths[known] - 16))
+    for place in (8, 12):
+        page[with_second] = np.maximum(page[with_second], _field(data, starts[known[with_second]] + second[with_second] + place, ">i4"))
+    settle_problem(known[page > 1], "roi_refers_to_another_page")
+    count, subpixel = np.zeros(n, np.int64), np.zeros(n, bool)
+    count[known] = np.where(number(16, ">u2") > 0, number(16, ">u2"), number(18, ">i4"))
+    subpixel[known] = (number(50, ">u2") & ROI_SUBPIXEL_OPTION > 0) & (number(4, ">i2") >= ROI_SUBPIXEL_VERSION)
+    settle_problem(np.flatnonzero(count <= 0), "invalid_point_coordinates")
+    size = np.where(subpixel, 4, 2)
+    first = ROI_HEADER + np.where(subpixel, 4 * count, 0)
+    settle_problem(np.flatnonzero(first + 2 * count * size > lengths), "decode_error")
+
+    count[problem != ""] = 0
+    ends = np.cumsum(count)
+    owner = np.repeat(np.arange(n), count)
+    inside = np.arange(len(owner)) - (ends - count)[owner]
+    axes = []
+    for axis, corner in ((0, 10), (1, 8)):
+        at = starts[owner] + first[owner] + (axis * count[owner] + inside) * size[owner]
+        value, exact = np.empty(len(owner)), subpixel[owner]
+        value[exact] = _field(data, at[exact], ">f4")
+        base = np.zeros(n)
+        base[known] = number(corner, ">i2")
+        value[~exact] = _field(data, at[~exact], ">i2") + base[owner[~exact]]
+        axes.append(value)
+    broken = np.unique(owner[~(np.isfinite(axes[0]) & np.isfinite(axes[1]))])
+    settle_problem(broken, "invalid_point_coordinates")
+    kept = problem[owner] == ""
+    count[broken] = 0
+    return problem, subpixel, count, axes[0][kept], axes[1][kept]
+
+
+@F.arrow_udf(DECODED)
+def _decode(contents: pa.Array) -> pa.Array:
+    whole = contents.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:whole.offset + len(whole) + 1]
+    values = whole.buffers()[2]
+    data = np.frombuffer(values, np.uint8) if values is not None and values.size else np.zeros(0, np.uint8)
+    problem, subpixel, count, xs, ys = decode_columns(data, offsets[:-1], np.diff(offsets))
+    bad = problem != ""
+    places = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(places, pa.array(axis), mask=pa.array(bad)) for axis in (xs, ys)]
+    return pa.StructArray.from_arrays(
+        [*lists, pa.array(subpixel, mask=bad), pa.array(problem, pa.string(), mask=~bad)], names=["xs", "ys", "subpixel", "problem"])
 
 
 def scan_annotations(spark: SparkSession, root: str) -> DataFrame:
