@@ -4,7 +4,7 @@ Turns are marked by a template; control strings inside texts are escaped so that
 sums of turn costs cut a conversation into turn-aligned spans: the turns of a span lie within one stretch of the
 budget that the system turn and the history leave; a turn across the end of a stretch is a span of its own. Every
 window holds the system turn (if it came before), the turns of at most ``history`` cost before its span, and
-its span. Loss covers the assistant turns of the span; repeated turns are masked, so every assistant text is a
+its span. The cost of a turn is that of its formatted text, template and escapes included. Loss covers the assistant turns of the span; repeated turns are masked, so every assistant text is a
 target once.
 
 Prefix sums are made in blocks of turn numbers and history is found by an equality join on stretches, so a very long
@@ -43,18 +43,26 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def estimated_cost(text: Column) -> Column:
-    """Tokens of a turn taken as a quarter of its bytes and four for the template."""
-    return F.ceil(F.octet_length(text) / 4) + 4
+def piece_head(role: Column) -> Column:
+    return F.concat(F.lit(START), F.replace(escaped(role), F.lit("\n"), F.lit("\\\n")), F.lit("\n"))
 
 
-def turns(rows: DataFrame, cost: Callable[[Column], Column] = estimated_cost, block: int = BLOCK) -> DataFrame:
+def most_tokens(piece: Column) -> Column:
+    """Tokens a formatted turn can have at most in any byte-level vocabulary: every token has a byte of its own.
+
+    A window within a budget of this cost is within it for every such vocabulary; a caller who knows one passes a
+    closer cost that no turn exceeds.
+    """
+    return F.octet_length(piece)
+
+
+def turns(rows: DataFrame, cost: Callable[[Column], Column] = most_tokens, block: int = BLOCK) -> DataFrame:
     """``conv, pos, role, text, cost, before``: turns numbered from 0, and the cost of those before, per conversation."""
     plain = rows.select(
         F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    plain = plain.withColumn("cost", cost(F.col("text")).cast("long")).withColumn(
+    plain = plain.withColumn("cost", cost(F.concat(piece_head(F.col("role")), escaped(F.col("text")), F.lit(END))).cast("long")).withColumn(
         "block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))).cast("long"))
     here = W.partitionBy("conv", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(
         W.unboundedPreceding, W.currentRow)
@@ -70,7 +78,7 @@ def turns(rows: DataFrame, cost: Callable[[Column], Column] = estimated_cost, bl
 
 
 def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY,
-            cost: Callable[[Column], Column] = estimated_cost) -> DataFrame:
+            cost: Callable[[Column], Column] = most_tokens) -> DataFrame:
     """``conv, window, first, last, repeated, cost, text, targets``: formatted windows in order per conversation.
 
     ``first`` and ``last`` number the turns of the span, ``repeated`` counts the turns before it in the window, and
@@ -103,8 +111,7 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY,
         F.col("sys.cost").alias("cost"), F.lit(True).alias("again"))
 
     whole = own.unionByName(repeated).unionByName(kept)
-    head = F.concat(F.lit(START), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\\n")), F.lit("\n"))
-    whole = whole.withColumn("head", head).withColumn("body", escaped(F.col("text")))
+    whole = whole.withColumn("head", piece_head(F.col("role"))).withColumn("body", escaped(F.col("text")))
     piece = F.concat("head", "body", F.lit(END))
     inside = W.partitionBy("conv", "window").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = whole.withColumn("piece", piece).withColumn("till", F.sum(F.length("piece")).over(inside))
@@ -164,7 +171,7 @@ WITH given AS (
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 numbered AS (
   SELECT *, row_number() OVER o - 1 AS pos, sum(cost) OVER o - cost AS before FROM (
-    SELECT *, CAST(ceil(strlen(text) / 4.0) AS BIGINT) + 4 AS cost,
+    SELECT *, CAST(strlen(regexp_replace(replace(text, '\', '\\'), '{CONTROL}', '\1\\\2', 'g')) + strlen(role) AS BIGINT) + {len(START) + 1 + len(END)} AS cost,
       length(regexp_replace(replace(text, '\', '\\'), '{CONTROL}', '\1\\\2', 'g')) + length(role) + {len(START) + 1 + len(END)} AS chars
     FROM given)
   WINDOW o AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),

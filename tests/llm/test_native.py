@@ -77,18 +77,33 @@ def test_chat_reads_back(spark):
 def test_windows_keep_budget_history_and_system(spark):
     rows = hard_conversations()
     found = collections.defaultdict(list)
-    for row in chat.windows(conversations(spark, rows), budget=512, history=128).collect():
+    # Costs are bytes of formatted turns, about five for what was taken for a token before.
+    for row in chat.windows(conversations(spark, rows), budget=2_560, history=640).collect():
         found[row.conv].append(row)
     for conv, own in found.items():
         own.sort(key=lambda row: row.window)
         if conv in (2, 9):
-            assert all(row.cost <= 512 for row in own) and len(own) > 3
+            assert all(row.cost <= 2_560 for row in own) and len(own) > 3
             assert all(row.repeated > 0 for row in own[1:])
             assert own[0].repeated == 0
     assert all(row.text.startswith("<|im_start|>system\nbe kind<|im_end|>\n") for row in found[1])
     assert not chat.windows(conversations(spark, [])).collect()
 
 
+@pytest.mark.parametrize(("path", "budget", "history"), [("/root/testdata/sf0.001", 1024, 256), ("/root/testdata/sf0.01", 3000, 700)])
+def test_windows_keep_their_budget_in_true_tokens(spark, path, budget, history):
+    """Windows of more than one turn, counted with a public vocabulary; longer turns stand alone with their history."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    vocabulary = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = chat.windows(spark.read.parquet(f"{path}/conversations.parquet"), budget, history).collect()
+    several = [row for row in found if row.last > row.first]
+    assert several
+    for row in several:
+        assert len(vocabulary.encode(row.text, add_special_tokens=False).ids) <= row.cost <= budget
+
+
 # ------------------------------------------------------------------ URLs
 
 RULED = [
