@@ -57,12 +57,24 @@ def _own_nodes(own: DataFrame, *by: Column) -> DataFrame:
     return own.groupBy("image", *by).agg(F.array(*_node("digest", F.col("row_no"))).alias("own"), F.count(F.lit(1)).alias("rows"))
 
 
+def _turned() -> dict[str, tuple[Column, Column]]:
+    """Place and digest of a twin's line under each transform."""
+    row, upside = F.col("row_no").cast("int"), (F.col("height") - 1 - F.col("row_no")).cast("int")
+    plain, mirrored = F.col("plain"), F.col("mirrored")
+    return {"identity": (row, plain), "hflip": (row, mirrored), "vflip": (upside, plain), "rot180": (upside, mirrored)}
+
+
+def _whole_twins(other: DataFrame) -> DataFrame:
+    """``image, transform, twin``: digests of whole twins under each transform, combined in one pass without more rows."""
+    whole = other.groupBy("image").agg(*[F.array(*_node(digest, row)).alias(name) for name, (row, digest) in _turned().items()])
+    return whole.select("image", F.explode(F.array(*[F.struct(F.lit(name).alias("transform"), F.col(name).alias("twin"))
+                                                     for name in TRANSFORMS])).alias("_n")).select("image", "_n.*")
+
+
 def _twin_lines(other: DataFrame) -> DataFrame:
     """``image, row_no, transform, digest``: every line of the twin at its place under each transform."""
-    turned = (F.col("height") - 1 - F.col("row_no")).cast("int")
-    places = {"identity": ("row_no", "plain"), "hflip": ("row_no", "mirrored"), "vflip": (turned, "plain"), "rot180": (turned, "mirrored")}
-    at = F.explode(F.array(*[F.struct(F.lit(name).alias("transform"), (F.col(row) if isinstance(row, str) else row).cast("int").alias("row_no"),
-                                      F.col(digest).alias("digest")) for name, (row, digest) in places.items()]))
+    at = F.explode(F.array(*[F.struct(F.lit(name).alias("transform"), row.alias("row_no"), digest.alias("digest"))
+                             for name, (row, digest) in _turned().items()]))
     return other.select("image", at.alias("_at")).select("image", "_at.transform", "_at.row_no", "_at.digest")
 
 
@@ -88,7 +100,7 @@ def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
     names = F.explode(F.array(*map(F.lit, TRANSFORMS)))
     asked = both.select("image", "height", same_size.alias("same_size"), names.alias("transform"))
     own, other = leaf_digests(reference, candidate)
-    whole = _own_nodes(own).drop("rows").join(_twin_nodes(other).hint("merge"), "image").select(
+    whole = _own_nodes(own).drop("rows").join(_whole_twins(other).hint("merge"), "image").select(
         "image", "transform", (F.col("own") == F.col("twin")).alias("equal"))
     asked = settle(asked.join(whole, ["image", "transform"], "left").withColumn(
         "equal", F.col("same_size") & F.coalesce("equal", F.lit(False))), "raster_digests")
@@ -97,18 +109,20 @@ def row_agreement(reference: DataFrame, candidate: DataFrame, sizes: DataFrame,
         asked = asked.join(first, "image", "left").filter(
             F.col("_first").isNull() | (transform_rank(F.col("transform")) <= F.col("_first"))).drop("_first")
         asked = settle(asked, "raster_digests")
-    # Blocks of rasters that are not equal, then lines of blocks that are not equal.
-    unlike = asked.filter("same_size AND NOT equal").select("image", "transform")
-    images = unlike.select("image").distinct()
-    own, other = own.join(images, "image", "left_semi"), other.join(images, "image", "left_semi")
+    # Blocks of rasters that are not equal, then lines of blocks that are not equal. A raster of one block is that block.
+    unlike = asked.filter("same_size AND NOT equal").select("image", "transform", "height")
+    tall = unlike.filter(F.col("height") > block_rows)
+    images = tall.select("image").distinct()
     block = F.floor(F.col("row_no") / block_rows).alias("block")
-    blocks = settle(_own_nodes(own, block).join(_twin_nodes(other, block).hint("merge"), ["image", "block"]).join(
-        unlike, ["image", "transform"], "left_semi").select(
+    blocks = settle(_own_nodes(own.join(images, "image", "left_semi"), block).join(
+        _twin_nodes(other.join(images, "image", "left_semi"), block).hint("merge"), ["image", "block"]).join(
+        tall, ["image", "transform"], "left_semi").select(
         "image", "transform", "block", "rows", (F.col("own") == F.col("twin")).alias("equal")), "block_digests")
-    opened = blocks.filter("NOT equal")
+    opened = blocks.filter("NOT equal").select("image", "transform", "block").unionByName(
+        unlike.filter(F.col("height") <= block_rows).select("image", "transform", F.lit(0).cast("bigint").alias("block")))
     lines = own.withColumn("block", block).join(opened.select("image", "block").distinct(), ["image", "block"], "left_semi")
     met = _twin_lines(other).withColumn("block", block).join(
-        opened.select("image", "transform", "block"), ["image", "transform", "block"], "left_semi").withColumnRenamed("digest", "_d")
+        opened, ["image", "transform", "block"], "left_semi").withColumnRenamed("digest", "_d")
     alike = lines.join(met.hint("merge"), ["image", "row_no"]).filter(F.col("digest") == F.col("_d"))
     counted = blocks.filter("equal").groupBy("image", "transform").agg(F.sum("rows").alias("n")).unionByName(
         alike.groupBy("image", "transform").agg(F.count(F.lit(1)).alias("n"))).groupBy("image", "transform").agg(F.sum("n").alias("n"))
