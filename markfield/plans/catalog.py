@@ -13,6 +13,7 @@ from markfield.functions import geometry as G
 from markfield.functions import names as N
 from markfield.operators import agreement as A
 from markfield.operators import dedup as D
+from markfield.operators import findings as V
 from markfield.operators import grids as C
 from markfield.operators import mapping as M
 from markfield.operators import report as R
@@ -540,6 +541,23 @@ def patch_shapes(spark, sf):
         F.octet_length("pixels") != S.PATCH * S.PATCH * 3).select("point_no")
 
 
+@query
+def damaged_samples(spark, sf):
+    """First three problems of each check and their number, over samples with cut, lost and doubled patches, foreign labels and moved areas."""
+    point = F.col("point_no")
+    whole = settle(_patches(spark, sf).select(point.cast("string").alias("patch_id"), "point_no", "fine_label", "pixels"), "patches")
+    split = F.when(point % 97 == 0, "test").when(point % 50 % 2 == 0, "train").otherwise("val")
+    samples = whole.select(
+        "patch_id", F.concat(F.lit("patches/"), "patch_id").alias("path"), F.sha2("pixels", 256).alias("sha256"),
+        F.when(point % 17 != 3, F.col("fine_label")).when(point % 2 == 0, F.concat(F.lit("not_"), "fine_label")).alias("fine_label"),
+        (point % 50).cast("string").alias("area"), split.alias("split"))
+    cut = F.when(point % 13 == 5, F.substring("pixels", 1, S.PATCH * S.PATCH * 3 - 1)).otherwise(F.col("pixels"))
+    copies = F.when(point % 19 == 4, 0).when(point % 23 == 6, 2).otherwise(1)
+    patches = whole.withColumn("pixels", cut).withColumn("n", F.explode(F.array_repeat(F.lit(1), copies)))
+    judged = settle(V.judged_samples(samples, patches, S.PATCH, EVENT_LABELS, ["patch_id", "path"]), "judged")
+    return V.first_problems(V.sample_problems(judged).unionByName(V.area_problems(judged)), 3)
+
+
 @query
 def mean_patch(spark, sf):
     return R.mean_patch(_patches(spark, sf)).select("fine_label", F.col("pos").cast("bigint").alias("pos"), F.bround("mean", 6).alias("mean"))

@@ -434,6 +434,17 @@ QUERIES: dict[str, str] = {
         ON m.image = p.image GROUP BY p.image, p.x, p.y""",
     "crop_patches": "SELECT point_no, pixels FROM patches",
     "patch_shapes": "SELECT point_no FROM patches WHERE point_no % 13 = 5",
+    "damaged_samples": """
+        SELECT "check", CAST(rn AS INT) AS rank, n AS problems, detail FROM (
+          SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY place) AS rn, count(*) OVER (PARTITION BY "check") AS n FROM (
+            SELECT 'patches' AS "check", 'patches/' || point_no AS place, 'bad patch patches/' || point_no AS detail FROM patches
+            WHERE point_no % 13 = 5 OR point_no % 19 = 4 OR point_no % 23 = 6
+            UNION ALL SELECT 'labels', 'patches/' || point_no, 'unknown label ' || CASE WHEN point_no % 2 = 0 THEN 'not_' || fine_label ELSE 'null' END
+            FROM patches WHERE point_no % 17 = 3
+            UNION ALL SELECT 'splits', area, area || ' (' || min(split) || ', ' || max(split) || ')' FROM (
+              SELECT CAST(point_no % 50 AS VARCHAR) AS area,
+                     CASE WHEN point_no % 97 = 0 THEN 'test' WHEN point_no % 50 % 2 = 0 THEN 'train' ELSE 'val' END AS split FROM patches)
+            GROUP BY area HAVING count(DISTINCT split) > 1)) WHERE rn <= 3""",
     "mean_patch": "SELECT fine_label, pos, round_even(mean, 6) AS mean FROM means",
     "stretched_mean": """
         SELECT m.fine_label, CAST(pos AS INT) AS pos, CAST(floor(greatest(0, least(255, (mean - lo) * 255.0 / greatest(hi - lo, 1e-6)))) AS INT) AS value

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from markfield.config import SCHEMA_NAME, SCHEMA_VERSION, TRANSFORMS, Settings, Taxonomy
 from markfield.operators import report as R
 from markfield.operators.dedup import point_lineage
+from markfield.operators.findings import digest_text, row_digest
 from markfield.sources.files import file_digests, listing
 from markfield.sources.ranges import RANGE_BYTES, range_digests
 
 ROWS_PER_FILE = 4096
+PATCH_SCHEMA = "patch_id string, sha256 string, pixels binary, split string, fine_label string"
 
 # Fixed column order of the published tables.
 POINT_COLUMNS = [
@@ -67,8 +69,7 @@ def write_json(rows: DataFrame, target: str) -> None:
 
 
 def read_patches(spark: SparkSession, output: str, size: int) -> DataFrame:
-    return spark.read.schema("patch_id string, sha256 string, pixels binary, split string, fine_label string").parquet(
-        f"{output}/patches_{size}")
+    return spark.read.schema(PATCH_SCHEMA).parquet(f"{output}/patches_{size}")
 
 
 def write_patches(patches: DataFrame, output: str, size: int) -> DataFrame:
@@ -96,10 +97,7 @@ def published_files(files: DataFrame) -> DataFrame:
 
 def table_digest(rows: DataFrame, columns: list[str]) -> str:
     """Digest of a set of rows that does not depend on their order or partitions."""
-    text = F.to_json(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]))
-    number = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    total = rows.select(number.alias("n")).agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("c")).head()
-    return f"{total.c}-{total.s or 0}"
+    return digest_text(rows, row_digest(columns))[0]
 
 
 def grouped_totals(points: DataFrame, samples: DataFrame, files: DataFrame) -> dict[str, dict]:
