@@ -6,8 +6,9 @@ alone, one that broke off is overwritten, so a batch counts once however often i
 batches; :meth:`Rollup.compact` folds them into one base that remembers their ids.
 
 Changes are combined before the shuffle, so a hot source or language moves one row per task. Null sources and
-languages are keys of their own; null text counts as empty; repeated rows are documents of their own; keys whose
-documents and tokens are both zero are left out of the totals. Extra columns are ignored; no batches give no totals.
+languages are keys of their own; null text counts as empty; repeated rows are documents of their own until copies of
+equal texts are deleted, whatever their ids; keys whose documents and tokens are both zero are left out of the totals.
+Extra columns are ignored; no batches give no totals.
 """
 
 from __future__ import annotations
@@ -142,17 +143,29 @@ def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def kept(counts: DataFrame) -> DataFrame:
+    """One row of each text: that of the least id (a null id comes last), then of the least source, language and counts.
+
+    Copies are combined before the shuffle and only one row a text is put out, so a text that a third of all rows share
+    moves one row a task; rows alike in every column count as copies of each other.
+    """
+    rest = [name for name in counts.columns if name not in ("doc_id", "_digest")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_unnamed"), "doc_id", *rest)).alias("_kept")
+    return counts.groupBy("_digest").agg(first).select("_kept.*").drop("_unnamed")
+
+
 def history(docs: DataFrame) -> list[tuple[str, DataFrame]]:
-    """Batches a corpus goes through: all documents come in, copies of equal texts are deleted (the least id stays),
-    counts are revised where white space was collapsed, and a second tokenizer version counts what is left."""
+    """Batches a corpus goes through: all documents come in, copies of equal texts are deleted (one stays, see :func:`kept`),
+    counts are revised where white space was collapsed, and a second tokenizer version counts what is left.
+
+    The deletes are all documents less the ones that stay: a sum, so no row looks its text up.
+    """
     rows = docs.withColumn("_digest", F.sha2(whole(), 256))
     counts = counted(rows, [BYTE_BPE, MULTI_BPE], {"raw": whole(), "clean": collapsed(whole())},
                      ["doc_id", "source", "lang", "_digest"])
-    first = counts.groupBy("_digest").agg(F.min("doc_id").alias("_first"))
-    told = counts.join(first, "_digest").withColumn("_copy", ~F.col("doc_id").eqNullSafe(F.col("_first")))
-    left = told.filter(~F.col("_copy"))
+    left = settle(kept(counts), "kept-counts")
     return [("0-insert", inserted(counts, BYTE_BPE, "raw_0")),
-            ("1-delete", deleted(told.filter("_copy"), BYTE_BPE, "raw_0")),
+            ("1-delete", deleted(counts, BYTE_BPE, "raw_0").unionByName(inserted(left, BYTE_BPE, "raw_0"))),
             ("2-revise", revised(left.filter("raw_0 <> clean_0"), BYTE_BPE, "raw_0", "clean_0")),
             ("3-version", inserted(left, MULTI_BPE, "clean_1"))]
 

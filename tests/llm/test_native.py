@@ -226,17 +226,42 @@ def test_batch_that_broke_off_is_written_again(spark):
     assert [row.tokens for row in rollup.totals().collect()] == [10]
 
 
-def test_history_of_hard_rows(spark):
-    rows = [row for row in hard_rows() if row[0] is not None and row[0] != 6] + [(6, "two  spaces"), (20, "two  spaces")]
+def totals_of(spark, docs):
     rollup = token_counts.Rollup(spark, scratch(spark, "rollup"))
-    for batch, deltas in token_counts.history(documents(spark, rows)):
+    for batch, deltas in token_counts.history(docs):
         rollup.apply(batch, deltas)
-    got = {row.tokenizer: (row.documents, row.tokens) for row in rollup.totals().collect()}
-    left = {}
-    for doc_id, text in sorted(rows):
-        left.setdefault(text or "", doc_id)
-    clean = [re.sub(r"[ \t\n\x0b\f\r]+", " ", text).strip(" ") for text in left]
-    for name in (token_counts.BYTE_BPE, token_counts.MULTI_BPE):
-        encode = token_counts.encoder(name)
-        assert got[name] == (len(left), sum(len(encode(text)) for text in clean))
-    assert exact_dedup.drop_exact(documents(spark, rows)).count() == len(left)
+    return {tuple(row)[:3]: (row.documents, row.tokens) for row in rollup.totals().collect()}
+
+
+def clean(text):
+    return re.sub(r"[ \t\n\x0b\f\r]+", " ", text or "").strip(" ")
+
+
+def expected_totals(rows):
+    """By brute force from ``doc_id, text, source, lang``: of equal texts the first by id stays, null ids last."""
+    left, want = {}, collections.Counter()
+    for doc_id, text, source, lang in rows:
+        place = (doc_id is None, doc_id or 0, source is not None, source or "", lang is not None, lang or "")
+        left[text or ""] = min(left.get(text or "", (place, source, lang)), (place, source, lang), key=lambda row: row[0])
+    documents = collections.Counter()
+    for text, (_, source, lang) in left.items():
+        for name in (token_counts.BYTE_BPE, token_counts.MULTI_BPE):
+            documents[source, lang, name] += 1
+            want[source, lang, name] += len(token_counts.encoder(name)(clean(text)))
+    return {key: (n, want[key]) for key, n in documents.items()}
+
+
+def test_history_of_all_hard_rows(spark):
+    rows = hard_rows() + [(6, "two  spaces"), (20, "two  spaces")]
+    assert totals_of(spark, documents(spark, rows)) == expected_totals([(*row, "web", "en") for row in rows])
+    assert exact_dedup.drop_exact(documents(spark, rows)).count() == len({text or "" for _, text in rows})
+    assert totals_of(spark, documents(spark, [])) == {}
+
+
+def test_history_of_repeated_and_unnamed_rows(spark):
+    rows = [(5, "same  words", "b", "en"), (5, "same  words", "b", "en"), (5, "same  words", "a", None), (5, "same  words", "a", "en"),
+            (9, "same  words", None, "en"), (None, "same  words", "a", "en"), (None, "nobody's", "c", "de"), (None, "nobody's", "c", "de"),
+            (None, "nobody's", None, "de"), (None, None, "d", "en"), (3, "", "e", "en"), (3, None, "d", "fr"), (4, "alone", "e", "en")]
+    got = totals_of(spark, spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))
+    assert got == expected_totals(rows)
+    assert sum(n for (_, _, name), (n, _) in got.items() if name == token_counts.BYTE_BPE) == 4
