@@ -135,11 +135,13 @@ def running_total(rows: DataFrame, keys: Sequence[str], order: str, value: str,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``; only a local master may leave it unset."""
     context = spark.sparkContext
     folder = (spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
               or context.getCheckpointDir())
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="spark-markfield-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
