@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markfield.operators.skew import settle, work_partitions
-from markfield.sources.files import open_file
+from markfield.operators.skew import settle
+from markfield.sources.files import dealt, open_file
 
 RANGE_BYTES = 64 << 20
 FAN = 1_024
@@ -48,8 +48,8 @@ def range_digests(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                 found.append(state.hexdigest())
             yield batch.drop(columns="path").assign(sha256=found)
 
-    dealt = byte_ranges(files, range_bytes).repartition(work_partitions(files.sparkSession, files), "relpath", "range_no")
-    return settle(dealt.mapInPandas(digest, "relpath string, range_no bigint, start bigint, length bigint, sha256 string"), "range_digests")
+    ranges = dealt(byte_ranges(files, range_bytes), files, "range_no")
+    return settle(ranges.mapInPandas(digest, "relpath string, range_no bigint, start bigint, length bigint, sha256 string"), "range_digests")
 
 
 def tree_roots(ranges: DataFrame, fan: int = FAN) -> DataFrame:
