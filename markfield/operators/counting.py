@@ -1,7 +1,7 @@
 """How many points lie below and left of given corners: offline dominance counting over groups of any size.
 
 ``dominated`` answers, for every asked corner ``x, y`` of a key, how many points of the key have a smaller ``x``, a
-smaller ``y``, and both. Keys of at most ``limit`` points are packed into tasks, where a merge-sort tree (sorted blocks
+smaller ``y``, and both; a point may stand for several (``weight``). Keys of at most ``limit`` points are packed into tasks, where a merge-sort tree (sorted blocks
 of every power of two) counts for all asks at once: a prefix of the ``x`` order is one block per bit, and each block one
 binary search.
 
@@ -34,27 +34,31 @@ FOUND = ["total", "below_x", "below_y", "below"]
 # ------------------------------------------------------------------ inside a task
 
 class Prefixes:
-    """Counts of values below a bound among the first k of a sequence."""
+    """Weights of values below a bound among the first k of a sequence."""
 
-    def __init__(self, values: np.ndarray) -> None:
+    def __init__(self, values: np.ndarray, weights: np.ndarray | None = None) -> None:
+        weights = np.ones(len(values), np.int64) if weights is None else weights
         self.span = int(values.max(initial=0)) + 2
         size = 1 << max(len(values) - 1, 0).bit_length()
-        padded = np.concatenate([values, np.full(size - len(values), self.span - 1)]).astype(np.int64)
+        keys = np.concatenate([values, np.full(size - len(values), self.span - 1)]).astype(np.int64)
+        weights = np.concatenate([weights, np.zeros(size - len(values), np.int64)])
         self.levels = []
         while True:
             width = 1 << len(self.levels)
-            padded = np.sort(padded.reshape(-1, width), axis=1).ravel()
-            self.levels.append(padded + np.repeat(np.arange(size // width), width) * self.span)
+            lifted = keys + np.repeat(np.arange(size // width), width) * self.span
+            order = np.argsort(lifted, kind="stable")
+            keys, weights = keys[order], weights[order]
+            self.levels.append((lifted[order], np.concatenate([[0], np.cumsum(weights)])))
             if width >= size:
                 break
 
     def below(self, first: np.ndarray, bound: np.ndarray) -> np.ndarray:
         found = np.zeros(len(first), np.int64)
         bound = np.minimum(bound, self.span - 1)
-        for level, keys in enumerate(self.levels):
+        for level, (keys, sums) in enumerate(self.levels):
             some = np.flatnonzero(first >> level & 1)
             block = (first[some] >> (level + 1)) << 1
-            found[some] += np.searchsorted(keys, block * self.span + bound[some]) - (block << level)
+            found[some] += sums[np.searchsorted(keys, block * self.span + bound[some])] - sums[block << level]
         return found
 
 
@@ -64,7 +68,7 @@ def ranked(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return codes[:len(one)], codes[len(one):], len(known)
 
 
-def counted(keys: np.ndarray, x: np.ndarray, y: np.ndarray, ask_keys: np.ndarray, ask_x: np.ndarray,
+def counted(keys: np.ndarray, x: np.ndarray, y: np.ndarray, weights: np.ndarray, ask_keys: np.ndarray, ask_x: np.ndarray,
             ask_y: np.ndarray) -> tuple[np.ndarray, ...]:
     """Total, below in x, below in y and below in both for every ask; keys are whole numbers."""
     def places(own: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -74,12 +78,14 @@ def counted(keys: np.ndarray, x: np.ndarray, y: np.ndarray, ask_keys: np.ndarray
         return order, np.searchsorted(key[order], ask_keys * span), np.searchsorted(key[order], ask_keys * span + bounds), codes
 
     order, start, end_x, _ = places(x, ask_x)
-    _, _, end_y, codes = places(y, ask_y)
+    order_y, _, end_y, codes = places(y, ask_y)
     bounds = ranked(y, ask_y)[1]
-    tree = Prefixes(codes[order])
+    tree = Prefixes(codes[order], weights[order])
     both = tree.below(end_x, bounds) - tree.below(start, bounds)
     after = np.searchsorted(keys[order], ask_keys, side="right")
-    return after - start, end_x - start, end_y - start, both
+    # A key's points start at the same place in both orders, and so do the sums before them.
+    by_x, by_y = (np.concatenate([[0], np.cumsum(weights[at])]) for at in (order, order_y))
+    return by_x[after] - by_x[start], by_x[end_x] - by_x[start], by_y[end_y] - by_y[start], both
 
 
 # ------------------------------------------------------------------ keys that fit a task
@@ -102,13 +108,14 @@ def _packed(points: DataFrame, asks: DataFrame, keys: Sequence[str], limit: int)
         left, right = left.withColumn("part", F.lit(0)), right.withColumn("part", F.lit(0))
     bucket = F.pmod(F.xxhash64("key", "part"), F.lit(buckets)).cast("int")
     place = F.concat_ws("\x1e", "key", "part")
-    left = left.select(bucket.alias("p_bucket"), place.alias("p_key"), F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"))
+    left = left.select(bucket.alias("p_bucket"), place.alias("p_key"), F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"),
+                       "weight")
     right = right.select(bucket.alias("bucket"), place.alias("key"), "ask", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
 
     def count(given: pa.Table, asked: pa.Table) -> pa.Table:
         together = pa.chunked_array([*given.column("p_key").chunks, *asked.column("key").chunks], pa.string()).dictionary_encode()
         codes = np.concatenate([chunk.indices.to_numpy() for chunk in together.unify_dictionaries().chunks] or [np.zeros(0)]).astype(np.int64)
-        found = counted(codes[:len(given)], given.column("px").to_numpy(), given.column("py").to_numpy(),
+        found = counted(codes[:len(given)], given.column("px").to_numpy(), given.column("py").to_numpy(), given.column("weight").to_numpy(),
                         codes[len(given):], asked.column("x").to_numpy(), asked.column("y").to_numpy())
         return pa.table({"ask": asked.column("ask"), **dict(zip(FOUND, found))})
 
@@ -119,7 +126,7 @@ def _packed(points: DataFrame, asks: DataFrame, keys: Sequence[str], limit: int)
 # ------------------------------------------------------------------ ranks of large keys
 
 def _with_ranks(events: DataFrame, keys: Sequence[str], value: str, rank: str) -> DataFrame:
-    """``events`` with how many points of their key come before them by ``value``; an ask stands before equal points."""
+    """``events`` with how many points of their key come before them by ``value``; an ask (0 points) stands before equal points."""
     keys = list(keys)
     order = [*keys, value, "point", "no"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema.fields), "_part bigint", "_local bigint"])
@@ -157,7 +164,7 @@ def _with_ranks(events: DataFrame, keys: Sequence[str], value: str, rank: str) -
 def _corners(points: DataFrame, asks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys, bx, by, base``: points in earlier column blocks and earlier row blocks, for every asked pair of blocks."""
     keys = list(keys)
-    cells = points.groupBy(*keys, "bx", "by").agg(F.count(F.lit(1)).alias("n"))
+    cells = points.groupBy(*keys, "bx", "by").agg(F.sum("point").alias("n"))
     cells = cells.select(*(F.col(key).alias(f"p_{key}") for key in keys), F.col("bx").alias("px"), F.col("by").alias("py"), "n")
     asked = asks.select(*keys, "bx", "by").distinct()
 
@@ -176,15 +183,15 @@ def _corners(points: DataFrame, asks: DataFrame, keys: Sequence[str]) -> DataFra
 def _by_ranks(points: DataFrame, asks: DataFrame, keys: Sequence[str], sizes: DataFrame, limit: int) -> DataFrame:
     keys = list(keys)
     block = F.greatest(F.lit(limit), F.ceil(F.col("total") / BLOCKS)).cast("bigint")
-    events = points.select(*keys, "x", "y", F.lit(1).alias("point"), F.monotonically_increasing_id().alias("no")).unionByName(
-        asks.select(*keys, "x", "y", F.lit(0).alias("point"), F.col("ask").alias("no")))
+    events = points.select(*keys, "x", "y", F.col("weight").alias("point"), F.monotonically_increasing_id().alias("no")).unionByName(
+        asks.select(*keys, "x", "y", F.lit(0).cast("bigint").alias("point"), F.col("ask").alias("no")))
     placed = _with_ranks(_with_ranks(events, keys, "x", "rx"), keys, "y", "ry").drop("x", "y")
     placed = placed.join(sizes, keys).withColumn("_block", block)
     placed = settle(placed.withColumns({"bx": F.floor(F.col("rx") / F.col("_block")), "by": F.floor(F.col("ry") / F.col("_block"))}), "ranks")
-    given, asked = placed.filter("point = 1"), placed.filter("point = 0").withColumnRenamed("no", "ask")
+    given, asked = placed.filter("point > 0"), placed.filter("point = 0").withColumnRenamed("no", "ask")
 
     def inside(rows: DataFrame, own: str, x: str) -> DataFrame:
-        return rows.select(*keys, F.col(own).alias("_own"), F.col(x).alias("x"), F.col("ry").alias("y"), *(["ask"] if "ask" in rows.columns else []))
+        return rows.select(*keys, F.col(own).alias("_own"), F.col(x).alias("x"), F.col("ry").alias("y"), "ask" if "ask" in rows.columns else F.col("point").alias("weight"))
 
     parts = [_packed(inside(given, own, x), inside(asked, own, x), [*keys, "_own"], limit).select("ask", "below")
              for own, x in (("bx", "rx"), ("by", "bx"))]
@@ -197,14 +204,17 @@ def _by_ranks(points: DataFrame, asks: DataFrame, keys: Sequence[str], sizes: Da
 
 
 def dominated(points: DataFrame, asks: DataFrame, keys: Sequence[str], *, limit: int = LIMIT) -> DataFrame:
-    """``ask, total, below_x, below_y, below`` of every row of ``asks`` (``keys, ask, x, y``) among ``points`` (``keys, x, y``).
+    """``ask, total, below_x, below_y, below`` of every row of ``asks`` (``keys, ask, x, y``) among ``points`` (``keys, x, y``
+    and, where a row stands for several points, their number ``weight``).
 
     Keys are not null, ``ask`` is a distinct whole number; corners may be infinite. Both tables are read several times,
     so they should be settled. ``limit`` changes the work, never the result.
     """
     keys = list(keys)
-    large = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("total")).filter(F.col("total") > limit)
-    large = settle(large, "large_keys")
+    if "weight" not in points.columns:
+        points = points.withColumn("weight", F.lit(1).cast("bigint"))
+    large = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("total")).filter(F.col("rows") > limit)
+    large = settle(large.drop("rows"), "large_keys")
     number = large.count()
     if not number:
         return _packed(points, asks, keys, limit)

@@ -146,10 +146,15 @@ def _corners(rows: DataFrame, half: float) -> DataFrame:
 
 
 def _dense_counts(near: DataFrame, half: float, names: dict[str, str], limit: int) -> DataFrame:
-    """Counts ``image, point_id, ...`` of the zone's points for one box size, from corners counted in nine cells."""
-    cells = near.select("image", "point_id", "fine_label", "x", "y", "zone", F.floor(F.col("x") / half).cast("bigint").alias("cx"),
-                        F.floor(F.col("y") / half).cast("bigint").alias("cy"))
-    points = settle(cells.withColumn("no", F.monotonically_increasing_id()), "numbered_points")
+    """Counts ``image, point_id, ...`` of the zone's points for one box size, from corners counted in nine cells.
+
+    Points of one label at one place have the same counts, so a place is one row with its number of points.
+    """
+    place = ["image", "x", "y", "fine_label"]
+    places = near.filter(F.col("fine_label").isNotNull()).groupBy(*place).agg(
+        F.count(F.lit(1)).alias("weight"), F.bool_or("zone").alias("zone"))
+    cells = places.select("*", F.floor(F.col("x") / half).cast("bigint").alias("cx"), F.floor(F.col("y") / half).cast("bigint").alias("cy"))
+    points = settle(cells.withColumn("no", F.monotonically_increasing_id()), "numbered_places")
     asking = points.filter("zone")
     # A corner in a cell without points counts nothing.
     known = points.select(*CELL).distinct()
@@ -166,8 +171,10 @@ def _dense_counts(near: DataFrame, half: float, names: dict[str, str], limit: in
         F.sum(F.when(~F.col("same"), F.col("sign") * taken).otherwise(0)).alias("all"))
     # A point lies inside its own box.
     values = {"same": F.col("same") - 1, "other": F.col("all") - F.col("same")}
-    return asking.select("no", "image", "point_id").join(found.hint("merge"), "no").select(
-        "image", "point_id", *[values[k].alias(v) for k, v in names.items()])
+    counts = asking.select("no", *place).join(found.hint("merge"), "no").select(
+        *place, *[values[k].alias(v) for k, v in names.items()])
+    return lookup_join(near.filter("zone").select("point_id", *place), settle(counts, "place_counts"), place, ["point_id"]).select(
+        "image", "point_id", *names.values())
 
 
 def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0) -> DataFrame:
