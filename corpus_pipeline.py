@@ -32,7 +32,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (five-word shingles, Jaccard 0.8 or more).
 
-    The stage bears the operator's name, but finds its pairs by the exact shingle join, not by fingerprints.
+    Fingerprints and BK-trees give the first links, checked on whole texts; the exact shingle join finds those they miss.
     """
     return simhash.drop_near(docs)
 

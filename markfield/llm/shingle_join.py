@@ -218,12 +218,22 @@ def crossing_links(members: DataFrame, known: DataFrame, texts: DataFrame, width
     return dealt.select("shard", "key", "root", "hashes").groupBy("shard").applyInArrow(run, "a long, b long")
 
 
-def similar_links(texts: DataFrame, width: int, similarity: float, block: int = BLOCK) -> DataFrame:
-    """Links ``a, b`` that give the components of all pairs of ``key, text`` with Jaccard >= ``similarity``."""
+def similar_links(texts: DataFrame, width: int, similarity: float, block: int = BLOCK, known: DataFrame | None = None) -> DataFrame:
+    """Links ``a, b`` that give the components of all pairs of ``key, text`` with Jaccard >= ``similarity``.
+
+    Pairs inside a component of ``known`` links, which hold on the whole sets, are not checked again.
+    """
     heads = prefixes(texts, width, similarity, frequent_tokens(texts, width, similarity))
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = settle(proposals(heads.repartition(tasks, "token").sortWithinPartitions("token", "key"), similarity), "proposed")
-    known = settle(verified(settle(found.filter("not hot").select("a", "b").distinct(), "pairs"), texts, width, similarity), "links")
+    pairs = found.filter("not hot").select("a", "b").distinct()
+    if known is not None:
+        roots = components(known)
+        for end in ("a", "b"):
+            pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+        pairs = pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    checked = verified(settle(pairs, "pairs"), texts, width, similarity)
+    known = settle(checked if known is None else checked.union(known), "links")
     more = crossing_links(found.filter("hot").select(F.col("a").alias("token"), F.col("b").alias("key")), known, texts,
                           width, similarity, block)
     return known if more is None else settle(known.union(more), "all-links")

@@ -6,7 +6,8 @@ Hamming distance to the parent and a search follows only the edges within the ra
 trees travel to the tasks by a shuffle on the shard key, because the whole index grows with the corpus and has
 no bound to broadcast under. :func:`pigeonhole` is exact: with ``radius`` differing bits at least one choice of blocks
 agrees. The number of blocks follows the counted nodes, so shards stay small; the links found are the same for any
-choice. Near-copies of whole texts (:func:`drop_near`) are found exactly in ``shingle_join``.
+choice. Near-copies of whole texts (:func:`drop_near`) come from such links, checked on the whole shingle sets; an exact
+join (``shingle_join``) follows for pairs that fingerprints miss.
 
 A shard gives only links that join what is not yet joined inside it (and, on request, each member's nearest),
 so a dense group gives rows in proportion to its members. Shards above ``SHARD`` members are parted, and every pair
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from markfield.llm.common import parts_for, settle, slices, small_side, table, whole
 from markfield.llm.components import components
 from markfield.llm.exact_dedup import located
-from markfield.llm.shingle_join import similar_links
+from markfield.llm.shingle_join import similar_links, verified
 
 RADIUS = 4
 SHARD = 20_000
@@ -299,17 +300,28 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIDTH, SIMILARITY = 5, 0.8
 
 
+def fingerprint_links(texts: DataFrame, width: int, similarity: float, radius: int = RADIUS) -> DataFrame:
+    """``a, b`` of ``key, text``: links of fingerprints over shingle sets, found in BK-trees, that hold on the whole sets."""
+    rows = fingerprints(texts.withColumnRenamed("key", "id"), ["id"], recipes=(("fp", width, 1, True),)).select(
+        "id", F.col("fp")[0].alias("fp"))
+    nodes = settle(rows.groupBy("fp").agg(F.min("id").alias("low")), "nodes")
+    near = links(nodes.select(F.col("low").alias("key"), F.array("fp").alias("fp")), radius, pigeonhole(radius, nodes.count()))
+    equal = rows.join(nodes, "fp").filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    return settle(verified(settle(near.union(equal).distinct(), "fingerprint-pairs"), texts, width, similarity), "fingerprint-links")
+
+
 def near_links(rows: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """``key, file, row`` of located documents, and links that give the components of all pairs whose five-word
     shingle sets have Jaccard >= ``similarity``.
 
-    Fingerprints miss such pairs (a block edit changes far more bits than scattered words), so these are found exactly.
+    Texts whose fingerprints link are compared first. Fingerprints miss some pairs (a block edit changes far more bits
+    than scattered words); these are found by an exact join, which leaves out what the first links have united.
     """
     files = settle(rows.select("file").distinct().coalesce(1).withColumn("number", F.monotonically_increasing_id()), "files")
     keyed = rows.join(small_side(files, files.count(), BROADCAST_ROWS), "file")
     key = F.shiftleft("number", 40).bitwiseOR(F.col("row")).alias("key")
     texts = keyed.select(key, whole(F.col("doc").getField(text_col)).alias("text"))
-    return keyed.select(key, "file", "row"), similar_links(texts, WIDTH, similarity)
+    return keyed.select(key, "file", "row"), similar_links(texts, WIDTH, similarity, known=fingerprint_links(texts, WIDTH, similarity))
 
 
 def drop_near(docs: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -190,3 +191,20 @@ def test_near_copies_with_block_edits_go(spark):
     kept = {row.doc_id for row in simhash.drop_near(documents(spark, rows)).select("doc_id").collect()}
     alike = [pair for pair, value in jaccards([text for _, text in rows]).items() if value >= 0.8]
     assert alike and not [pair for pair in alike if kept.issuperset(pair)]
+
+
+def test_near_copies_come_from_fingerprints_first(spark, monkeypatch):
+    seen = []
+
+    def only_known(texts, width, similarity, known=None):
+        seen.extend(known.collect())
+        return known
+
+    monkeypatch.setattr(simhash, "similar_links", only_known)
+    base = [f"word{n}" for n in range(900)]
+    near, far = [*base[:450], "changed", *base[451:]], [f"other{n}" for n in range(900)]
+    docs = spark.createDataFrame([(n, " ".join(words)) for n, words in enumerate((base, near, far))], "doc_id long, text string")
+    path = tempfile.mkdtemp(prefix="spark-") + "/docs"
+    docs.coalesce(1).write.parquet(path)
+    kept = [r.doc_id for r in simhash.drop_near(spark.read.parquet(path)).select("doc_id").collect()]
+    assert len(seen) == 1 and sorted(kept) == [0, 2]
