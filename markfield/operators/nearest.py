@@ -9,19 +9,22 @@ these a point is useless if each of eight cones around it holds another point of
 direction, that one is nearer. Only the outline of a dense place is left, found per Arrow batch before the shuffle. A
 round's cells with many pixels or points are dealt into parts; distances of parts are reduced to a minimum, and inside
 a part halves of the pixels' box keep only the points that can be nearest to it. No table of pairs is made.
+
+Most groups are small, so tasks get them sorted and one after another, many in an Arrow batch, instead of one by one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markfield.operators.neighbors import _spread_cells
-from markfield.operators.skew import BROADCAST_KEYS, lookup_join, settle
+from markfield.operators.skew import BROADCAST_KEYS, lookup_join, row_partitions, settle
 
 #: Side of the first cells and its growth per round, powers of two so that cells are exact.
 SIDE, GROWTH = 256, 8
@@ -84,6 +87,41 @@ def outline(cell: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sort(first[kept])
 
 
+def _starts(rows: pa.Table | pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
+    """Where the groups of sorted rows begin, the first place included; nulls are equal."""
+    n = rows.num_rows
+    new = np.zeros(max(n - 1, 0), bool)
+    for key in keys:
+        column = rows.column(key)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        before, after = column.slice(0, n - 1), column.slice(1)
+        unlike = pc.fill_null(pc.not_equal(before, after), False).to_numpy(zero_copy_only=False)
+        new |= unlike | (before.is_null().to_numpy(zero_copy_only=False) != after.is_null().to_numpy(zero_copy_only=False))
+    return np.concatenate([[0], np.flatnonzero(new) + 1]) if n else np.zeros(0, np.int64)
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted batches as tables of whole groups, with the places where groups begin; a row is copied once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = int(_starts(batch, keys)[-1])
+        if not last and held:
+            edge = pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)])
+            if len(_starts(edge, keys)) == 1:
+                held.append(batch)
+                continue
+        whole = [*held, batch.slice(0, last)]
+        if sum(part.num_rows for part in whole):
+            rows = pa.Table.from_batches(whole).combine_chunks()
+            yield rows, _starts(rows, keys)
+        held = [batch.slice(last)]
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, _starts(rows, keys)
+
+
 # ------------------------------------------------------------------ rounds
 
 def _cell(name: str, side: float) -> Column:
@@ -104,17 +142,24 @@ def thinned(points: DataFrame, side: float) -> DataFrame:
             if batch.num_rows:
                 yield batch.take(pa.array(kept(batch)))
 
-    def whole(rows: pa.Table) -> pa.Table:
-        return rows.take(pa.array(kept(rows)))
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_groups(batches, CELL):
+            cell = np.zeros(rows.num_rows)
+            cell[starts[1:]] = 1
+            at = outline(np.cumsum(cell), rows.column("x").to_numpy(), rows.column("y").to_numpy())
+            yield from rows.take(pa.array(at)).to_batches()
 
     keyed = points.select("image", "x", "y", _cell("x", side / 2).alias("cx"), _cell("y", side / 2).alias("cy"))
-    return keyed.mapInArrow(local, schema).groupBy(*CELL).applyInArrow(whole, schema).select(*PLACE)
+    met = keyed.mapInArrow(local, schema).repartition(*CELL).sortWithinPartitions(*CELL)
+    return met.mapInArrow(whole, schema).select(*PLACE)
 
 
 def _round(pixels: DataFrame, points: DataFrame, side: float, part_rows: int) -> DataFrame:
     """``image, x, y, distance`` to the points of the 3x3 cells around each pixel, null without any."""
     asked = pixels.withColumns({"cx": _cell("x", side), "cy": _cell("y", side)})
-    cells = settle(asked.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("n_ask")), "open_cells")
+    cells = settle(asked.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("n_ask"), F.count(F.lit(1)).alias("rows")), "open_cells")
+    rows = cells.agg(F.sum("rows")).head()[0]
+    cells = cells.drop("rows")
     few = cells.count() <= BROADCAST_KEYS
     offered = _spread_cells(points.withColumns({"cx": _cell("x", side), "cy": _cell("y", side)}))
     offered = settle(offered.join(F.broadcast(cells) if few else cells.hint("merge"), CELL), "offered_points")
@@ -132,17 +177,28 @@ def _round(pixels: DataFrame, points: DataFrame, side: float, part_rows: int) ->
         return joined.select(*CELL, "x", "y", F.pmod(F.xxhash64("x", "y"), F.coalesce(own, F.lit(1))).cast("int").alias("own"), F.explode(
             F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)).alias("other")).toDF(*names)
 
-    left = dealt(asked, "asks", "gives", [*CELL, "x", "y", "ask", "give"])
-    right = dealt(offered, "gives", "asks", [*(f"p_{name}" for name in CELL), "qx", "qy", "p_give", "p_ask"])
-
-    def solve(asks: pa.Table, gives: pa.Table) -> pa.Table:
-        x, y = asks.column("x").to_numpy(), asks.column("y").to_numpy()
-        distance = closest(x, y, gives.column("qx").to_numpy(), gives.column("qy").to_numpy())
-        return pa.table({"image": asks.column("image"), "x": x, "y": y,
-                         "distance": pa.array(distance, mask=np.isinf(distance))})
-
-    found = left.groupBy(*CELL, "ask", "give").cogroup(right.groupBy("p_image", "p_cx", "p_cy", "p_ask", "p_give")).applyInArrow(
-        solve, "image string, x double, y double, distance double")
+    names = [*CELL, "x", "y"]
+    left = dealt(asked, "asks", "gives", [*names, "ask", "give"]).withColumn("asks", F.lit(True))
+    right = dealt(offered, "gives", "asks", [*names, "give", "ask"]).withColumn("asks", F.lit(False))
+    group = [*CELL, "ask", "give"]
+
+    def solve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met, starts in whole_groups(batches, group):
+            x, y = met.column("x").to_numpy(), met.column("y").to_numpy()
+            asks = met.column("asks").to_numpy(zero_copy_only=False)
+            distance = np.full(met.num_rows, np.inf)
+            given = np.concatenate([[0], np.cumsum(~asks)])
+            for first, last in zip(starts.tolist(), [*starts[1:].tolist(), met.num_rows]):
+                # The points of a group stand before its pixels.
+                middle = first + int(given[last] - given[first])
+                if first < middle < last:
+                    distance[middle:last] = closest(x[middle:last], y[middle:last], x[first:middle], y[first:middle])
+            told = met.select(PLACE).append_column("distance", pa.array(distance, mask=np.isinf(distance)))
+            yield from told.filter(pa.array(asks)).combine_chunks().to_batches()
+
+    tasks = row_partitions(pixels.sparkSession, rows + offered.count())
+    met = left.unionByName(right).repartition(tasks, *group).sortWithinPartitions(*group, "asks")
+    found = met.mapInArrow(solve, "image string, x double, y double, distance double")
     return found.groupBy(*PLACE).agg(F.min("distance").alias("distance")) if parted else found
 
 
@@ -155,7 +211,8 @@ def nearest_point_distance(pixels: DataFrame, points: DataFrame, *, side: int =
     work, never the result.
     """
     marks = settle(points.select(*PLACE).na.drop().distinct(), "marks")
-    rows = settle(lookup_join(pixels.select(*PLACE), marks.select("image").distinct().withColumn("_has", F.lit(True)), ["image"],
+    pixels = settle(pixels.select(*PLACE), "asked_pixels")  # counted and read again below, made once
+    rows = settle(lookup_join(pixels, marks.select("image").distinct().withColumn("_has", F.lit(True)), ["image"],
                               ["x", "y"]), "pixels")
     reachable = F.coalesce("_has", F.lit(False)) & F.col("x").isNotNull() & F.col("y").isNotNull()
     done = rows.filter(~reachable).select(*PLACE, F.lit(None).cast("double").alias("distance"))
@@ -164,6 +221,7 @@ def nearest_point_distance(pixels: DataFrame, points: DataFrame, *, side: int =
         found = settle(_round(left, marks, side, part_rows), "distances")
         proven = F.coalesce(F.col("distance") <= side, F.lit(False))
         done, left = done.unionByName(found.filter(proven)), found.filter(~proven).select(*PLACE)
-        marks = settle(thinned(marks, side), "outline")
+        # Only images with pixels left need their points.
+        marks = settle(thinned(marks.join(left.select("image").distinct().hint("merge"), "image", "left_semi"), side), "outline")
         side *= growth
     return done

@@ -1,6 +1,9 @@
 """Nearest points without a radius against every distance."""
 
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from markfield.operators import nearest
@@ -53,3 +56,33 @@ def test_empty(spark):
     one = spark.createDataFrame([("a", 0.5, 0.5)], "image string, x double, y double")
     assert nearest.nearest_point_distance(none, one).count() == 0
     assert [tuple(r) for r in nearest.nearest_point_distance(one, none).collect()] == [("a", 0.5, 0.5, None)]
+
+
+def test_small_groups_share_a_table_and_long_ones_cross_batches():
+    keys = ["a"] * 2 + ["b"] * 9 + [None] * 2 + [f"k{n}" for n in range(40)]
+    rows = pa.table({"image": pa.array(keys, pa.string()), "n": np.arange(len(keys))})
+    for size in (1, 4, 7, 60):
+        met, tables = [], 0
+        for table, starts in nearest.whole_groups(rows.to_batches(size), ["image"]):
+            tables += 1
+            met += [table.column("n").to_pylist()[first:last] for first, last in zip(starts, [*starts[1:], len(table)])]
+        assert [[keys[n] for n in group] for group in met] == [["a"] * 2, ["b"] * 9, [None] * 2, *[[f"k{n}"] for n in range(40)]]
+        assert [n for group in met for n in group] == list(range(len(keys)))
+        assert size == 1 or tables <= -(-len(keys) // size) + 1
+
+
+def test_tasks_of_the_near_join_follow_the_counted_rows(spark, monkeypatch):
+    from markfield.operators import neighbors, skew
+    monkeypatch.setattr(neighbors, "row_partitions", lambda spark, rows: skew.row_partitions(spark, rows, 500))
+    pixels = spark.range(10_000).selectExpr("substring(concat('a', id), 1, 1) AS image", "id % 100 + 0.5D AS x", "floor(id / 100) + 0.5D AS y")
+    points = spark.createDataFrame([("a", 10.25, 20.5)] * 3 + [("b", 1.0, 1.0)], "image string, x double, y double")
+    for count in (None, 10_000):
+        found = neighbors.nearest_distance(pixels, points, 2.0, count)
+        plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+        dealt = re.findall(r"Exchange hashpartitioning\([^)]*, (\d+)\)", plan)
+        assert dealt and set(dealt) == {str(-(-(10_000 + 2 * 25) // 500))}
+        told = {(r.x, r.y): r.distance for r in found.collect()}
+        assert len(told) == 10_000
+        for (x, y), distance in told.items():
+            real = np.hypot(x - 10.25, y - 20.5)
+            assert distance == (pytest.approx(real) if real <= 2 else None)
