@@ -8,6 +8,7 @@ n log n steps and without pairs, however many points a cell holds.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markfield.operators.counting import LIMIT, dominated
-from markfield.operators.skew import lookup_join, settle
+from markfield.operators.skew import lookup_join, row_partitions, settle
 
 CELL_LIMIT = 1_500
 BROADCAST_CELLS = 20_000
@@ -177,34 +178,39 @@ def _dense_counts(near: DataFrame, half: float, names: dict[str, str], limit: in
         "image", "point_id", *names.values())
 
 
-def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0) -> DataFrame:
+def near_points(pixels: DataFrame, points: DataFrame, radius: float = 2.0, pixel_count: int | None = None) -> DataFrame:
     """Per image: pixels tested, those with a point within ``radius``, and the fraction.
 
     ``pixels`` are distinct pixel centres ``image, x, y``. Images without points give a
-    null fraction.
+    null fraction. ``pixel_count``: see :func:`nearest_distance`.
     """
-    found = nearest_distance(pixels, points, radius)
+    found = nearest_distance(pixels, points, radius, pixel_count)
     with_points = points.select("image").distinct().withColumn("_has", F.lit(True))
     counted = found.groupBy("image").agg(F.count(F.lit(1)).alias("tested"), F.count("distance").alias("near"))
     return counted.join(with_points, "image", "left").select(
         "image", "tested", "near", F.when(F.col("_has"), F.bround(F.col("near") / F.col("tested"), 4)).alias("near_fraction"))
 
 
-def nearest_distance(pixels: DataFrame, points: DataFrame, radius: float) -> DataFrame:
+def nearest_distance(pixels: DataFrame, points: DataFrame, radius: float, pixel_count: int | None = None) -> DataFrame:
     """Distance from each pixel centre to the nearest point within ``radius``, null beyond it.
 
     ``x, y`` of ``pixels`` are centres, ``i + 0.5``; the radius is at least half a pixel.
-    Every point names the few centres in its reach and these are reduced to one minimum
-    per pixel before the shuffle, so neither crowded points nor crowded pixels meet.
+    Every place with points names the few centres in its reach, which go to as many tasks as the counted rows need: a
+    task sorts about as many rows at every size. ``pixel_count`` is the number of pixels where the caller knows it.
     """
     def reach(q: str) -> Column:
         first, last = F.ceil(F.col(q) - (radius + 0.5)), F.floor(F.col(q) + (radius - 0.5))
         return F.sequence(first.cast("bigint"), last.cast("bigint"))
 
-    marks = points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy"))
+    # Whole numbers as keys: Spark would deal rows again for a join by floating ones.
+    spark, place = pixels.sparkSession, ["image", "i", "j"]
+    marks = settle(points.select("image", F.col("x").alias("qx"), F.col("y").alias("qy")).distinct(), "marked_places")
     named = marks.select("*", F.explode(reach("qx")).alias("i")).select("*", F.explode(reach("qy")).alias("j"))
     dx, dy = F.col("i") + 0.5 - F.col("qx"), F.col("j") + 0.5 - F.col("qy")
-    found = named.select("image", (F.col("i") + 0.5).alias("x"), (F.col("j") + 0.5).alias("y"),
-                         F.sqrt(dx * dx + dy * dy).alias("distance")).filter(F.col("distance") <= radius)
-    nearest = found.groupBy("image", "x", "y").agg(F.min("distance").alias("distance"))
-    return pixels.select("image", "x", "y").join(nearest.hint("merge"), ["image", "x", "y"], "left")
+    found = named.select(*place, F.sqrt(dx * dx + dy * dy).alias("distance")).filter(F.col("distance") <= radius)
+    per_place = math.ceil(2 * radius + 1) ** 2
+    tasks = row_partitions(spark, marks.count() * per_place + (pixels.count() if pixel_count is None else pixel_count))
+    nearest = found.repartition(tasks, *place).groupBy(*place).agg(F.min("distance").alias("distance"))
+    centres = pixels.select("image", "x", "y", *[
+        F.when(F.floor(axis) + 0.5 == F.col(axis), F.floor(axis)).cast("bigint").alias(key) for axis, key in (("x", "i"), ("y", "j"))])
+    return centres.repartition(tasks, *place).join(nearest.hint("merge"), place, "left").select("image", "x", "y", "distance")
