@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 
 from markfield.config import TRANSFORMS
+from pyspark.sql import functions as F
+
 from markfield.operators import agreement as A
 
 FLIPS = {"identity": lambda a: a, "hflip": lambda a: a[:, ::-1], "vflip": lambda a: a[::-1], "rot180": lambda a: a[::-1, ::-1]}
@@ -69,3 +71,19 @@ def test_equal_rasters_shuffle_one_row_each(spark):
     written = sum(store.lastStageAttempt(stage).shuffleWriteRecords() for stage in stages if status.getStageInfo(stage))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert written < 200  # 1,200 lines a side
+
+
+def test_a_line_travels_to_two_places_with_short_digests(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    own = {name: rng.integers(0, 256, (6, 4, 3)).astype(np.uint8) for name in "abc"}
+    twins = {"a": own["a"][::-1], "b": own["b"][:, ::-1].copy(), "c": own["c"].copy()}
+    twins["c"][2] = 0
+    rows = A.leaf_digests(rows_of(spark, own), rows_of(spark, twins))
+    assert {len(row.digest) for row in rows[0].collect()} == {16}
+    opened = spark.createDataFrame([(i, t, 0, 6) for i in "abc" for t in ("identity", "hflip", "vflip", "rot180")],
+                                   "image string, transform string, block bigint, rows bigint")
+    block = F.floor(F.col("row_no") / 256).alias("block")
+    for some, want in ((opened, {("a", "vflip"): 6, ("b", "hflip"): 6, ("c", "identity"): 5}),
+                       (opened.filter("image = 'c' AND transform = 'identity'"), {("c", "identity"): 5})):
+        found = A._alike_lines(*rows, some, block)
+        assert {(r.image, r.transform): r.n for r in found.collect()} == want
