@@ -41,11 +41,13 @@ def map_to_raster(files: DataFrame, listing: DataFrame, crowded: DataFrame | Non
     """
     directory = N.image_directory(F.col("relpath"))
     located = files.withColumn("directory", directory)
-    joined = lookup_join(located, directory_summary(listing), ["directory"], ["relpath"], hot=crowded)
+    # Named once a folder, not once a file.
+    folders = directory_summary(listing).withColumn("_own_stage", N.stage_of(N.stem(N.file_name(F.col("all_tiff")))))
+    joined = lookup_join(located, folders, ["directory"], ["relpath"], hot=crowded)
     total = F.coalesce("all_tiffs", F.lit(0))
     same_stage = F.when(F.col("stage") == "before", F.col("before_tiffs")).otherwise(F.col("after_tiffs"))
     stage_tiff = F.when(F.col("stage") == "before", F.col("before_tiff")).otherwise(F.col("after_tiff"))
-    own_stage = N.stage_of(N.stem(N.file_name(F.col("all_tiff"))))
+    own_stage = F.col("_own_stage")
     problem = (
         F.when(N.is_magnified(F.col("directory")), "x100_magnified_image_different_scale")
         .when((total == 0) & F.coalesce("has_jpeg", F.lit(False)), "no_tiff_in_directory_jpg_only")

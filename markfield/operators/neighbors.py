@@ -78,20 +78,24 @@ def box_neighbors(points: DataFrame, patch: int = 128, center: int = 32, *, cell
 
 
 def _pair_counts(queries: DataFrame, targets: DataFrame, patch: int, center: int) -> DataFrame:
-    """Counts from an equi-join on cells; no cell of ``targets`` exceeds the cell limit.
+    """Counts from an equi-join on squares of two by two cells; no cell of ``targets`` exceeds the cell limit.
 
-    Targets are repeated to the nine cells they can matter for and queries stay in
-    their own, so the grouping needs no further shuffle.
+    The three cells a side around a target lie in two squares, so a target is repeated to four squares and not to nine
+    cells. Queries stay in their own, so the grouping needs no further shuffle.
     """
-    other_side = _spread_cells(targets.select(
-        "image", "cx", "cy", F.col("point_id").alias("q_id"), F.col("fine_label").alias("q_label"),
-        F.col("x").alias("qx"), F.col("y").alias("qy")))
+    def squares(cell: str) -> Column:
+        return F.sequence(F.shiftright(F.col(cell) - 1, 1), F.shiftright(F.col(cell) + 1, 1))
+
+    asking = queries.withColumns({"cx": F.shiftright("cx", 1), "cy": F.shiftright("cy", 1)})
+    other_side = targets.select(
+        "image", F.explode(squares("cx")).alias("_sx"), "cy", F.col("point_id").alias("q_id"), F.col("fine_label").alias("q_label"),
+        F.col("x").alias("qx"), F.col("y").alias("qy")).withColumn("cy", F.explode(squares("cy"))).withColumnRenamed("_sx", "cx")
     dx, dy = F.abs(F.col("x") - F.col("qx")), F.abs(F.col("y") - F.col("qy"))
     same = F.col("fine_label") == F.col("q_label")
     not_self = F.col("point_id") != F.col("q_id")
     near = (dx < center / 2) & (dy < center / 2)
     # Repeating the targets escapes Spark's size estimates, which would broadcast them.
-    pairs = queries.join(other_side.hint("merge"), CELL).filter((dx < patch / 2) & (dy < patch / 2))
+    pairs = asking.join(other_side.hint("merge"), CELL).filter((dx < patch / 2) & (dy < patch / 2))
     return pairs.groupBy(*CELL, "point_id").agg(
         F.count_if(same & not_self).alias(COUNTS[0]),
         F.count_if(~same).alias(COUNTS[1]),
