@@ -57,3 +57,11 @@ def test_built_counts(spark, engine, tables):
     same = ("provider_points_in_used_roi_files", "unique_points", "duplicate_point_refs", "images")
     assert set(got) == {repr((*key, n)) for key, n in told.items()} | {row for row in want if any(f"'{name}'" in row for name in same)}
     assert told["excluded_points_by_reason", "point_outside_image"] > 0
+
+
+@pytest.mark.parametrize("name", [
+    "validated_datasets",
+])
+def test_query(spark, engine, tables, name):
+    got, want = found(spark, engine, tables, name)
+    assert got == want and want
