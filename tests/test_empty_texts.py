@@ -62,6 +62,7 @@ def test_built_counts(spark, engine, tables):
 @pytest.mark.parametrize("name", [
     "validated_datasets",
     "best_transform",
+    "built_patches",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
