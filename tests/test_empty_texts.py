@@ -59,6 +59,15 @@ def test_built_counts(spark, engine, tables):
     assert told["excluded_points_by_reason", "point_outside_image"] > 0
 
 
+def test_built_points(spark, engine, tables):
+    """Points of rasters without rows are published as outside; the others as in the SQL."""
+    order = ["image", "split", "fine_label", "x"]
+    want = engine.execute(f'SELECT {", ".join(order)}, y, status, reason FROM ({SQL["built_points"]})').fetchall()
+    lost = [row[:4] for row in want if row[4] is None]
+    got = [tuple(row) for row in entry_points.queries()["built_points"](spark, tables).select(*order, "y", "status", "reason").collect()]
+    assert lost and Counter(got) == Counter([row for row in want if row[4] is not None] + [(*row, 0.5, "excluded", "point_outside_image") for row in lost])
+
+
 @pytest.mark.parametrize("name", [
     "validated_datasets",
     "best_transform",
