@@ -72,6 +72,7 @@ def test_built_points(spark, engine, tables):
     "validated_datasets",
     "best_transform",
     "built_patches",
+    "near_point_fraction",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
