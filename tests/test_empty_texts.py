@@ -73,6 +73,7 @@ def test_built_points(spark, engine, tables):
     "best_transform",
     "built_patches",
     "near_point_fraction",
+    "nearest_point",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
