@@ -74,6 +74,7 @@ def test_built_points(spark, engine, tables):
     "built_patches",
     "near_point_fraction",
     "nearest_point",
+    "nearest_point_any",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
