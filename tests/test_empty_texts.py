@@ -75,6 +75,7 @@ def test_built_points(spark, engine, tables):
     "near_point_fraction",
     "nearest_point",
     "nearest_point_any",
+    "pixel_source",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
