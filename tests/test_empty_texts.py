@@ -76,6 +76,7 @@ def test_built_points(spark, engine, tables):
     "nearest_point",
     "nearest_point_any",
     "pixel_source",
+    "rebuilt_rows",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
