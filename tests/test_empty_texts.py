@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from markfield.operators.agreement import row_agreement
 from markfield.plans import oracle
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -68,6 +69,14 @@ def test_built_points(spark, engine, tables):
     assert lost and Counter(got) == Counter([row for row in want if row[4] is not None] + [(*row, 0.5, "excluded", "point_outside_image") for row in lost])
 
 
+def test_images_without_rows_have_no_share(spark):
+    rows = spark.createDataFrame([("a", 0, b"abc", 1)], "image string, row_no int, px binary, height int")
+    sizes = spark.createDataFrame([("a", 1, 1), ("b", 1, 0), ("c", 1, 0), ("d", 1, 2)], "image string, width int, height int")
+    others = spark.createDataFrame([("a", 1, 1), ("b", 1, 0), ("c", 1, 2), ("d", 1, 0)], "image string, width int, height int")
+    shares = row_agreement(rows.drop("height"), rows, sizes, others)
+    assert {(r.image, r.transform, r.agreement) for r in shares.collect()} == {("a", name, 1.0) for name in ("identity", "hflip", "vflip", "rot180")}
+
+
 @pytest.mark.parametrize("name", [
     "validated_datasets",
     "best_transform",
@@ -77,6 +86,7 @@ def test_built_points(spark, engine, tables):
     "nearest_point_any",
     "pixel_source",
     "rebuilt_rows",
+    "row_agreement",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
