@@ -87,6 +87,7 @@ def test_images_without_rows_have_no_share(spark):
     "pixel_source",
     "rebuilt_rows",
     "row_agreement",
+    "stored_patches",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
