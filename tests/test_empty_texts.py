@@ -88,6 +88,7 @@ def test_images_without_rows_have_no_share(spark):
     "rebuilt_rows",
     "row_agreement",
     "stored_patches",
+    "stored_spreads",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
