@@ -89,6 +89,7 @@ def test_images_without_rows_have_no_share(spark):
     "row_agreement",
     "stored_patches",
     "stored_spreads",
+    "difference_positions",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
