@@ -90,6 +90,7 @@ def test_images_without_rows_have_no_share(spark):
     "stored_patches",
     "stored_spreads",
     "difference_positions",
+    "difference_positions_all",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
