@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from markfield.operators.agreement import row_agreement
+from markfield.operators.agreement import difference_report, row_agreement
 from markfield.plans import oracle
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -77,6 +77,12 @@ def test_images_without_rows_have_no_share(spark):
     assert {(r.image, r.transform, r.agreement) for r in shares.collect()} == {("a", name, 1.0) for name in ("identity", "hflip", "vflip", "rot180")}
 
 
+def test_images_without_pixels_have_no_fraction(spark):
+    rows = spark.createDataFrame([("a", 2, 1)], "image string, differing bigint, white bigint")
+    sizes = spark.createDataFrame([("a", 2, 2), ("b", 2, 0), ("c", 2, None)], "image string, width int, height int")
+    assert {(r.image, str(r.tiff_differing_pixel_fraction)) for r in difference_report(rows, sizes).collect()} == {("a", "0.5"), ("b", "nan"), ("c", "None")}
+
+
 @pytest.mark.parametrize("name", [
     "validated_datasets",
     "best_transform",
@@ -91,6 +97,12 @@ def test_images_without_rows_have_no_share(spark):
     "stored_spreads",
     "difference_positions",
     "difference_positions_all",
+    "difference_report",
+    "correlation",
+    "flip_rows",
+    "crop_patches",
+    "window_spread",
+    "contrast_by_file",
 ])
 def test_query(spark, engine, tables, name):
     got, want = found(spark, engine, tables, name)
